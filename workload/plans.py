@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mattercat.functions.lists import parse_list
+from mattercat.operators.aggregates import count_by_prefix
 from mattercat.plans import curate, publish
 from mattercat.plans.rehash import fix_pbc_and_rehash as rehash
 from mattercat.plans.standardize import Layout
@@ -14,6 +15,7 @@ from mattercat.sinks import tables as W
 from .aggregates import listed, rounded
 from .columns import DATASET_LISTS, converted
 from .registry import Tables, query
+from .sinks import LEVEL, described
 
 LAYOUT = Layout(
     energies=["free_energy", "potential_energy"],
@@ -165,8 +167,6 @@ def release(t: Tables):
         # ids of the view start at 00000000, not at 100
         publish.release(t.spark, sources, "20240131")
         published = t.spark.table(f"{schema}.po")
-        from mattercat.operators.aggregates import count_by_prefix
-
         return count_by_prefix(published, "PO_", lo=0, hi=999)
     finally:
         t.spark.catalog.setCurrentDatabase(current)
@@ -177,8 +177,6 @@ def release(t: Tables):
     FROM {po} p LEFT JOIN {metadata} m ON m.path = concat('data/MD/', cast(p.multiplicity AS VARCHAR))
     GROUP BY p.dataset_id""")
 def export(t: Tables):
-    from .sinks import described
-
     path = t.fresh("export")
     po = t.po.select(
         "id", "dataset_id", "configuration_id", "multiplicity",
@@ -188,7 +186,7 @@ def export(t: Tables):
         "ds": described(t), "po": po, "co": t.co.select("id", "names", "cell").join(t.sql(DATASET_LISTS), "id"),
         "cs": t.cs_owned, "cs_co_map": t.cs_co_map,
     }
-    publish.export(tables, path, "Site", "https://site.example", t.metadata)
+    publish.export(tables, path, "Site", "https://site.example", t.metadata, LEVEL)
     return t.spark.read.parquet(f"{path}/po").groupBy("dataset_id").agg(
         F.count("*").alias("n"), F.count_distinct("metadata").alias("contents")
     )
