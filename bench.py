@@ -30,7 +30,11 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(
         "bench", f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "16g"},
+        **{
+            "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "16g",
+            # Listing the folders of an export takes no more tasks than there are cores.
+            "spark.sql.sources.parallelPartitionDiscovery.parallelism": cpus,
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["distinct_ids"](spark, folder).write.format("noop").mode("overwrite").save()  # warm-up

@@ -68,6 +68,9 @@ def parse_list(
         for printed, token in TOKENS[_leaf(element)].items():
             json = F.replace(json, F.lit(printed), F.lit(token))
         parsed = F.from_json(json, target)
+        if _leaf(element) != "boolean":
+            # Every token above holds an n; most lists of numbers hold none.
+            parsed = F.when(F.contains(text, F.lit("n")), parsed).otherwise(F.from_json(text, target))
         outside_quotes = text
     if on_error == "keep_null":
         return parsed
@@ -105,7 +108,8 @@ def parse_matrix(col: Column | str, width: int = 3) -> Column:
 
     # The outer one-element transform binds the number list once per row.
     bound = F.transform(F.array(numbers), rows)[0]
-    return F.when(text == "", F.array().cast("array<array<double>>")).otherwise(bound)
+    empty = F.array().cast("array<array<double>>")
+    return F.when(text == "", empty).when(text.isNotNull(), bound)
 
 
 def _quoted(text: Column) -> Column:

@@ -8,7 +8,8 @@ no Python.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +47,14 @@ ENERGY_STANDARD = ("eV",)
 FORCE_STANDARD = ("eV/angstrom", "eV/angstrom^3")
 STRESS_STANDARD = ("eV/angstrom^3",)
 
+# Unit texts that are converted by plain arithmetic; any other is read in the plan.
+COMMON = (
+    "hartree", "Hartree", "Ha", "rydberg", "Rydberg", "Ry", "kcal/mol", "kJ/mol",
+    "hartree/bohr", "Hartree/Bohr", "rydberg/bohr", "kcal/mol/angstrom", "kJ/mol/nm",
+    "eV/angstrom", "eV/angstrom^3", "kbar", "kilobar", "GPa", "bar", "hartree/bohr^3",
+)
 STEP = r"[*/]?[A-Za-z]+(?:\^-?[0-9]+)?"
+UNIT = r"^[A-Za-z]+(\^-?[0-9]+)?([*/][A-Za-z]+(\^-?[0-9]+)?)*$"
 
 
 def unit_steps(unit: Column | str, on_error: str = "fail") -> Column:
@@ -59,27 +67,51 @@ def unit_steps(unit: Column | str, on_error: str = "fail") -> Column:
     table = F.create_map(*[F.lit(x) for pair in FACTORS.items() for x in pair])
 
     def step(token: Column) -> Column:
-        name = F.regexp_extract(token, "[A-Za-z]+", 0)
-        exponent = F.coalesce(F.regexp_substr(token, F.lit("-?[0-9]+$")).try_cast("int"), F.lit(1))
+        factor = F.try_element_at(table, F.regexp_extract(token, "[A-Za-z]+", 0))
+        exponent = F.regexp_substr(token, F.lit("-?[0-9]+$")).try_cast("int")
         return F.struct(
             token.startswith("/").alias("divide"),
-            F.when(exponent == 1, F.try_element_at(table, name))
-            .otherwise(F.pow(F.try_element_at(table, name), exponent)).alias("factor"),
+            F.when(exponent.isNotNull(), F.pow(factor, exponent)).otherwise(factor).alias("factor"),
         )
 
     steps = F.transform(F.regexp_extract_all(text, F.lit(STEP), F.lit(0)), step)
-    readable = text.rlike(r"^[A-Za-z]+(\^-?[0-9]+)?([*/][A-Za-z]+(\^-?[0-9]+)?)*$")
-    usable = F.when(readable & ~F.exists(steps, lambda s: s["factor"].isNull()), steps)
+    usable = F.when(text.rlike(UNIT) & ~F.exists(steps, lambda s: s["factor"].isNull()), steps)
     if on_error == "null":
         return usable
     problem = F.raise_error(F.concat(F.lit("unknown unit: "), F.coalesce(text, F.lit("null"))))
     return F.coalesce(usable, problem.cast("array<struct<divide:boolean,factor:double>>"))
 
 
-def _apply(value: Column, steps: Column) -> Column:
-    return F.aggregate(
-        steps, value, lambda acc, s: F.when(s["divide"], acc / s["factor"]).otherwise(acc * s["factor"])
-    )
+def _known(unit: str) -> Callable[[Column], Column]:
+    """A number times and over the factors of a common unit, in the order it names them."""
+    def convert(value: Column) -> Column:
+        for divide, name, exponent in re.findall(r"([*/]?)([A-Za-z]+)(?:\^(-?[0-9]+))?", unit):
+            factor = FACTORS[name] ** int(exponent or 1)
+            if factor != 1.0:
+                value = value / F.lit(factor) if divide == "/" else value * F.lit(factor)
+        return value
+
+    return convert
+
+
+def _by_unit(
+    unit: Column, standard: Sequence[str], on_error: str, apply: Callable[[Callable[[Column], Column]], Column],
+    unchanged: Column,
+) -> Column:
+    """``apply`` a number-to-number conversion chosen by the unit of the row."""
+    value = F.when(unit.isin(*standard), unchanged)
+    for common in COMMON:
+        if common not in standard:
+            value = value.when(unit == common, apply(_known(common)))
+    # The one-element list binds the steps once per row, not once per number.
+    other = F.transform(
+        F.array(unit_steps(unit, on_error)),
+        lambda steps: apply(lambda x: F.aggregate(
+            steps, x,
+            lambda acc, s: F.when(s["divide"], acc / s["factor"]).otherwise(acc * s["factor"]),
+        )),
+    )[0]
+    return value.otherwise(other)
 
 
 def to_standard(
@@ -87,10 +119,8 @@ def to_standard(
     on_error: str = "fail",
 ) -> Column:
     """One number in its own unit to the standard unit; null stays null."""
-    text = as_column(unit)
-    return F.when(value.isNull() | text.isin(*standard), value).otherwise(
-        _apply(value, unit_steps(text, on_error))
-    )
+    converted = _by_unit(as_column(unit), standard, on_error, lambda convert: convert(value), value)
+    return F.when(value.isNotNull(), converted)
 
 
 def convert_energy(
@@ -132,20 +162,16 @@ def convert_array(
     df: DataFrame, col: str, unit_col: str, standard: Sequence[str], on_error: str = "fail"
 ) -> DataFrame:
     """Forces or stress (text or n x 3 numbers) to the standard unit; null becomes empty."""
-    dtype = df.schema[col].dataType.simpleString()
-    values = parse_list(col, "array<double>", "fail") if dtype == "string" else F.col(col)
-    text = F.col(unit_col)
-    empty = F.array().cast("array<array<double>>")
-
-    # One-element transform: the steps are worked out once per row, not per number.
-    converted = F.transform(
-        F.array(unit_steps(text, on_error)),
-        lambda steps: F.transform(values, lambda row: F.transform(row, lambda x: _apply(x, steps))),
-    )[0]
-    nothing = F.col(col).isNull() | (F.size(values) == 0)
-    return df.withColumn(
-        col, F.when(nothing, empty).when(text.isin(*standard), values).otherwise(converted)
+    is_text = df.schema[col].dataType.simpleString() == "string"
+    # A column of its own, so that the text is read once.
+    rows = df.withColumn("__values", parse_list(col, "array<double>", "fail") if is_text else F.col(col))
+    values = F.col("__values")
+    converted = _by_unit(
+        F.col(unit_col), standard, on_error,
+        lambda convert: F.transform(values, lambda row: F.transform(row, convert)), values,
     )
+    empty = F.array().cast("array<array<double>>")
+    return rows.withColumn(col, F.when(F.size(values) > 0, converted).otherwise(empty)).drop("__values")
 
 
 def per_atom_to_total(df: DataFrame, cols: dict[str, str], nsites: str = "nsites") -> DataFrame:

@@ -1,0 +1,64 @@
+"""Properties of the plans that decide whether they hold at scale."""
+
+import re
+
+import pytest
+
+from workload import QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+
+# Queries that hash in the one Arrow UDF.
+PYTHON = {"content_hash_parity", "hash_bytes", "structure_hash", "standardize_properties_rows", "fix_pbc_and_rehash"}
+# Results that are one global order or choice by nature.
+WRITES = {
+    "copy_table", "save_table", "export_dataset_parquet", "export_all_datasets", "export_bundle", "export_resumable",
+    "size_partitions", "export_flat_parquet", "export_dataset_json", "export_counts_csv", "export_text_list",
+    "export_extxyz", "write_clustered", "publish_swap", "table_exists", "dataset_card", "incremental_copy", "build_arrays",
+    "release", "export", "scan_csv_ids", "scan_text_ids", "fix_pbc_and_rehash",
+}
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+@pytest.mark.parametrize("key", [k for k in QUERIES if k not in WRITES])
+def test_no_cross_join_and_no_stray_python(spark, key):
+    text = plan(QUERIES[key](spark, FOLDER))
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    assert "BatchEvalPython" not in text and "MapInPandas" not in text and "FlatMapGroups" not in text
+    assert ("ArrowEvalPython" in text) == (key in PYTHON)
+
+
+def test_prefix_filter_and_columns_reach_the_scan(spark, tmp_path):
+    from mattercat.sources.scan import scan_dataset_and_prefix, scan_id_prefix
+
+    path = str(tmp_path / "po")
+    spark.sql("SELECT 'PO_1' AS id, 'd' AS dataset_id, 1 AS a, 2 AS b").write.parquet(path)
+    text = plan(scan_id_prefix(spark.read.parquet(path), "id", "PO_1").select("id", "a"))
+    assert "StringStartsWith(id,PO_1)" in text and re.search(r"ReadSchema: struct<id:string,a:int>", text)
+    text = plan(scan_dataset_and_prefix(spark.read.parquet(path), "d", "id", "PO_1"))
+    assert "EqualTo(dataset_id,d)" in text and "StringStartsWith(id,PO_1)" in text
+
+
+def test_statistics_shuffle_once_after_partial_aggregation(spark):
+    text = plan(QUERIES["dataset_property_counts"](spark, FOLDER))
+    tree = text.split("(1) Scan")[0]
+    assert tree.count("Exchange") == 1 and tree.count("HashAggregate") == 2
+    assert "Python" not in tree
+
+
+def test_unit_conversion_is_narrow(spark):
+    tree = plan(QUERIES["convert_energy"](spark, FOLDER)).split("(1) Scan")[0]
+    assert "Exchange" not in tree and "Join" not in tree
+
+
+def test_large_sides_are_not_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for key in ("merge_po_co", "attach_dataset", "metadata_lookup", "update_from_map", "remap_ids"):
+            assert "Broadcast" not in plan(QUERIES[key](spark, FOLDER))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

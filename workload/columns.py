@@ -14,14 +14,18 @@ from .registry import Tables, query
 
 
 def numbers(column: str = "text") -> str:
-    """Spark expression: n rows of three numbers per line item, as text."""
-    row = "concat('[', cast(q * i AS string), ', ', cast(d AS string), ', ', cast(t AS string), ']')"
-    return f"concat('[', array_join(transform(sequence(1, n), i -> {row}), ', '), ']') AS {column}"
+    """Spark expression: n rows of three numbers per line item, as text; the first differs."""
+    first, rest = ("concat('[', " + ", ', ', ".join(f"cast({c} AS string)" for c in order) + ", ']')"
+                   for order in ("qdt", "dtq"))
+    return f"concat('[', {first}, repeat(concat(', ', {rest}), n - 1), ']') AS {column}"
 
 
+# Sums of these numbers: x over the first column, total over all.
+TEXT_SUMS = """SELECT id, n, round(q + (n - 1) * d, 6) AS x, round(n * (q + d + t), 6) AS total FROM {sites}"""
+
 MATRIX = "transform(sequence(1, n), i -> array(q * i, d, t)) AS matrix"
 
-# Sums of the same numbers in the oracle: x over the first column, y over all.
+# The same for this matrix.
 SUMS = """SELECT id, n, round(list_sum([q * i for i in range(1, n + 1)]), 6) AS x,
                  round(list_sum([q * i + d + t for i in range(1, n + 1)]), 6) AS total FROM {sites}"""
 
@@ -35,13 +39,13 @@ def sums(rows: DataFrame, col: str) -> DataFrame:
     )
 
 
-@query("parse_list", SUMS)
+@query("parse_list", TEXT_SUMS)
 def parse_list(t: Tables):
     rows = t.sites.selectExpr("id", numbers())
     return sums(rows.withColumn("matrix", L.parse_list("text", "array<double>", "fail")), "matrix")
 
 
-@query("parse_matrix", SUMS)
+@query("parse_matrix", TEXT_SUMS)
 def parse_matrix(t: Tables):
     rows = t.sites.selectExpr("id", numbers())
     return sums(rows.withColumn("matrix", L.parse_matrix("text")), "matrix")
@@ -231,7 +235,7 @@ def add_reference(t: Tables):
 @query("convert_array", f"""
     SELECT id, n, round(CASE n % 3 WHEN 0 THEN x WHEN 1 THEN x * {HARTREE!r}::DOUBLE / {U.BOHR!r}::DOUBLE
                         ELSE x * {KCAL!r}::DOUBLE / {MOL!r}::DOUBLE END, 4) AS x
-    FROM (SELECT id, n, list_sum([q * i for i in range(1, n + 1)]) AS x FROM {{sites}})""")
+    FROM (SELECT id, n, q + (n - 1) * d AS x FROM {{sites}})""")
 def convert_array(t: Tables):
     unit = "CASE n % 3 WHEN 0 THEN 'eV/angstrom' WHEN 1 THEN 'hartree/bohr' ELSE 'kcal/mol/angstrom' END AS unit"
     rows = U.convert_array(t.sites.selectExpr("id", numbers(), unit), "text", "unit", U.FORCE_STANDARD)
