@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.names import id_prefix
+from ..session import staged
 from .joins import attach_stats
 
 
@@ -151,13 +152,17 @@ def combine_duplicates(
 
 
 def distinct_dimensions(rows: DataFrame, key: str = "dataset_id") -> DataFrame:
-    """The periodicities that occur in a dataset, on each of its rows."""
+    """The periodicities that occur in a dataset, on each of its rows.
+
+    The few kinds per dataset are written first, so that their size is known: the
+    join then leaves wide rows where they are unless there are very many datasets.
+    """
     kinds = rows.select(key, "nperiodic_dimensions", "dimension_types").distinct()
     seen = kinds.groupBy(key).agg(
         F.array_sort(F.collect_set("nperiodic_dimensions")).alias("dataset_nperiodic_dimensions"),
         F.array_sort(F.collect_set("dimension_types")).alias("dataset_dimension_types"),
     )
-    return rows.join(seen, key, "left")
+    return rows.join(staged(seen, "dimensions"), key, "left")
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
@@ -201,4 +206,4 @@ def changed_rows(df: DataFrame, old_col: str, new_col: str) -> DataFrame:
 def missing_numbers(df: DataFrame, col: str, n: int) -> DataFrame:
     """Numbers in ``0 .. n-1`` that the data lacks."""
     wanted = df.sparkSession.range(n).withColumnRenamed("id", col)
-    return wanted.join(df.select(F.col(col).cast("long")), col, "left_anti")
+    return wanted.join(df.select(F.col(col).cast("long")).distinct(), col, "left_anti")

@@ -4,18 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import staged
+
+TOP_K = 100_000  # rows one task may gather
+
 
 def order_by(df: DataFrame, col: str, desc: bool = False) -> DataFrame:
-    """Global sort by one column."""
-    return df.orderBy(F.col(col).desc() if desc else F.col(col).asc())
+    """Global sort by one column.
+
+    Ties are ordered by a hash of the row, so that a value held by very many rows
+    is sorted by several tasks, and the order repeats.
+    """
+    return df.orderBy(F.col(col).desc() if desc else F.col(col).asc(), F.xxhash64(*df.columns))
 
 
 def limit_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows under an order, as a test table."""
-    return df.orderBy(*order).limit(n)
+    """The first ``n`` rows under an order, as a test table.
+
+    A small ``n`` is a top-k. A large one is cut from the sorted table, written
+    once: a row's place is the rows of the files before its own plus its index in
+    the file, so no task gathers the ``n`` rows.
+    """
+    if n <= TOP_K:
+        return df.orderBy(*order).limit(n)
+    ordered = staged(df.orderBy(*order), "sorted")
+    part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int")
+    numbered = ordered.select("*", part.alias("__part"), F.col("_metadata.row_index").alias("__at"))
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = numbered.groupBy("__part").agg(F.count("*").alias("__n")).select(
+        "__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before")
+    )
+    placed = numbered.join(offsets, "__part").filter(F.col("__before") + F.col("__at") < n)
+    return placed.select(*df.columns)
 
 
 def nth_by_size(ds: DataFrame, n: int, size: str = "nconfigurations", key: str = "id") -> DataFrame:
@@ -29,5 +52,5 @@ def first_row(df: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def reverse_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """The rows in reverse order."""
-    return df.orderBy(*[F.col(c).desc() for c in order])
+    """The rows in reverse order; ties as in ``order_by``."""
+    return df.orderBy(*[F.col(c).desc() for c in order], F.xxhash64(*df.columns))

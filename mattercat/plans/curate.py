@@ -13,6 +13,7 @@ from ..operators.aggregates import audit_counts, combine_duplicates, duplicate_i
 from ..operators.edits import filter_nonempty_list, filter_not_in, select_ordered, typed_table
 from ..operators.joins import merge_po_co, rows_for_duplicates
 from ..operators.sets import append_rows
+from ..session import staged
 
 
 def repair_duplicates(
@@ -20,9 +21,11 @@ def repair_duplicates(
 ) -> DataFrame:
     """The table with one row per id; rows of repeated ids are merged.
 
-    Only repeated ids go through the merge; all other rows pass an anti join.
+    Only repeated ids go through the merge; all other rows pass an anti join. The
+    repeated ids are written first, so that they are found once and their size is
+    known: while they are few, no join moves the table itself.
     """
-    repeated = duplicate_ids(df, key)
+    repeated = staged(duplicate_ids(df, key), "repeated-ids")
     merged = combine_duplicates(rows_for_duplicates(df, repeated, key), key, list_cols, order)
     single = df.join(repeated.select(key), key, "left_anti")
     return append_rows(select_ordered(single, df.columns), merged)

@@ -10,17 +10,17 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.hashing import content_hash, id_from_hash, structure_hash
 from ..functions.structures import dimension_types, nperiodic_dimensions, pbc_from_cell
-from ..operators.joins import remap_foreign_key, remap_ids
+from ..operators.joins import remap_foreign_key
 from ..session import staged
 
 
-def id_map(co: DataFrame, mode: str = "parity", hash_columns: Sequence[str] = S.CO_HASH_COLUMNS) -> DataFrame:
-    """``(id, new_id, new_hash, new_struct_hash)`` from the content of each structure."""
+def rehashed(
+    co: DataFrame, mode: str = "parity", hash_columns: Sequence[str] = S.CO_HASH_COLUMNS
+) -> DataFrame:
+    """``co`` with ``new_id``, ``new_hash`` and ``new_struct_hash`` from its content."""
     hashed = content_hash(co, hash_columns, "new_hash", mode)
     hashed = structure_hash(hashed, "new_struct_hash", mode=mode)
-    return hashed.select(
-        "id", id_from_hash("new_hash", "CO").alias("new_id"), "new_hash", "new_struct_hash"
-    )
+    return hashed.withColumn("new_id", id_from_hash("new_hash", "CO"))
 
 
 def fix_pbc_and_rehash(
@@ -30,18 +30,19 @@ def fix_pbc_and_rehash(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(co, po, map)`` with periodicity from the cell and new hashes and ids.
 
-    The id map is written to the shared folder: it is the one result that both
-    tables need, and hashing is the costly part. New property ids need no map,
-    since a property's hash is computed on its own row.
+    Old and new id stand on the same row of ``co``, so its own ids change without a
+    join. That table is written to the shared folder once, since hashing is the
+    costly part, and the map ``(id, new_id, new_hash, new_struct_hash)`` is four of
+    its columns. Only the foreign key of ``po`` needs a join.
     """
     fixed = co.withColumn("pbc", pbc_from_cell("cell"))
     fixed = fixed.withColumn("dimension_types", dimension_types("pbc"))
     fixed = fixed.withColumn("nperiodic_dimensions", nperiodic_dimensions("dimension_types"))
-    mapping = staged(id_map(fixed, mode, co_hash_columns), "co-id-map")
+    both = staged(rehashed(fixed, mode, co_hash_columns), "rehashed-structures")
+    mapping = both.select("id", "new_id", "new_hash", "new_struct_hash")
 
-    new_co = remap_ids(
-        fixed, mapping, {"id": "new_id", "hash": "new_hash", "structure_hash": "new_struct_hash"}
-    )
+    new = {"id": "new_id", "hash": "new_hash", "structure_hash": "new_struct_hash"}
+    new_co = both.withColumns({old: F.col(c) for old, c in new.items()}).drop(*new.values())
     moved = remap_foreign_key(po, mapping)
     hashed = content_hash(moved, [c for c in po_hash_columns if c in po.columns], "hash", mode)
     new_po = hashed.withColumn("id", id_from_hash("hash", "PO"))

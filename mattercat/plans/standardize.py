@@ -14,6 +14,7 @@ from ..functions.units import (
 )
 from ..operators.aggregates import recreate_datasets
 from ..operators.joins import attach_nsites
+from ..session import staged
 
 REFERENCED = ["potential_energy", "free_energy", "adsorption_energy", "atomization_energy", "formation_energy"]
 
@@ -61,13 +62,13 @@ def standardize_properties(
 ) -> tuple[DataFrame, DataFrame]:
     """Standard properties under new hashes and ids, and datasets with fresh statistics.
 
-    The old hash is kept in ``old_hash`` where there was one.
+    The old hash is kept in ``old_hash`` where there was one. The properties are
+    written to the shared folder once; statistics then read only their columns.
     """
     lay = layout or Layout()
     values = standard_values(po, co, lay)
     if "hash" in values.columns:
         values = values.withColumnRenamed("hash", "old_hash")
     hashed = content_hash(values, [c for c in lay.hash_columns if c in values.columns])
-    properties = hashed.withColumn("id", id_from_hash("hash", "PO"))
-    # Statistics need no hash, so they do not wait for it.
-    return properties, recreate_datasets(ds, values)
+    properties = staged(hashed.withColumn("id", id_from_hash("hash", "PO")), "standard-properties")
+    return properties, recreate_datasets(ds, properties)

@@ -75,6 +75,21 @@ def write_clustered(
     save_table(ranged.sortWithinPartitions(*sorted_cols), name, mode, path)
 
 
+def write_bucketed(
+    df: DataFrame, name: str, key: str, buckets: int, mode: str = "overwrite", path: str | None = None
+) -> None:
+    """A copy hashed and sorted by ``key`` on disk.
+
+    Two tables bucketed alike, such as ``po`` and ``co`` by structure id, join
+    without moving either. A key with very many rows makes one large bucket; for
+    such tables the shuffled join, which can be cut, is the better one.
+    """
+    writer = df.repartition(buckets, key).write.mode(mode).format("parquet")
+    if path:
+        writer = writer.option("path", path)
+    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+
+
 def publish_swap(
     spark: SparkSession, date: str, names: Sequence[str] = TABLES, suffix: str = "_tmp",
     schema: str | None = None,
@@ -97,7 +112,7 @@ def publish_swap(
 
 def export_counts_csv(df: DataFrame, path: str) -> None:
     """A small result, such as counts per prefix, as one CSV file with a header."""
-    df.coalesce(1).write.option("header", True).csv(path)
+    df.repartition(1).write.option("header", True).csv(path)
 
 
 def export_text_list(df: DataFrame, col: str, path: str) -> None:

@@ -207,6 +207,14 @@ def test_orders_and_sets(spark, small):
     assert rows(S.distinct_paths(paths, ["x", "y"]), "path") == [("a",), ("b",)]
 
 
+def test_large_limit_is_cut_from_sorted_files(spark, monkeypatch):
+    monkeypatch.setattr(O, "TOP_K", 10)
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"), F.lit("x").alias("v")).repartition(7)
+    found = O.limit_rows(df, 1234, ["k"])
+    assert found.columns == ["k", "v"]
+    assert sorted(r["k"] for r in found.collect()) == list(range(1234))
+
+
 def test_purge(spark):
     ds = spark.createDataFrame([("d1",), ("d2",)], "id string")
     co = spark.createDataFrame([("c1", ["d1"]), ("c2", ["d1", "d2"]), ("c3", ["d2"])], "id string, dataset_ids array<string>")

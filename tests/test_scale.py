@@ -3,19 +3,21 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from workload import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
 # Queries that hash in the one Arrow UDF.
-PYTHON = {"content_hash_parity", "hash_bytes", "structure_hash", "standardize_properties_rows", "fix_pbc_and_rehash"}
-# Results that are one global order or choice by nature.
+PYTHON = {"content_hash_parity", "hash_bytes", "structure_hash"}
+# Queries that write while they are built.
 WRITES = {
     "copy_table", "save_table", "export_dataset_parquet", "export_all_datasets", "export_bundle", "export_resumable",
     "size_partitions", "export_flat_parquet", "export_dataset_json", "export_counts_csv", "export_text_list",
     "export_extxyz", "write_clustered", "publish_swap", "table_exists", "dataset_card", "incremental_copy", "build_arrays",
     "release", "export", "scan_csv_ids", "scan_text_ids", "fix_pbc_and_rehash",
+    "standardize_properties", "standardize_properties_rows", "repair_duplicates", "distinct_dimensions",
 }
 
 
@@ -55,6 +57,64 @@ def test_unit_conversion_is_narrow(spark):
     assert "Exchange" not in tree and "Join" not in tree
 
 
+@pytest.fixture
+def settings(spark):
+    changed = {}
+
+    def change(**values):
+        for key, value in values.items():
+            name = "spark.sql." + key.replace("__", ".")
+            changed[name] = spark.conf.get(name, None)
+            spark.conf.set(name, value)
+
+    yield change
+    for name, value in changed.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def final_plan(df) -> str:
+    df.collect()  # runs this very plan
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_structure_is_cut_over_tasks(spark, settings):
+    from mattercat.operators.joins import attach_nsites
+
+    settings(autoBroadcastJoinThreshold="-1", adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+             adaptive__skewJoin__skewedPartitionFactor="2", adaptive__advisoryPartitionSizeInBytes="10KB",
+             shuffle__partitions="16")
+    po = spark.range(60_000, numPartitions=8).selectExpr(
+        "uuid() AS id", "if(id % 3 = 0, 'hot', concat('c', id)) AS configuration_id").cache()
+    co = spark.range(60_000).selectExpr("if(id = 0, 'hot', concat('c', id)) AS id", "cast(id AS int) AS nsites")
+    joined = attach_nsites(po, co)
+    assert "skew=true" in final_plan(joined)
+    assert joined.count() == 60_000
+    po.unpersist()
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, settings, tmp_path):
+    from mattercat.operators.joins import attach_nsites
+    from mattercat.sinks.tables import write_bucketed
+
+    settings(autoBroadcastJoinThreshold="-1")
+    po = spark.range(500).selectExpr("concat('p', id) AS id", "concat('c', id % 90) AS configuration_id")
+    co = spark.range(90).selectExpr("concat('c', id) AS id", "cast(id AS int) AS nsites")
+    write_bucketed(po, "bucketed_po", "configuration_id", 4, path=str(tmp_path / "po"))
+    write_bucketed(co, "bucketed_co", "id", 4, path=str(tmp_path / "co"))
+    joined = attach_nsites(spark.table("bucketed_po"), spark.table("bucketed_co"))
+    assert "SortMergeJoin" in plan(joined) and "Exchange" not in plan(joined).split("(1) Scan")[0]
+    assert joined.filter("nsites IS NOT NULL").count() == 500
+
+
+def test_one_sort_value_is_sorted_by_several_tasks(spark, settings):
+    from mattercat.operators.ordering import order_by
+
+    settings(adaptive__coalescePartitions__enabled="false")
+    df = spark.range(20_000, numPartitions=8).selectExpr("id", "if(id % 3 = 0, 7, id) AS v")
+    tasks = order_by(df, "v").withColumn("task", F.spark_partition_id())
+    assert tasks.filter("v = 7").select("task").distinct().count() > 1
+
+
 def test_large_sides_are_not_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
