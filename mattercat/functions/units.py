@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lists import as_column, parse_list
+from .lists import parse_list
 
 # CODATA 2014, SI.
 LIGHT_SPEED = 299792458.0
@@ -56,71 +56,65 @@ COMMON = (
 STEP = r"[*/]?[A-Za-z]+(?:\^-?[0-9]+)?"
 UNIT = r"^[A-Za-z]+(\^-?[0-9]+)?([*/][A-Za-z]+(\^-?[0-9]+)?)*$"
 
+# The conversions are written as SQL text: it is one call to the JVM per column,
+# where the same tree built node by node takes hundreds.
 
-def unit_steps(unit: Column | str, on_error: str = "fail") -> Column:
-    """Unit text to ``array<struct<divide, factor>>``, in reading order.
+
+def _double(value: float) -> str:
+    return f"{value!r}D"
+
+
+def unit_steps(unit: str, on_error: str = "fail") -> str:
+    """SQL: the text of column ``unit`` to ``array<struct<divide, factor>>``, in reading order.
 
     An exponent belongs to the unit it stands on. Unknown or unreadable units stop
     the job, or give null with ``on_error='null'``.
     """
-    text = as_column(unit)
-    table = F.create_map(*[F.lit(x) for pair in FACTORS.items() for x in pair])
-
-    def step(token: Column) -> Column:
-        factor = F.try_element_at(table, F.regexp_extract(token, "[A-Za-z]+", 0))
-        exponent = F.regexp_substr(token, F.lit("-?[0-9]+$")).try_cast("int")
-        return F.struct(
-            token.startswith("/").alias("divide"),
-            F.when(exponent.isNotNull(), F.pow(factor, exponent)).otherwise(factor).alias("factor"),
-        )
-
-    steps = F.transform(F.regexp_extract_all(text, F.lit(STEP), F.lit(0)), step)
-    usable = F.when(text.rlike(UNIT) & ~F.exists(steps, lambda s: s["factor"].isNull()), steps)
+    table = ", ".join(f"'{name}', {_double(factor)}" for name, factor in FACTORS.items())
+    factor = f"try_element_at(map({table}), regexp_extract(t, '[A-Za-z]+', 0))"
+    exponent = "regexp_extract(t, '-?[0-9]+$', 0)"
+    steps = (
+        f"transform(regexp_extract_all(`{unit}`, r'{STEP}', 0), t -> struct(startswith(t, '/') AS divide, "
+        f"if({exponent} = '', {factor}, pow({factor}, try_cast({exponent} AS int))) AS factor))"
+    )
+    usable = (
+        f"CASE WHEN `{unit}` RLIKE r'{UNIT}' AND NOT exists({steps}, s -> s.factor IS NULL) THEN {steps} END"
+    )
     if on_error == "null":
         return usable
-    problem = F.raise_error(F.concat(F.lit("unknown unit: "), F.coalesce(text, F.lit("null"))))
-    return F.coalesce(usable, problem.cast("array<struct<divide:boolean,factor:double>>"))
+    return f"coalesce({usable}, raise_error(concat('unknown unit: ', coalesce(`{unit}`, 'null'))))"
 
 
-def _known(unit: str) -> Callable[[Column], Column]:
-    """A number times and over the factors of a common unit, in the order it names them."""
-    def convert(value: Column) -> Column:
-        for divide, name, exponent in re.findall(r"([*/]?)([A-Za-z]+)(?:\^(-?[0-9]+))?", unit):
-            factor = FACTORS[name] ** int(exponent or 1)
-            if factor != 1.0:
-                value = value / F.lit(factor) if divide == "/" else value * F.lit(factor)
-        return value
+def _known(value: str, unit: str) -> str:
+    """SQL: ``value`` times and over the factors of a common unit, in the order it names them."""
+    for divide, name, exponent in re.findall(r"([*/]?)([A-Za-z]+)(?:\^(-?[0-9]+))?", unit):
+        factor = FACTORS[name] ** int(exponent or 1)
+        if factor != 1.0:
+            value = f"{value} {'/' if divide == '/' else '*'} {_double(factor)}"
+    return value
 
-    return convert
 
+def _standard_sql(value: str, unit: str, standard: Sequence[str], on_error: str, nested: bool) -> str:
+    """SQL: column ``value`` by the unit of its row; ``nested`` for rows of numbers."""
+    def each(number: str) -> str:
+        return f"transform(`{value}`, r -> transform(r, x -> {number}))" if nested else number
 
-def _by_unit(
-    unit: Column, standard: Sequence[str], on_error: str, apply: Callable[[Callable[[Column], Column]], Column],
-    unchanged: Column,
-) -> Column:
-    """``apply`` a number-to-number conversion chosen by the unit of the row."""
-    value = F.when(unit.isin(*standard), unchanged)
-    for common in COMMON:
-        if common not in standard:
-            value = value.when(unit == common, apply(_known(common)))
+    x = "x" if nested else f"`{value}`"
+    named = ", ".join(f"'{u}'" for u in standard)
+    whens = [f"WHEN `{unit}` IN ({named}) THEN `{value}`"] + [
+        f"WHEN `{unit}` = '{u}' THEN {each(_known(x, u))}" for u in COMMON if u not in standard
+    ]
     # The one-element list binds the steps once per row, not once per number.
-    other = F.transform(
-        F.array(unit_steps(unit, on_error)),
-        lambda steps: apply(lambda x: F.aggregate(
-            steps, x,
-            lambda acc, s: F.when(s["divide"], acc / s["factor"]).otherwise(acc * s["factor"]),
-        )),
-    )[0]
-    return value.otherwise(other)
+    stepped = each(f"aggregate(steps, {x}, (acc, s) -> if(s.divide, acc / s.factor, acc * s.factor))")
+    other = f"transform(array({unit_steps(unit, on_error)}), steps -> {stepped})[0]"
+    return f"CASE WHEN `{value}` IS NOT NULL THEN CASE {' '.join(whens)} ELSE {other} END END"
 
 
 def to_standard(
-    value: Column, unit: Column | str, standard: Sequence[str] = ENERGY_STANDARD,
-    on_error: str = "fail",
+    col: str, unit: str, standard: Sequence[str] = ENERGY_STANDARD, on_error: str = "fail"
 ) -> Column:
-    """One number in its own unit to the standard unit; null stays null."""
-    converted = _by_unit(as_column(unit), standard, on_error, lambda convert: convert(value), value)
-    return F.when(value.isNotNull(), converted)
+    """A number column in the units of another column to the standard unit; null stays null."""
+    return F.expr(_standard_sql(col, unit, standard, on_error, nested=False))
 
 
 def convert_energy(
@@ -130,7 +124,7 @@ def convert_energy(
     """Energies to eV. The unit of ``c`` is in ``c_unit`` unless ``unit_cols`` says otherwise."""
     units = unit_cols or {}
     return df.withColumns({
-        c: to_standard(F.col(c), units.get(c, f"{c}_unit"), on_error=on_error) for c in cols
+        c: to_standard(c, units.get(c, f"{c}_unit"), on_error=on_error) for c in cols
     })
 
 
@@ -145,7 +139,7 @@ def convert_reference_energy(
     # Unknown dataset: the value is kept.
     void = F.coalesce(void, F.lit(False))
     return df.withColumns({
-        c: F.when(~void, to_standard(F.col(c), units.get(c, f"{c}_unit"), on_error=on_error))
+        c: F.when(~void, to_standard(c, units.get(c, f"{c}_unit"), on_error=on_error))
         for c in cols
     })
 
@@ -165,13 +159,9 @@ def convert_array(
     is_text = df.schema[col].dataType.simpleString() == "string"
     # A column of its own, so that the text is read once.
     rows = df.withColumn("__values", parse_list(col, "array<double>", "fail") if is_text else F.col(col))
-    values = F.col("__values")
-    converted = _by_unit(
-        F.col(unit_col), standard, on_error,
-        lambda convert: F.transform(values, lambda row: F.transform(row, convert)), values,
-    )
+    converted = F.expr(_standard_sql("__values", unit_col, standard, on_error, nested=True))
     empty = F.array().cast("array<array<double>>")
-    return rows.withColumn(col, F.when(F.size(values) > 0, converted).otherwise(empty)).drop("__values")
+    return rows.withColumn(col, F.when(F.size("__values") > 0, converted).otherwise(empty)).drop("__values")
 
 
 def per_atom_to_total(df: DataFrame, cols: dict[str, str], nsites: str = "nsites") -> DataFrame:

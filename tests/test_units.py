@@ -19,26 +19,27 @@ def test_published_constants():
     ("hartree/bohr/bohr", 2.0 * H / B / B), ("eV*nm", 20.0), ("eV/bohr^3", 2.0 / B**3), ("hartree*bohr^-1", 2.0 * H * B**-1),
 ])
 def test_scalar_units(one, unit, expected):
-    assert one(U.to_standard(F.col("v"), "u"), v=2.0, u=unit) == pytest.approx(expected, rel=1e-15)
+    assert one(U.to_standard("v", "u"), v=2.0, u=unit) == pytest.approx(expected, rel=1e-15)
 
 
 def test_exponent_belongs_to_its_unit(one):
     # Not (2 * hartree / bohr) ** 3.
-    assert one(U.to_standard(F.col("v"), "u"), v=2.0, u="hartree/bohr^3") == pytest.approx(2.0 * H / B**3)
+    assert one(U.to_standard("v", "u"), v=2.0, u="hartree/bohr^3") == pytest.approx(2.0 * H / B**3)
 
 
 def test_unknown_units(one, spark):
     for bad in ("parsec", "eV//angstrom", "eV angstrom", ""):
         with pytest.raises(Exception, match="unknown unit"):
-            one(U.to_standard(F.col("v"), "u"), v=1.0, u=bad)
-        assert one(U.to_standard(F.col("v"), "u", on_error="null"), v=1.0, u=bad) is None
+            one(U.to_standard("v", "u"), v=1.0, u=bad)
+        assert one(U.to_standard("v", "u", on_error="null"), v=1.0, u=bad) is None
     nothing = spark.createDataFrame([(None, "parsec")], "v double, u string")
-    assert nothing.select(U.to_standard(F.col("v"), "u")).first()[0] is None
+    assert nothing.select(U.to_standard("v", "u")).first()[0] is None
 
 
 def test_there_and_back(spark):
     df = spark.createDataFrame([(float(i),) for i in range(1, 50)], "v double")
-    back = df.select("v", (U.to_standard(F.col("v"), F.lit("kcal/mol")) / F.lit(K / M)).alias("b")).collect()
+    df = df.withColumn("u", F.lit("kcal/mol"))
+    back = df.select("v", (U.to_standard("v", "u") / F.lit(K / M)).alias("b")).collect()
     assert all(r["b"] == pytest.approx(r["v"], rel=1e-14) for r in back)
 
 
