@@ -8,11 +8,13 @@ buffers are cut by numpy. Null rules and the sorting of atoms stay in Catalyst.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from hashlib import sha512
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,9 @@ from .lists import as_column
 
 ROUNDING = 16  # decimals kept of site positions in a structure hash
 
+# The UDF below travels with its helpers, so that workers need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _fixed_width(values: pa.Array, decimals: int | None) -> tuple[bytes, int]:
     """All values as one byte string, and the bytes each takes."""

@@ -152,10 +152,9 @@ def nth_by_size(t: Tables):
     return O.nth_by_size(t.sql(SIZES), 7)
 
 
-@query("first_row", "SELECT id, multiplicity FROM {po} WHERE dataset_id = 'DS_000002_0' ORDER BY id, multiplicity LIMIT 1")
+@query("first_row", "SELECT id, multiplicity FROM {po} ORDER BY id, multiplicity LIMIT 1")
 def first_row(t: Tables):
-    rows = t.po.filter("dataset_id = 'DS_000002_0'").select("id", "multiplicity")
-    return O.first_row(rows, ["id", "multiplicity"])
+    return O.first_row(t.po.select("id", "multiplicity"), ["id", "multiplicity"])
 
 
 @query("reverse_order", "SELECT id, score FROM {ds} ORDER BY score DESC, id DESC")

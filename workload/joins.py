@@ -16,9 +16,9 @@ MERGE_COLUMNS = [
 @query("merge_po_co", """
     SELECT p.id AS property_id, p.dataset_id, p.multiplicity, p.method, p.configuration_id,
            c.nsites, c.names, c.cell, c.metadata_path AS configuration_metadata_path
-    FROM {po} p JOIN {co} c ON c.id = p.configuration_id WHERE c.nsites > 5""")
+    FROM {po} p JOIN {co} c ON c.id = p.configuration_id""")
 def merge_po_co(t: Tables):
-    return J.merge_po_co(t.po.drop("last_modified"), t.co.filter("nsites > 5"), MERGE_COLUMNS)
+    return J.merge_po_co(t.po.drop("last_modified"), t.co, MERGE_COLUMNS)
 
 
 @query("flatten_po_co", """
@@ -45,13 +45,14 @@ def attach_nsites(t: Tables):
 
 @query("attach_stats", """
     SELECT d.id, d.name, s.nproperty_objects
-    FROM {ds} d LEFT JOIN (SELECT dataset_id, count(*) AS nproperty_objects FROM {po}
-                           WHERE dataset_id < 'DS_000050_0' GROUP BY dataset_id) s ON s.dataset_id = d.id""")
+    FROM (SELECT id, name FROM {ds} UNION ALL SELECT id, name FROM {cs}) d
+    LEFT JOIN (SELECT dataset_id, count(*) AS nproperty_objects FROM {po} GROUP BY dataset_id) s
+    ON s.dataset_id = d.id""")
 def attach_stats(t: Tables):
-    stats = t.po.filter("dataset_id < 'DS_000050_0'").groupBy("dataset_id").agg(
-        F.count("*").alias("nproperty_objects")
-    )
-    return J.attach_stats(t.ds.select("id", "name"), stats).select("id", "name", "nproperty_objects")
+    # Sets stand in for datasets without rows.
+    datasets = t.ds.select("id", "name").unionByName(t.cs)
+    stats = t.po.groupBy("dataset_id").agg(F.count("*").alias("nproperty_objects"))
+    return J.attach_stats(datasets, stats).select("id", "name", "nproperty_objects")
 
 
 @query("rows_for_duplicates", """
@@ -100,9 +101,9 @@ def anti_missing_children(t: Tables):
 
 @query("anti_orphans", """
     SELECT id, dataset_id FROM {po}
-    WHERE dataset_id NOT IN (SELECT id FROM {ds} WHERE group_key % 2 = 0)""")
+    WHERE dataset_id NOT IN (SELECT id FROM {ds} WHERE score > 3000)""")
 def anti_orphans(t: Tables):
-    return J.anti_orphans(t.po.select("id", "dataset_id"), t.ds.filter("group_key % 2 = 0"), "dataset_id")
+    return J.anti_orphans(t.po.select("id", "dataset_id"), t.ds.filter("score > 3000"), "dataset_id")
 
 
 @query("copy_closure", """

@@ -66,23 +66,19 @@ def export_all_datasets(t: Tables):
 
 
 @query("export_bundle", """
-    SELECT 'ds' AS kind, id AS dataset_id, count(*) AS n FROM {ds} WHERE group_key < 12 GROUP BY id
-    UNION ALL
-    SELECT 'po', dataset_id, count(*) FROM {po} WHERE dataset_id IN (SELECT id FROM {ds} WHERE group_key < 12) GROUP BY dataset_id
-    UNION ALL
-    SELECT 'co', dataset_id, count(*) FROM {member} WHERE dataset_id IN (SELECT id FROM {ds} WHERE group_key < 12) GROUP BY dataset_id
-    UNION ALL
-    SELECT 'cs', dataset_id, count(*) FROM {cs_owned} WHERE dataset_id IN (SELECT id FROM {ds} WHERE group_key < 12) GROUP BY dataset_id
-    UNION ALL
-    SELECT 'cs_co_map', o.dataset_id, count(*) FROM {cs_co_map} m JOIN {cs_owned} o ON o.id = m.configuration_set_id
-    WHERE o.dataset_id IN (SELECT id FROM {ds} WHERE group_key < 12) GROUP BY o.dataset_id""")
+    SELECT 'ds' AS kind, id AS dataset_id, count(*) AS n FROM {ds} GROUP BY id
+    UNION ALL SELECT 'po', dataset_id, count(*) FROM {po} GROUP BY dataset_id
+    UNION ALL SELECT 'co', dataset_id, count(*) FROM {member} GROUP BY dataset_id
+    UNION ALL SELECT 'cs', dataset_id, count(*) FROM {cs_owned} GROUP BY dataset_id
+    UNION ALL SELECT 'cs_co_map', o.dataset_id, count(*)
+    FROM {cs_co_map} m JOIN {cs_owned} o ON o.id = m.configuration_set_id GROUP BY o.dataset_id""")
 def export_bundle(t: Tables):
     path = t.fresh("bundle")
     members = t.member.groupBy(F.col("configuration_id").alias("id")).agg(
         F.collect_set("dataset_id").alias("dataset_ids")
     )
     tables = {
-        "ds": t.ds.filter("group_key < 12"), "po": narrow_po(t),
+        "ds": t.ds, "po": narrow_po(t),
         "co": t.co.join(members, "id"), "cs": t.cs_owned, "cs_co_map": t.cs_co_map,
     }
     X.export_bundle(tables, path, level=LEVEL)
