@@ -26,6 +26,14 @@ ROUNDING = 16  # decimals kept of site positions in a structure hash
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def _is_list(kind: pa.DataType) -> bool:
+    return pa.types.is_list(kind) or pa.types.is_large_list(kind)
+
+
+def _is_text(kind: pa.DataType) -> bool:
+    return pa.types.is_string(kind) or pa.types.is_large_string(kind)
+
+
 def _fixed_width(values: pa.Array, decimals: int | None) -> tuple[bytes, int]:
     """All values as one byte string, and the bytes each takes."""
     if pa.types.is_floating(values.type):
@@ -51,18 +59,18 @@ def hash_bytes(column: pa.Array, decimals: int | None = None) -> list[bytes | No
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     kind = column.type
-    if pa.types.is_string(kind) or pa.types.is_large_string(kind):
+    if _is_text(kind):
         return [None if v is None or v == "[]" else v.encode() for v in column.to_pylist()]
     present = column.is_valid().to_numpy(zero_copy_only=False)
-    if not pa.types.is_list(kind):
+    if not _is_list(kind):
         filled = column.fill_null(False if pa.types.is_boolean(kind) else 0)
         data, width = _fixed_width(filled, decimals)
         bounds = np.arange(len(column) + 1)
     else:
         bounds, leaves = column.offsets.to_numpy(), column.values
-        while pa.types.is_list(leaves.type):
+        while _is_list(leaves.type):
             bounds, leaves = leaves.offsets.to_numpy()[bounds], leaves.values
-        if pa.types.is_string(leaves.type):
+        if _is_text(leaves.type):
             return [None if v is None else np.array(v).tobytes() for v in column.to_pylist()]
         data, width = _fixed_width(leaves, decimals)
     ends = (bounds * width).tolist()

@@ -6,6 +6,7 @@ written to a new table and promoted with ``publish_swap``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -76,10 +77,13 @@ def filter_not_in(
 
 def filter_member(df: DataFrame, list_col: str, value) -> DataFrame:
     """Rows whose list holds exactly ``value`` (not a longer id that contains it)."""
-    values = F.col(list_col)
-    if isinstance(df.schema[list_col].dataType, T.StringType):
-        values = parse_list(list_col, "string")
-    return df.filter(F.array_contains(values, value))
+    if not isinstance(df.schema[list_col].dataType, T.StringType):
+        return df.filter(F.array_contains(list_col, value))
+    if re.fullmatch(r"[\w.-]+", value):
+        # A plain id stands in the text as it is: the scan can drop most rows
+        # before any list is parsed.
+        df = df.filter(F.contains(F.col(list_col), F.lit(value)))
+    return df.filter(F.array_contains(parse_list(list_col, "string"), value))
 
 
 def filter_nonempty_list(df: DataFrame, list_col: str) -> DataFrame:

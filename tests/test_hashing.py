@@ -46,6 +46,18 @@ def test_content_hash_matches_numpy(spark):
         assert row["hash"] == expected(row, names), row["id"]
 
 
+def test_bytes_of_slices_and_large_types():
+    import pyarrow as pa
+
+    values = [[[1.0, 2.0], [3.0]], None, [], [[4.0]], [[5.0], [6.0, 7.0]]]
+    for kind in (pa.list_(pa.list_(pa.float64())), pa.large_list(pa.large_list(pa.float64()))):
+        whole = pa.array(values, kind)
+        for start in range(len(values)):
+            found = H.hash_bytes(whole.slice(start, 3))
+            flat = [None if v is None else np.array([x for r in v for x in r]).tobytes() for v in values]
+            assert found == flat[start:start + 3]
+
+
 def test_content_hash_does_not_depend_on_batches(spark):
     rng = random.Random(3)
     rows = [

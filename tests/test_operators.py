@@ -151,12 +151,20 @@ def test_metadata_lookup_with_hot_and_null_paths(spark):
         assert len(found) == 900
 
 
+def test_metadata_lookup_of_two_columns(spark):
+    df = spark.createDataFrame([(1, "a", "b"), (2, None, "a"), (3, "c", None), (4, "x", "b")], "i int, p string, q string")
+    store = spark.createDataFrame([(k, k * 2) for k in "abcd"], "path string, content string")
+    found = metadata.metadata_lookup(df, store, {"p": "pm", "q": "qm"})
+    assert rows(found, "i", "pm", "qm") == [(1, "aa", "bb"), (2, None, "aa"), (3, "cc", None), (4, None, "bb")]
+    assert found.columns == ["i", "p", "q", "pm", "qm"]
+
+
 def test_metadata_store_reads_files(spark, tmp_path):
-    folder = tmp_path / "store" / "data" / "MD"
+    folder = tmp_path / "store" / "store" / "data" / "MD"
     folder.mkdir(parents=True)
     (folder / "a.json").write_text('{"a": 1}\n{"b": 2}\n')
     (folder / "b.json").write_text("")
-    found = rows(metadata.metadata_store(spark, str(tmp_path / "store")), "path", "content")
+    found = rows(metadata.metadata_store(spark, str(tmp_path / "store" / "store")), "path", "content")
     assert ("data/MD/a.json", '{"a": 1}\n{"b": 2}\n') in found
 
 
