@@ -72,7 +72,7 @@ def filter_not_in(
         values = df.sparkSession.createDataFrame([(v,) for v in values], field)
     # A null never equals anything, so the anti join keeps it.
     rows = df if keep_null else df.filter(F.col(col).isNotNull())
-    return rows.join(values.toDF(col), col, "left_anti")
+    return rows.join(values.toDF(col).distinct(), col, "left_anti")
 
 
 def filter_member(df: DataFrame, list_col: str, value) -> DataFrame:

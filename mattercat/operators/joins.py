@@ -1,9 +1,9 @@
 """Joins between the five tables.
 
 All are equi-joins without strategy hints: Catalyst broadcasts a side only when
-its measured size is under the threshold, and adaptive execution splits a key
-that holds too many rows (a structure or dataset shared by a third of them) on
-the side that keeps its rows. A side that is only looked up, and may repeat its
+its measured size is under the threshold. Joins that fetch one row per key deal
+out keys that hold too many rows (``lookup_join``); in the others adaptive
+execution splits them on the side that keeps its rows. A side that is only looked up, and may repeat its
 keys, is reduced to distinct keys first, which combines before the shuffle.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from .edits import drop_columns, rename_prefixed
+from .skew import NO_HOT_KEYS, lookup_join
 
 
 def merge_po_co(
@@ -28,7 +29,7 @@ def merge_po_co(
     structures = rename_prefixed(
         drop_columns(co, S.MERGE_DROPPED_CO), "configuration", S.MERGE_RENAMED
     )
-    return properties.join(structures, "configuration_id", "inner").select(*columns)
+    return lookup_join(properties, structures, "configuration_id", "inner").select(*columns)
 
 
 def flatten_po_co(po: DataFrame, co: DataFrame) -> DataFrame:
@@ -41,19 +42,19 @@ def flatten_po_co(po: DataFrame, co: DataFrame) -> DataFrame:
     structures = rename_prefixed(
         drop_columns(co, paths), "configuration", S.FLAT_SHARED + S.FLAT_PREFIXED_CO
     )
-    return properties.join(structures, "configuration_id", "left")
+    return lookup_join(properties, structures, "configuration_id")
 
 
 def attach_dataset(rows: DataFrame, ds: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Dataset attributes, each prefixed ``dataset_``, on every row of the dataset."""
     chosen = ds if cols is None else ds.select("id", *[c for c in cols if c != "id"])
-    return rows.join(rename_prefixed(chosen, "dataset"), "dataset_id", "left")
+    return lookup_join(rows, rename_prefixed(chosen, "dataset"), "dataset_id")
 
 
 def attach_nsites(po: DataFrame, co: DataFrame) -> DataFrame:
     """The number of sites of each property's structure. Reads two columns of ``co``."""
     sites = co.select(F.col("id").alias("configuration_id"), "nsites")
-    return po.join(sites, "configuration_id", "left")
+    return lookup_join(po, sites, "configuration_id")
 
 
 def attach_stats(ds: DataFrame, stats: DataFrame, key: str = "dataset_id") -> DataFrame:
@@ -83,18 +84,20 @@ def has_sets(ds: DataFrame, cs: DataFrame) -> DataFrame:
 
 
 def remap_ids(
-    df: DataFrame, id_map: DataFrame, replace: dict[str, str], key: str = "id", how: str = "inner"
+    df: DataFrame, id_map: DataFrame, replace: dict[str, str], key: str = "id", how: str = "inner",
+    hot: dict | None = NO_HOT_KEYS,
 ) -> DataFrame:
     """Take columns from an old-to-new table: ``{column: column of id_map}``.
 
     ``id_map`` has one row per old id in ``key``. Rows it does not name go, or
-    stay as they are with ``how='left'``.
+    stay as they are with ``how='left'``. ``hot`` as in ``lookup_join``: ids have no
+    hot values, foreign keys may.
     """
     new = id_map.select(
-        F.col(key).alias("__old"), *[F.col(n).alias(f"__{c}") for c, n in replace.items()]
+        key, F.lit(True).alias("__mapped"), *[F.col(n).alias(f"__{c}") for c, n in replace.items()]
     )
-    joined = df.join(new, F.col(key) == F.col("__old"), how)
-    mapped = F.col("__old").isNotNull()
+    joined = lookup_join(df, new, key, how, hot)
+    mapped = F.col("__mapped").isNotNull()
     values = {
         c: F.when(mapped, F.col(f"__{c}")).otherwise(F.col(c)) if how == "left" and c in df.columns
         else F.col(f"__{c}")
@@ -110,7 +113,7 @@ def remap_foreign_key(
 ) -> DataFrame:
     """Point a foreign key at the new ids of ``id_map(id, new_id)``."""
     keyed = id_map.select(F.col("id").alias(fk), F.col(new))
-    return remap_ids(df, keyed, {fk: new}, key=fk, how=how)
+    return remap_ids(df, keyed, {fk: new}, key=fk, how=how, hot=None)
 
 
 def anti_missing_children(

@@ -11,6 +11,7 @@ from mattercat.operators import aggregates as A
 from mattercat.operators import edits as E
 from mattercat.operators import joins as J
 from mattercat.operators import ordering as O
+from mattercat.operators import skew as K
 from mattercat.operators import sets as S
 from mattercat.plans import curate
 from mattercat.sources import metadata, scan
@@ -151,6 +152,41 @@ def test_metadata_lookup_with_hot_and_null_paths(spark):
         assert len(found) == 900
 
 
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_lookup_join_deals_out_hot_keys(spark, monkeypatch, how, broadcast):
+    monkeypatch.setattr(K, "ROWS_PER_TASK", 100)
+    keys = [None if i % 5 == 0 else "hot" if i % 3 == 0 else "gone" if i % 7 == 0 else f"k{i % 40}" for i in range(3000)]
+    left = spark.createDataFrame(list(enumerate(keys)), "i int, k string").repartition(5)
+    table = {"hot": "H", **{f"k{i}": f"v{i}" for i in range(30)}}
+    right = spark.createDataFrame(list(table.items()), "k string, v string")
+    hot = K.hot_keys(left, "k")
+    assert hot["hot"] == -(-keys.count("hot") // 100) and hot[None] == 6 and "k1" not in hot
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        out = K.lookup_join(left, right, "k", how)
+        expected = [(i, k, table.get(k)) for i, k in enumerate(keys) if how == "left" or k in table]
+        assert sorted((r["i"], r["k"], r["v"]) for r in out.collect()) == expected
+        assert out.columns == ["k", "i", "v"] == left.join(right, "k", how).columns
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_keys_reach_every_lookup(spark, monkeypatch):
+    monkeypatch.setattr(K, "ROWS_PER_TASK", 10)
+    po = spark.range(300).selectExpr("concat('p', id) AS id", "if(id % 3 = 0, 'c0', concat('c', id % 7)) AS configuration_id")
+    co = spark.range(7).selectExpr("concat('c', id) AS id", "cast(id AS int) AS nsites", "concat('n', id) AS new_id")
+    wanted = {r["id"]: r["configuration_id"][1:] for r in po.collect()}
+    assert {r["id"]: str(r["nsites"]) for r in J.attach_nsites(po, co).collect()} == wanted
+    assert {r["id"]: r["configuration_id"][1:] for r in J.remap_foreign_key(po, co).collect()} == wanted
+    merged = J.merge_po_co(po, co, ["property_id", "configuration_id", "nsites"])
+    assert {r["property_id"]: str(r["nsites"]) for r in merged.collect()} == wanted
+    assert J.flatten_po_co(po, co.filter("nsites > 3")).count() == 300
+    numbers = spark.range(50).selectExpr("id", "cast(if(id % 2 = 0, 0, id) AS int) AS k")
+    names = spark.createDataFrame([(0, "zero"), (1, "one")], "k int, name string")
+    assert K.lookup_join(numbers, names, "k").filter("name = 'zero'").count() == 25
+
+
 def test_metadata_lookup_of_two_columns(spark):
     df = spark.createDataFrame([(1, "a", "b"), (2, None, "a"), (3, "c", None), (4, "x", "b")], "i int, p string, q string")
     store = spark.createDataFrame([(k, k * 2) for k in "abcd"], "path string, content string")
