@@ -45,10 +45,15 @@ def flatten_po_co(po: DataFrame, co: DataFrame) -> DataFrame:
     return lookup_join(properties, structures, "configuration_id")
 
 
-def attach_dataset(rows: DataFrame, ds: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Dataset attributes, each prefixed ``dataset_``, on every row of the dataset."""
+def attach_dataset(
+    rows: DataFrame, ds: DataFrame, cols: Sequence[str] | None = None, hot: dict | None = None
+) -> DataFrame:
+    """Dataset attributes, each prefixed ``dataset_``, on every row of the dataset.
+
+    ``hot`` as in ``lookup_join``.
+    """
     chosen = ds if cols is None else ds.select("id", *[c for c in cols if c != "id"])
-    return lookup_join(rows, rename_prefixed(chosen, "dataset"), "dataset_id")
+    return lookup_join(rows, rename_prefixed(chosen, "dataset"), "dataset_id", hot=hot)
 
 
 def attach_nsites(po: DataFrame, co: DataFrame) -> DataFrame:
