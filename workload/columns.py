@@ -2,7 +2,6 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from mattercat.functions import hashing as H
 from mattercat.functions import lists as L

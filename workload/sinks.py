@@ -12,8 +12,7 @@ from mattercat.sinks import exports as X
 from mattercat.sinks import tables as W
 from mattercat.streaming.incremental import incremental_copy as copy_new
 
-from .columns import LICENSES, MATRIX, STORED, numbers, pick  # noqa: F401
-from .joins import MERGE_COLUMNS  # noqa: F401
+from .columns import LICENSES, MATRIX, STORED, pick
 from .registry import Tables, query
 
 
