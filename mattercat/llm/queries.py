@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import packing, simhash, suffixes
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -22,6 +24,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, capacity=2048, end_id=0)
+
+
 @query
 def op6_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, seed=42, budget=2)
+
+
+@query
+def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"), depth=400)
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
