@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, simhash, suffixes
+from . import contamination, covertree, langid, main_text, packing, simhash, suffixes, toxicity, url_templates, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,41 @@ def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, capacity=2048, end_id=0)
 
 
+def remainder(column: str, n: int) -> F.Column:
+    """crc32 of an id as text, modulo ``n``."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % n
+
+
+@query
+def op2_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learn = remainder("doc_id", 5) != 0
+    model = toxicity.train(toxicity.labelled(docs.filter(learn), labels.filter(learn)))
+    return toxicity.score(docs, model).select(
+        "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), F.size("passages").alias("n_passages"),
+    )
+
+
+@query
+def op3_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+    return url_templates.filter_urls(table(spark, sf_dir, "pages"), rules)
+
+
+@query
+def op4_benchmark_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(remainder("doc_id", 3) != 1), order=4)
+    return langid.identify(docs, model).select(
+        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op6_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, seed=42, budget=2)
@@ -41,3 +76,19 @@ def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
         F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The pages carry no time of capture, so one is given.
+    return warc.derive(warc.responses_from_pages(table(spark, sf_dir, "pages"), date="2024-01-01T00:00:00Z"))
+
+
+@query
+def op9_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_text(table(spark, sf_dir, "pages")).select("*", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+@query
+def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)

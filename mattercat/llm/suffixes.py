@@ -165,7 +165,8 @@ def repeated_spans(docs: DataFrame, depth: int = 400, gram: int = 100) -> DataFr
     return spans.groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = 400, gram: int = 100) -> DataFrame:
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = 400, gram: int = 100,
+                   carry: str | None = None) -> DataFrame:
     """Every document without the bytes covered by a ``depth``-byte string that occurs twice.
 
     Returns ``(doc_id, n_bytes, removed, kept)``: the UTF-8 length of the text, the removed
@@ -173,15 +174,18 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     at least a byte), and the bytes that stay. All strings are judged on the input; the
     first occurrence goes like any other.
 
+    ``carry`` names one more column to hand through, such as a struct of all others.
+
     Null and empty texts keep nothing and lose nothing. Texts shorter than ``depth`` stay
     whole. Repeated rows are copies of each other, whatever their doc_id, which may be null.
     An empty table gives no rows; other columns are not read. A very long text is one row
     of one task, which needs about 100 bytes for each of its own.
     """
-    base = only(docs, doc_id=doc_id, text=text)
+    base = only(docs, doc_id=doc_id, text=text, **({"carry": carry} if carry else {}))
     keyed = base.withColumn("key", F.unhex(F.md5(F.col("text").cast("binary"))))
-    spans = staged(repeated_spans(keyed, depth, gram), "spans")
-    kind = keyed.schema["doc_id"].dataType.simpleString()
+    spans = staged(repeated_spans(keyed.select("doc_id", "key", "text"), depth, gram), "spans")
+    through = ["doc_id", "carry"] if carry else ["doc_id"]
+    kinds = "".join(f"{n} {keyed.schema[n].dataType.simpleString()}, " for n in through)
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_slices(batches, "text"):
@@ -198,9 +202,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 removed.append([{"first": i, "last": j} for i, j in runs])
                 sizes.append(len(text))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, "int64"),
+                [*[batch.column(n) for n in through], pa.array(sizes, "int64"),
                  pa.array(removed, pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))), pa.array(kept, pa.binary())],
-                ["doc_id", "n_bytes", "removed", "kept"])
+                [*through, "n_bytes", "removed", "kept"])
 
-    return keyed.join(spans, "key", "left").select("doc_id", "text", "spans").mapInArrow(
-        strip, f"doc_id {kind}, n_bytes bigint, removed array<struct<first: bigint, last: bigint>>, kept binary")
+    return keyed.join(spans, "key", "left").select(*through, "text", "spans").mapInArrow(
+        strip, f"{kinds}n_bytes bigint, removed array<struct<first: bigint, last: bigint>>, kept binary")
