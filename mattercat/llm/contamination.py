@@ -1,10 +1,11 @@
 """Test items that leaked into training documents: rare n-gram seeds and local alignment.
 
-Every n-gram of every item is a seed, and all documents are scanned for all seeds. Of
-an item's seeds the rarest half in the corpus count; an edited copy keeps some of them.
-Around seeds that lie close together a passage is cut out and aligned with each item
-the seeds belong to (Smith-Waterman over words), which scores copies with words replaced,
-left out or put in between.
+Every n-gram of every item is a seed, and all documents are scanned for all seeds. Seeds
+that lie close together make a passage. A seed is rare by how few passages have it, and a
+passage is aligned with an item if the seeds they share are rare enough together: one
+rare seed will do, and so will several common ones, as in a copy that is everywhere.
+The alignment (Smith-Waterman over words) scores copies with words replaced, left out or
+put in between.
 
 The scan filters by a bitmap of seed hashes, of fixed size however many items there are;
 what passes is joined to the seeds themselves. Only passages are shuffled, never documents.
@@ -12,6 +13,7 @@ what passes is joined to the seeds themselves. Only passages are shuffled, never
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -170,10 +172,12 @@ def passages(docs: DataFrame, known: np.ndarray, shortest: int, n: int, flank: i
 
 
 def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-                 item_text: str = "text", n: int = 4, flank: int = 64, similarity: float = 0.5) -> DataFrame:
+                 item_text: str = "text", n: int = 4, flank: int = 64, rarity: float = math.log(10),
+                 similarity: float = 0.5) -> DataFrame:
     """Documents with a passage that aligns with a test item, one row for each such pair.
 
-    Returns ``(doc_id, item_id, similarity, matched, first_word, last_word)``: the best
+    ``rarity`` is what the seeds that a passage shares with an item must weigh together, or
+    half of what all the item's seeds weigh, if that is less. Returns ``(doc_id, item_id, similarity, matched, first_word, last_word)``: the best
     alignment's score as a share of the item aligned with itself, its matched words and
     its place in words of the document (``last_word`` exclusive). Pairs under ``similarity``
     are left out, and so are documents without a pair.
@@ -190,13 +194,13 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     found = staged(passages(base, bitmap(seeds), shortest, n, flank).withColumn("passage", F.monotonically_increasing_id()), "passages")
     hits = staged(found.select("passage", F.explode("seeds").alias("seed")).join(seeds.select("seed").distinct(), "seed", "left_semi"), "hits")
 
-    # The rarest half of each item's seeds, by the number of passages that have them.
+    # A seed weighs the more the fewer passages have it: ln(1 + documents / passages).
     often = hits.groupBy("seed").agg(F.count("*").alias("often"))
-    rated = seeds.join(often, "seed", "left").withColumn("often", F.coalesce("often", F.lit(0)))
-    rank = rated.groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct("often", "seed"))).alias("all"))
-    rare = rank.select("item_id", F.explode(F.expr("slice(all, 1, greatest(8, cast(ceil(size(all) / 2) as int)))")).alias("s")).select("item_id", F.col("s.seed").alias("seed"))
-    pairs = hits.join(staged(rare, "rare"), "seed").select("passage", "item_id").distinct()
-    pairs = staged(pairs, "pairs")
+    weight = F.log1p(F.lit(float(max(1, base.count()))) / F.col("often"))
+    rated = staged(seeds.join(often, "seed").select("seed", "item_id", weight.alias("rarity")), "rarity")
+    needed = rated.groupBy("item_id").agg(F.least(F.lit(rarity), F.sum("rarity") / 2).alias("needed"))
+    pairs = hits.join(rated, "seed").groupBy("passage", "item_id").agg(F.sum("rarity").alias("rarity"))
+    pairs = staged(pairs.join(needed, "item_id").filter("rarity >= needed").select("passage", "item_id"), "pairs")
     sided = pairs.join(found.select("passage", "doc_id", "first", "words"), "passage").join(
         tests.select("item_id", F.col("words").alias("item")), "item_id")
     kinds = {f.name: f.dataType.simpleString() for f in sided.schema.fields}
