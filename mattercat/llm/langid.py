@@ -158,15 +158,15 @@ def build_model(counts: DataFrame, order: int, most: int = 400_000) -> Model:
     holds (about 50 bytes a string and language) and what reaches the driver.
     """
     langs = [r[0] for r in counts.select("lang").distinct().orderBy("lang").collect()]
+    if not langs:
+        return Model([], order, np.zeros(0, "u8"), np.zeros((0, 0), "f4"), np.zeros((0, 0), "f4"))
     totals = counts.groupBy("key").agg(F.sum("n").alias("total"))
     if totals.count() > most:
         floor = totals.orderBy(F.desc("total")).limit(most).agg(F.min("total")).first()[0]
         totals = totals.filter(F.col("total") > floor)
     shape = totals.join(counts, "key").groupBy("key").agg(*[
         F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n_{i}") for i, lang in enumerate(langs)])
-    rows = shape.toPandas().sort_values("key") if langs else None
-    if rows is None or not len(rows):
-        return Model(langs, order, np.zeros(0, "u8"), np.zeros((0, len(langs)), "f4"), np.zeros((0, len(langs)), "f4"))
+    rows = shape.toPandas().sort_values("key")
     key = rows["key"].to_numpy().astype("u8")
     n = rows[[f"n_{i}" for i in range(len(langs))]].to_numpy("f8")
     return costs(langs, order, key, n)
