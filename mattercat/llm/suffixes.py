@@ -11,11 +11,12 @@ telling digit, and each keeps only suffixes that still share theirs with another
 2. *Segment.* Segments equal through all their bytes are repeats as a whole; of those,
    one goes on as representative.
 3. *Window.* The windows of representatives whose anchor has different segments are
-   ordered one by one through all ``depth`` bytes, as 128-bit hashes.
+   ordered one by one through all ``depth`` bytes, as 128-bit hashes: those of up to ``GROUP``
+   segments in one task, those of larger groups as rows of their own.
 
-No pass brings a group to one task: groups are counted with partial aggregation, and
-joins to the counts are split where a key is hot. Texts are keyed by their digest, so
-copies of a document are worked on once after the first pass.
+No pass brings a group of unbounded size to one task: groups are counted with partial
+aggregation, and joins to the counts are split where a key is hot. Texts are keyed by
+their digest, so copies of a document are worked on once after the first pass.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from .common import byte_texts, only, small_slices, staged
 
 LOW = np.uint64((1 << 30) - 1)  # bits of a sliding minimum that hold the place
+GROUP = 8192  # different segments of one anchor that are sorted in one place
 BASES = (0x9E3779B97F4A7C15 | 5, 0xD6E8FEB86659FD93 | 5)
 
 
@@ -130,20 +132,6 @@ def repeated_spans(docs: DataFrame, depth: int = 400, gram: int = 100) -> DataFr
                  pa.array(anchor), pa.array(a), pa.array(b)],
                 ["doc_id", "key", "first", "last", "anchor", "a", "b"])
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_slices(batches, "text"):
-            rows, places, hashes = [], [], ([], [])
-            for i, (text, runs) in enumerate(zip(byte_texts(batch.column("text")), batch.column("runs").to_pylist())):
-                strings = Strings(np.frombuffer(text, "u1"), 2)
-                at = np.unique(np.concatenate([np.arange(r["first"], r["last"] + 1) for r in runs]))
-                rows.append(np.full(len(at), i))
-                places.append(at)
-                for lane in (0, 1):
-                    hashes[lane].append(strings.hashes(at, at + depth, lane).view("i8"))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key").take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(places).astype("i4")),
-                 *[pa.array(np.concatenate(h)) for h in hashes]], ["key", "place", "a", "b"])
-
     long = docs.filter(F.octet_length("text") >= depth)
     found = staged(long.mapInArrow(cut, shape), "segments")
     anchors = staged(found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "anchors")
@@ -154,17 +142,87 @@ def repeated_spans(docs: DataFrame, depth: int = 400, gram: int = 100) -> DataFr
         F.count("*").alias("n"), F.min(F.struct("key", "doc_id", "first", "last")).alias("at")), "distinct")
     whole = shared.join(distinct.filter("n > 1").select("a", "b").distinct(), ["a", "b"], "left_semi")
 
-    several = staged(distinct.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "several")
-    runs = distinct.join(several, "anchor", "left_semi").select("at.*").groupBy(
-        F.col("key").alias("of_key"), F.col("doc_id").alias("of_doc")).agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-    texts = long.join(staged(runs, "runs"), F.expr("key = of_key and doc_id <=> of_doc")).select("key", "text", "runs")
-    each = staged(texts.mapInArrow(windows, "key binary, place int, a bigint, b bigint"), "windows")
-    twice = staged(each.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").select("a", "b"), "repeated")
-    single = each.join(twice, ["a", "b"], "left_semi").select("key", F.col("place").alias("first"), F.col("place").alias("last"))
-    spans = whole.select("key", "first", "last").union(single).distinct()
+    several = staged(distinct.groupBy("anchor").agg(F.count("*").alias("members")).filter("members > 1"), "several")
+    runs = distinct.join(several, "anchor").select("anchor", "members", "at.*").groupBy(
+        F.col("key").alias("of_key"), F.col("doc_id").alias("of_doc")).agg(F.collect_list(F.struct("anchor", "members", "first", "last")).alias("runs"))
+    texts = long.join(staged(runs, "runs"), F.expr("key = of_key and doc_id <=> of_doc"))
+    pieces = texts.select("key", F.col("text").cast("binary").alias("text"), F.explode("runs").alias("r")).select(
+        "r.anchor", "r.members", "key", "r.first", F.expr(f"substring(text, r.first + 1, r.last - r.first + {depth})").alias("data"))
+    pieces = staged(pieces, "pieces")
+    together = repeated_runs(pieces.filter(F.col("members") <= GROUP).drop("members"), depth)
+    apart = repeated_windows(pieces.filter(F.col("members") > GROUP).drop("members"), depth)
+    spans = whole.select("key", "first", "last").union(together).union(apart).distinct()
     return spans.groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
 
 
+def windows(batch: pa.RecordBatch, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, place in the text and 128-bit hash of every window of a batch of pieces."""
+    data, starts, ends = joined(byte_texts(batch.column("data")))
+    counts = ends - starts - depth + 1
+    row = np.repeat(np.arange(len(counts)), counts)
+    inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    at = starts[row] + inside
+    strings = Strings(data, 2)
+    a, b = (strings.hashes(at, at + depth, lane) for lane in (0, 1))
+    return row, inside + batch.column("first").to_numpy()[row], a, b
+
+
+def repeated_runs(pieces: DataFrame, depth: int) -> DataFrame:
+    """``(key, first, last)``: runs of windows that another piece with the same anchor has too.
+
+    Equal windows have equal anchors, so the pieces of one anchor, at most ``GROUP`` of them,
+    are sorted in one place; a task holds those of a few anchors at a time.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def found(ready: pa.RecordBatch) -> pa.RecordBatch:
+            row, place, a, b = windows(ready, depth)
+            order = np.lexsort((b, a))
+            same = (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1])
+            twice = np.zeros(len(a), bool)
+            twice[order[1:][same]] = True
+            twice[order[:-1][same]] = True
+            row, place = row[twice], place[twice]
+            new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)])) if len(row) else row
+            end = np.concatenate([new[1:], [len(row)]]) - 1 if len(row) else row
+            return pa.RecordBatch.from_arrays(
+                [ready.column("key").take(pa.array(row[new])), pa.array(place[new].astype("i4")), pa.array(place[end].astype("i4"))],
+                ["key", "first", "last"])
+
+        for batch in small_slices(batches, "data"):
+            anchor = batch.column("anchor").to_numpy()
+            # Rows of the last anchor may go on in the next batch.
+            cut = int(np.flatnonzero(anchor != anchor[-1])[-1]) + 1 if anchor[0] != anchor[-1] else 0
+            if held and held[0].column("anchor")[-1].as_py() != anchor[0]:
+                yield found(pa.concat_batches(held))
+                held = []
+            if cut:
+                yield found(pa.concat_batches([*held, batch.slice(0, cut)]))
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            yield found(pa.concat_batches(held))
+
+    return pieces.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "key binary, first int, last int")
+
+
+def repeated_windows(pieces: DataFrame, depth: int) -> DataFrame:
+    """The same for anchors with any number of pieces: every window is a row of its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_slices(batches, "data"):
+            row, place, a, b = windows(batch, depth)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key").take(pa.array(row)), pa.array(place.astype("i4")), pa.array(a.view("i8")), pa.array(b.view("i8"))],
+                ["key", "place", "a", "b"])
+
+    each = staged(pieces.mapInArrow(run, "key binary, place int, a bigint, b bigint"), "windows")
+    twice = staged(each.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").select("a", "b"), "repeated")
+    return each.join(twice, ["a", "b"], "left_semi").select("key", F.col("place").alias("first"), F.col("place").alias("last"))
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = 400, gram: int = 100,
                    carry: str | None = None) -> DataFrame:
     """Every document without the bytes covered by a ``depth``-byte string that occurs twice.
