@@ -140,7 +140,9 @@ def repeated_spans(docs: DataFrame, depth: int = 400, gram: int = 100) -> DataFr
     # One row for each different segment, with one of its places.
     distinct = staged(shared.groupBy("anchor", "a", "b").agg(
         F.count("*").alias("n"), F.min(F.struct("key", "doc_id", "first", "last")).alias("at")), "distinct")
-    whole = shared.join(distinct.filter("n > 1").select("a", "b").distinct(), ["a", "b"], "left_semi")
+    # Written first, so that the rows of a segment that is everywhere are split by the join.
+    common = staged(distinct.filter("n > 1").select("a", "b").distinct(), "common")
+    whole = shared.join(common, ["a", "b"], "left_semi")
 
     several = staged(distinct.groupBy("anchor").agg(F.count("*").alias("members")).filter("members > 1"), "several")
     runs = distinct.join(several, "anchor").select("anchor", "members", "at.*").groupBy(
