@@ -100,6 +100,13 @@ def _hash_udf(decimals: tuple[int | None, ...]):
     return hashed
 
 
+def hash_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The columns, if the table has all of them; a missing one would change every hash unseen."""
+    if missing := [c for c in columns if c not in df.columns]:
+        raise ValueError(f"hash columns {missing} are missing; name the columns to hash")
+    return list(columns)
+
+
 def content_hash(
     df: DataFrame, cols: Sequence[str], out: str = "hash", mode: str = "parity"
 ) -> DataFrame:

@@ -171,10 +171,22 @@ def list_distinct(col: Column | str) -> Column:
 
 
 def list_remove(df: DataFrame, col: str, values: list[str], drop_empty: bool = True) -> DataFrame:
-    """Take ``values`` out of a list column; rows left with nothing go away."""
+    """Take ``values`` out of a list column; rows that lose their last element go away.
+
+    Lists may be arrays or text, and keep that form. Rows whose list was null or empty
+    before, and elements that are null, stay.
+    """
+    if not values:
+        return df
     gone = F.array(*[F.lit(v) for v in values])
-    kept = df.withColumn(col, F.filter(col, lambda x: ~F.array_contains(gone, x)))
-    return kept.filter(F.size(col) > 0) if drop_empty else kept
+    is_text = isinstance(df.schema[col].dataType, T.StringType)
+    items = parse_list(col, "string") if is_text else F.col(col)
+    left = F.filter(items, lambda x: x.isNull() | ~F.array_contains(gone, x))
+    lost = F.coalesce(F.size(left) < F.size(items), F.lit(False))
+    new = list_to_text(left, "string") if is_text else left
+    emptied = lost & (F.size(left) == 0)
+    kept = df.filter(~emptied) if drop_empty else df
+    return kept.withColumn(col, F.when(lost, new).otherwise(F.col(col)))
 
 
 def list_explode(df: DataFrame, key: str, list_col: str, key_out: str, value_out: str) -> DataFrame:

@@ -23,6 +23,7 @@ PLANCK = 6.626070040e-34
 CHARGE = 1.6021766208e-19
 ELECTRON_MASS = 9.10938356e-31
 AVOGADRO = 6.022140857e23
+ATOMIC_MASS = 1.660539040e-27
 
 EPS_0 = 1 / MU_0 / LIGHT_SPEED**2
 H_BAR = PLANCK / (2 * math.pi)
@@ -30,9 +31,13 @@ HARTREE = ELECTRON_MASS * CHARGE**3 / 16 / math.pi**2 / EPS_0**2 / H_BAR**2
 BOHR = 4e10 * math.pi * EPS_0 * H_BAR**2 / ELECTRON_MASS / CHARGE**2
 PASCAL = (1 / CHARGE) / 1e30
 KILOJOULE = 1000.0 / CHARGE
+# The unit of time in which eV, angstrom and the atomic mass unit are 1.
+SECOND = 1e10 * math.sqrt(CHARGE / ATOMIC_MASS)
 
 FACTORS = {
-    "eV": 1.0,
+    "eV": 1.0, "J": 1 / CHARGE, "C": 1 / CHARGE,
+    "m": 1e10, "kg": 1 / ATOMIC_MASS, "s": SECOND, "second": SECOND, "fs": 1e-15 * SECOND, "A": 1 / CHARGE / SECOND,
+    "alpha": CHARGE**2 / (4 * math.pi * EPS_0) / H_BAR / LIGHT_SPEED, "invcm": 100 * LIGHT_SPEED * PLANCK / CHARGE,
     "hartree": HARTREE, "Hartree": HARTREE, "Ha": HARTREE,
     "rydberg": 0.5 * HARTREE, "Rydberg": 0.5 * HARTREE, "Ry": 0.5 * HARTREE,
     "kJ": KILOJOULE, "kcal": 4.184 * KILOJOULE, "mol": AVOGADRO,

@@ -123,7 +123,8 @@ def combine_duplicates(
 
     "First" is the row latest by ``order``, ties by the larger value; without an
     order it is the largest value. Ids are not null. List elements are deduplicated as rows before
-    they are collected, so a much-copied id gathers only its distinct elements.
+    they are collected, so a much-copied id gathers only its distinct elements; null
+    elements go, and a list that is null in every copy stays null.
     """
     plain = [c for c in df.columns if c != key and c not in list_cols]
 
@@ -137,18 +138,20 @@ def combine_duplicates(
     tagged = F.array(*[
         F.struct(F.lit(i).alias("which"), F.col(c).alias("items")) for i, c in enumerate(list_cols)
     ])
+    # An empty list leaves one row without an item, a null list none.
     elements = (
-        df.select(key, F.explode(tagged).alias("t"))
-        .select(key, "t.which", F.explode("t.items").alias("item"))
+        df.select(key, F.explode(tagged).alias("t")).filter("t.items is not null")
+        .select(key, "t.which", F.explode_outer("t.items").alias("item"))
         .distinct()
     )
     merged = elements.groupBy(key).agg(*[
-        F.array_sort(F.collect_list(F.when(F.col("which") == i, F.col("item")))).alias(c)
+        F.when(
+            F.count_if(F.col("which") == i) > 0,
+            F.array_sort(F.collect_list(F.when(F.col("which") == i, F.col("item")))),
+        ).alias(c)
         for i, c in enumerate(list_cols)
     ])
-    joined = rows.join(merged, key, "left")
-    empty = {c: F.coalesce(c, F.array().cast(df.schema[c].dataType)) for c in list_cols}
-    return joined.withColumns(empty).select(*df.columns)
+    return rows.join(merged, key, "left").select(*df.columns)
 
 
 def distinct_dimensions(rows: DataFrame, key: str = "dataset_id") -> DataFrame:

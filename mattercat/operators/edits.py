@@ -61,17 +61,17 @@ def filter_not_in(
 ) -> DataFrame:
     """Drop rows whose value is in a list, and rows without a value unless ``keep_null``.
 
-    Long lists, and lists that are themselves tables, are anti joined.
+    A null in the list drops nothing, however long the list is. Long lists, and lists
+    that are themselves tables, are anti joined.
     """
-    if not isinstance(values, DataFrame) and len(values) <= SHORT_LIST:
-        keep = ~F.col(col).isin(*values) if values else F.lit(True)
-        kept = keep | F.col(col).isNull() if keep_null else keep & F.col(col).isNotNull()
-        return df.filter(kept)
+    rows = df if keep_null else df.filter(F.col(col).isNotNull())
     if not isinstance(values, DataFrame):
+        values = [v for v in values if v is not None]
+        if len(values) <= SHORT_LIST:
+            return rows.filter(F.col(col).isNull() | ~F.col(col).isin(*values)) if values else rows
         field = T.StructType([T.StructField(col, df.schema[col].dataType)])
         values = df.sparkSession.createDataFrame([(v,) for v in values], field)
     # A null never equals anything, so the anti join keeps it.
-    rows = df if keep_null else df.filter(F.col(col).isNotNull())
     return rows.join(values.toDF(col).distinct(), col, "left_anti")
 
 

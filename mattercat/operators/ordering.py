@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 
-TOP_K = 100_000  # rows one task may gather
-
 
 def order_by(df: DataFrame, col: str, desc: bool = False) -> DataFrame:
     """Global sort by one column.
@@ -21,23 +19,28 @@ def order_by(df: DataFrame, col: str, desc: bool = False) -> DataFrame:
     return df.orderBy(F.col(col).desc() if desc else F.col(col).asc(), F.xxhash64(*df.columns))
 
 
-def limit_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows under an order, as a test table.
+def limit_rows(df: DataFrame, n: int, order: Sequence[str], gather: int = 1000) -> DataFrame:
+    """The first ``n`` rows under an order, as a test table; the rows come in no stated order.
 
-    A small ``n`` is a top-k. A large one is cut from the sorted table, written
-    once: a row's place is the rows of the files before its own plus its index in
-    the file, so no task gathers the ``n`` rows.
+    Ties are ordered by a hash of the row, so the choice repeats. Up to ``gather`` rows are
+    a top-k, of which each task sends as many to one. More are cut from the sorted table,
+    written once: a row's place is the rows of the files before its own plus its index in
+    the file, so no task gathers the ``n`` rows. Both ways give the same rows.
     """
-    if n <= TOP_K:
-        return df.orderBy(*order).limit(n)
-    ordered = staged(df.orderBy(*order), "sorted")
-    part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int")
-    numbered = ordered.select("*", part.alias("__part"), F.col("_metadata.row_index").alias("__at"))
-    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = numbered.groupBy("__part").agg(F.count("*").alias("__n")).select(
-        "__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before")
+    ordering = [*order, F.xxhash64(*df.columns)]
+    if n <= gather:
+        return df.orderBy(*ordering).limit(n)
+    ordered = staged(df.orderBy(*ordering), "sorted", maxRecordsPerFile=0)
+    name = F.col("_metadata.file_name")
+    # part-<task>-<job>.c<file of the task>.<codec>.parquet
+    part = F.regexp_extract(name, r"part-(\d+)", 1).cast("int")
+    file = F.coalesce(F.regexp_extract(name, r"[.-]c(\d+)\.", 1).cast("int"), F.lit(0))
+    numbered = ordered.select("*", F.struct(part, file, name).alias("__file"), F.col("_metadata.row_index").alias("__at"))
+    earlier = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = numbered.groupBy("__file").agg(F.count("*").alias("__n")).select(
+        "__file", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before")
     )
-    placed = numbered.join(offsets, "__part").filter(F.col("__before") + F.col("__at") < n)
+    placed = numbered.join(offsets, "__file").filter(F.col("__before") + F.col("__at") < n)
     return placed.select(*df.columns)
 
 

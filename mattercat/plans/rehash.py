@@ -8,17 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.hashing import content_hash, id_from_hash, structure_hash
+from ..functions.hashing import content_hash, hash_columns, id_from_hash, structure_hash
 from ..functions.structures import dimension_types, nperiodic_dimensions, pbc_from_cell
 from ..operators.joins import remap_foreign_key
 from ..session import staged
 
 
 def rehashed(
-    co: DataFrame, mode: str = "parity", hash_columns: Sequence[str] = S.CO_HASH_COLUMNS
+    co: DataFrame, mode: str = "parity", columns: Sequence[str] = S.CO_HASH_COLUMNS
 ) -> DataFrame:
     """``co`` with ``new_id``, ``new_hash`` and ``new_struct_hash`` from its content."""
-    hashed = content_hash(co, hash_columns, "new_hash", mode)
+    hashed = content_hash(co, hash_columns(co, columns), "new_hash", mode)
     hashed = structure_hash(hashed, "new_struct_hash", mode=mode)
     return hashed.withColumn("new_id", id_from_hash("new_hash", "CO"))
 
@@ -44,6 +44,6 @@ def fix_pbc_and_rehash(
     new = {"id": "new_id", "hash": "new_hash", "structure_hash": "new_struct_hash"}
     new_co = both.withColumns({old: F.col(c) for old, c in new.items()}).drop(*new.values())
     moved = remap_foreign_key(po, mapping)
-    hashed = content_hash(moved, [c for c in po_hash_columns if c in po.columns], "hash", mode)
+    hashed = content_hash(moved, hash_columns(moved, po_hash_columns), "hash", mode)
     new_po = hashed.withColumn("id", id_from_hash("hash", "PO"))
     return new_co, new_po, mapping

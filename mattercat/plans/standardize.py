@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from .. import schemas as S
-from ..functions.hashing import content_hash, id_from_hash
+from ..functions.hashing import content_hash, hash_columns, id_from_hash
 from ..functions.units import (
     FORCE_STANDARD, STRESS_STANDARD, add_reference, choose_energy, convert_array,
     convert_energy, convert_reference_energy, per_atom_to_total,
@@ -62,6 +62,9 @@ def standardize_properties(
 ) -> tuple[DataFrame, DataFrame]:
     """Standard properties under new hashes and ids, and datasets with fresh statistics.
 
+    Every column of ``layout.hash_columns`` must be there, so that an id never depends on
+    what a table happens to have; name other columns in the layout where it has fewer.
+
     The old hash is kept in ``old_hash`` where there was one. The properties are
     written to the shared folder once; statistics then read only their columns.
     """
@@ -69,6 +72,7 @@ def standardize_properties(
     values = standard_values(po, co, lay)
     if "hash" in values.columns:
         values = values.withColumnRenamed("hash", "old_hash")
-    hashed = content_hash(values, [c for c in lay.hash_columns if c in values.columns])
+    columns = hash_columns(values, lay.hash_columns)
+    hashed = content_hash(values, columns)
     properties = staged(hashed.withColumn("id", id_from_hash("hash", "PO")), "standard-properties")
     return properties, recreate_datasets(ds, properties)

@@ -18,12 +18,32 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "mattercat", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the settings above; on a cluster leave ``master`` unset."""
+STAGED: dict[str, list[str]] = {}  # folders written by each application
+PARTITION_BYTES = 128 << 20  # of a shuffle partition before adaptive execution merges any
+
+
+def shuffle_settings(input_bytes: int) -> dict[str, str]:
+    """Shuffle width for jobs over ``input_bytes``: one partition per 128 MB, 200 at least.
+
+    Adaptive execution merges partitions that turn out small, but does not cut even ones
+    that are too large, so the width has to start from the input.
+    """
+    width = str(max(200, -(-input_bytes // PARTITION_BYTES)))
+    return {"spark.sql.shuffle.partitions": width, "spark.sql.adaptive.coalescePartitions.initialPartitionNum": width}
+
+
+def build_session(
+    app: str = "mattercat", master: str | None = None, input_bytes: int | None = None, **extra: str
+) -> SparkSession:
+    """A session with the settings above; on a cluster leave ``master`` unset.
+
+    ``input_bytes`` is the size of what the session's jobs read; it sets the width of shuffles.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    sized = shuffle_settings(input_bytes) if input_bytes else {}
+    for key, value in {**SETTINGS, **sized, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -49,13 +69,23 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/mattercat/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, **options) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where one costly result feeds several outputs: it is computed once and
-    does not depend on executors staying alive.
+    does not depend on executors staying alive. The files stay until the session ends
+    (``drop_staged`` takes them away earlier); ``options`` go to the writer.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
+    STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what ``staged`` has written in this application; results built on it can't be read again."""
+    jvm = spark.sparkContext._jvm
+    for path in STAGED.pop(spark.sparkContext.applicationId, []):
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

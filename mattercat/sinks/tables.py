@@ -96,18 +96,30 @@ def publish_swap(
 ) -> None:
     """Retire each ``t`` to ``t_<date>`` and promote each ``t_tmp`` to ``t``.
 
-    Nothing is renamed when a table to promote is missing or a retired name is taken.
+    Nothing is renamed when a table to promote is missing or a retired name is taken. Each
+    table is promoted right after the old one is retired; if a rename fails, those
+    done are undone, last first.
     """
     full = lambda t: f"{schema}.{t}" if schema else t
     absent = [t for t in names if not table_exists(spark, full(f"{t}{suffix}"))]
     taken = [t for t in names if table_exists(spark, full(f"{t}_{date}"))]
     if absent or taken:
         raise ValueError(f"cannot publish: nothing to promote for {absent}, already retired {taken}")
-    for t in names:
-        if table_exists(spark, full(t)):
-            spark.sql(f"ALTER TABLE {full(t)} RENAME TO {full(f'{t}_{date}')}")
-    for t in names:
-        spark.sql(f"ALTER TABLE {full(f'{t}{suffix}')} RENAME TO {full(t)}")
+    done: list[tuple[str, str]] = []
+
+    def rename(old: str, new: str) -> None:
+        spark.sql(f"ALTER TABLE {full(old)} RENAME TO {full(new)}")
+        done.append((old, new))
+
+    try:
+        for t in names:
+            if table_exists(spark, full(t)):
+                rename(t, f"{t}_{date}")
+            rename(f"{t}{suffix}", t)
+    except Exception:
+        for old, new in reversed(done):
+            spark.sql(f"ALTER TABLE {full(new)} RENAME TO {full(old)}")
+        raise
 
 
 def export_counts_csv(df: DataFrame, path: str) -> None:

@@ -16,10 +16,12 @@ def incremental_copy(
     """Append rows of Parquet files that appeared in ``src`` since the last call.
 
     The checkpoint records which files are done, and the file sink commits each
-    batch once, so a run that fails is simply run again. ``transform`` is a
+    batch once, so a run that fails is simply run again. A file counts as new whatever
+    its modification time. ``transform`` is a
     row-wise rework such as ``typed_table``; ``max_files`` bounds one batch.
     """
-    reader = spark.readStream.schema(schema)
+    # By default files a week older than the newest one would be passed over for good.
+    reader = spark.readStream.schema(schema).option("maxFileAge", "36500d")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files:

@@ -100,9 +100,19 @@ def test_concat_chunks(spark):
     assert over == [[[1.0]], [[1.0], [2.0]]]
 
 
+def test_list_remove_keeps_what_was_empty_and_works_on_text(spark):
+    lists = spark.createDataFrame([(1, []), (2, None), (3, ["x"]), (4, ["x", None])], "k int, v array<string>")
+    assert {r["k"]: r["v"] for r in L.list_remove(lists, "v", ["x"]).collect()} == {1: [], 2: None, 4: [None]}
+    assert L.list_remove(lists, "v", ["absent"]).count() == L.list_remove(lists, "v", []).count() == 4
+    texts = spark.createDataFrame([(1, "[]"), (2, None), (3, "['x']"), (4, "['a', 'x']"), (5, "['it\\'s']")], "k int, v string")
+    got = {r["k"]: r["v"] for r in L.list_remove(texts, "v", ["x"]).collect()}
+    assert got == {1: "[]", 2: None, 4: "['a']", 5: "['it\\'s']"}
+
+
 def test_list_edits(spark):
     df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["b"]), (3, None)], "k int, v array<string>")
-    assert [r["v"] for r in L.list_remove(df, "v", ["b"]).collect()] == [["a", "a"]]
+    # Only the row that loses its last element goes; a list that was null before stays.
+    assert [r["v"] for r in L.list_remove(df, "v", ["b"]).collect()] == [["a", "a"], None]
     kept = L.list_remove(df, "v", ["b"], drop_empty=False).orderBy("k").collect()
     assert [r["v"] for r in kept] == [["a", "a"], [], None]
     assert df.select(L.list_distinct("v")).first()[0] == ["a", "b"]

@@ -7,11 +7,11 @@ from mattercat.functions.lists import ensure_list
 
 
 @pytest.mark.parametrize("path,expected", [
-    ("/vdev/store/MD/a.json", "data/MD/a.json"), ("/vdev/store/data/MD/a.json", "data/MD/a.json"),
+    ("/mnt/blobs/MD/a.json", "data/MD/a.json"), ("/mnt/blobs/data/MD/a.json", "data/MD/a.json"),
     ("/other/MD/a.json", "/other/MD/a.json"), (None, None),
 ])
 def test_trim_path(one, path, expected):
-    assert one(N.trim_path("p", "/vdev/store"), p=path) == expected
+    assert one(N.trim_path("p", "/mnt/blobs"), p=path) == expected
 
 
 @pytest.mark.parametrize("stored,shown", [

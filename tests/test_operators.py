@@ -32,6 +32,26 @@ def test_filter_not_in_and_nulls(small, values):
     assert rows(E.filter_not_in(small, "id", values, keep_null=True), "id") == [("b",), ("c",), (None,)]
 
 
+@pytest.mark.parametrize("n", [10, 2000])
+def test_filter_not_in_ignores_nulls_in_lists_of_any_length(spark, small, n):
+    values = ["a", None, *[f"other{i}" for i in range(n)]]
+    table = spark.createDataFrame([(v,) for v in values], "v string")
+    for given in (values, table):
+        assert rows(E.filter_not_in(small, "id", given), "id") == [("b",), ("c",)]
+        assert rows(E.filter_not_in(small, "id", given, keep_null=True), "id") == [("b",), ("c",), (None,)]
+
+
+def test_limit_rows_is_exact_on_both_ways(spark):
+    df = spark.range(900).select((F.col("id") % 40).alias("k"), "id").repartition(5)
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 50)
+    try:
+        near = rows(O.limit_rows(df, 510, ["k"], gather=1000), "k", "id")
+        far = rows(O.limit_rows(df, 510, ["k"], gather=10), "k", "id")
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert len(far) == 510 and near == far
+
+
 def test_filter_not_in_table_and_empty(spark, small):
     table = spark.createDataFrame([("a",), ("a",), ("b",)], "other string")
     assert rows(E.filter_not_in(small, "id", table), "id") == [("c",)]
@@ -114,7 +134,9 @@ def merged(data):
         groups[row[0]].append(row)
     out = {}
     for key, members in groups.items():
-        names = sorted({x for r in members for x in r[1] or []})
+        # A list that is null in every copy stays null.
+        lists = [r[1] for r in members if r[1] is not None]
+        names = sorted({x for v in lists for x in v}) if lists else None
         latest = lambda i: max(((r[4], r[i]) for r in members if r[i] is not None), default=(None, None))[1]
         out[key] = (names, latest(2), latest(3), max(r[4] for r in members))
     return out
@@ -251,14 +273,19 @@ def test_orders_and_sets(spark, small):
     assert rows(S.distinct_paths(paths, ["x", "y"]), "path") == [("a",), ("b",)]
 
 
-def test_large_limit_is_cut_from_sorted_files(spark, monkeypatch):
-    monkeypatch.setattr(O, "TOP_K", 10)
+def test_large_limit_is_cut_from_sorted_files(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"), F.lit("x").alias("v")).repartition(7)
-    found = O.limit_rows(df, 1234, ["k"])
+    found = O.limit_rows(df, 1234, ["k"], gather=10)
     assert found.columns == ["k", "v"]
     assert sorted(r["k"] for r in found.collect()) == list(range(1234))
 
 
+def test_purge_of_an_unknown_dataset_removes_nothing(spark):
+    co = spark.createDataFrame([("c1", []), ("c2", None), ("c3", ["d2"])], "id string, dataset_ids array<string>")
+    out, audit = curate.purge_datasets({"co": co}, ["gone"])
+    assert out["co"].count() == 3 and audit.first()["difference"] == 0
+
+
 def test_purge(spark):
     ds = spark.createDataFrame([("d1",), ("d2",)], "id string")
     co = spark.createDataFrame([("c1", ["d1"]), ("c2", ["d1", "d2"]), ("c3", ["d2"])], "id string, dataset_ids array<string>")

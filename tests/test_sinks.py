@@ -1,10 +1,14 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from mattercat.functions.hashing import hash_columns
+from mattercat.plans import publish
 from mattercat.plans.rehash import fix_pbc_and_rehash
 from mattercat.plans.standardize import Layout, standardize_properties
+from mattercat.session import STAGED, drop_staged, shuffle_settings, staged
 from mattercat.sinks import cards, exports as X, tables as W
 from mattercat.streaming.incremental import incremental_copy
 
@@ -41,27 +45,25 @@ def test_resumable_export_skips_what_is_there(spark, tmp_path):
     path = str(tmp_path / "out")
     df = spark.range(100).select("id", F.concat(F.lit("DS_"), F.col("id") % 4).alias("dataset_id"))
     X.export_resumable(df.filter("dataset_id < 'DS_2'"), path, level=1)
-    before = {p: p.stat().st_mtime_ns for p in tmp_path.glob("out/dataset_id=DS_0/*.parquet")}
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.glob("out/dataset=DS_0/*.parquet")}
     X.export_resumable(df, path, level=1)
-    assert {p: p.stat().st_mtime_ns for p in tmp_path.glob("out/dataset_id=DS_0/*.parquet")} == before
+    assert {p: p.stat().st_mtime_ns for p in tmp_path.glob("out/dataset=DS_0/*.parquet")} == before
     back = spark.read.parquet(path)
     assert back.count() == 100 and back.select("dataset_id").distinct().count() == 4
     X.export_resumable(df, path, level=1)
     assert spark.read.parquet(path).count() == 100
 
 
-def test_a_large_dataset_is_written_by_several_tasks(spark, tmp_path):
+def test_a_large_dataset_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    sized = X.file_sized
     # One dataset holds most rows; shuffle partitions above 100 KB are cut.
     df = spark.range(60_000).select(
         F.sha2(F.col("id").cast("string"), 256).alias("id"),
         F.when(F.col("id") % 10 < 8, "DS_hot").otherwise(F.concat(F.lit("DS_"), F.col("id") % 10)).alias("dataset_id"),
     ).repartition(8)
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100KB")
-    try:
-        X.export_all_datasets(df, str(tmp_path / "out"), level=1)
-    finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    assert len(list(tmp_path.glob("out/dataset_id=DS_hot/*.parquet"))) > 3
+    monkeypatch.setattr(X, "file_sized", lambda session: sized(session, 100_000))
+    X.export_all_datasets(df, str(tmp_path / "out"), level=1)
+    assert len(list(tmp_path.glob("out/dataset=DS_hot/*.parquet"))) > 3
     assert spark.read.parquet(str(tmp_path / "out")).count() == 60_000
 
 
@@ -115,9 +117,9 @@ def test_cards(spark):
     found = {r["id"]: r["card"] for r in cards.dataset_card(ds, cs, "Site", "https://s").collect()}
     assert len(found) == 2
     for part in ("license: cc0-1.0\n", "Bee, A. _A b_. Site, 2024", "### Publication  \nP  \n", "### Original data link  \nD",
-                 "### Elements included  \nC, H  \n", "### Properties included  \nenergy  \n", "cs/*.parquet"):
+                 "### Elements included  \nC, H  \n", "### Properties included  \nenergy  \n", "kind=cs/*.parquet"):
         assert part in found["DS_1"]
-    assert "cs/*.parquet" not in found["DS_2"] and "Publication" not in found["DS_2"]
+    assert "kind=cs/*.parquet" not in found["DS_2"] and "Publication" not in found["DS_2"]
 
 
 def test_incremental_copy_takes_only_new_files(spark, tmp_path):
@@ -132,8 +134,105 @@ def test_incremental_copy_takes_only_new_files(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.parquet(dst).collect()) == [*range(12), 13, 14]
 
 
+def test_incremental_copy_takes_files_with_an_old_time(spark, tmp_path):
+    src, dst, mark = (str(tmp_path / n) for n in ("src", "dst", "mark"))
+    schema = spark.range(1).schema
+    for first, age in ((0, 0), (5, 400 * 86_400)):
+        before = set(tmp_path.glob("src/*.parquet"))
+        spark.range(first, first + 5).coalesce(1).write.mode("append").parquet(src)
+        for new in set(tmp_path.glob("src/*.parquet")) - before:
+            os.utime(new, (new.stat().st_mtime - age,) * 2)
+        incremental_copy(spark, src, dst, mark, schema)
+    assert spark.read.parquet(dst).count() == 10
+
+
+def test_resumable_export_keeps_finished_groups(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    df = spark.range(100).select("id", F.concat(F.lit("DS_"), F.col("id") % 4).alias("dataset_id"))
+    calls, real = [], X.spread_by
+
+    def failing(rows, col):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return real(rows, col)
+
+    monkeypatch.setattr(X, "spread_by", failing)
+    with pytest.raises(RuntimeError):
+        X.export_resumable(df, path, level=1, group_rows=25)
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.glob("out/dataset=*/*.parquet")}
+    assert len({p.parent for p in before}) == 2
+    X.export_resumable(df, path, level=1, group_rows=25)
+    after = {p: p.stat().st_mtime_ns for p in tmp_path.glob("out/dataset=*/*.parquet")}
+    assert before.items() <= after.items() and spark.read.parquet(path).count() == 100
+
+
+def test_publish_swap_is_undone_when_a_rename_fails(spark, tmp_path, monkeypatch):
+    for name, n in (("undo_a", 1), ("undo_a_tmp", 2), ("undo_b", 1), ("undo_b_tmp", 2)):
+        W.save_table(spark.range(n), name, "overwrite", str(tmp_path / name))
+    real = type(spark).sql
+
+    def failing(self, text, *args, **kwargs):
+        if "undo_b_tmp RENAME" in text:
+            raise RuntimeError("lost")
+        return real(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", failing)
+    with pytest.raises(RuntimeError):
+        W.publish_swap(spark, "20240202", ["undo_a", "undo_b"])
+    assert [spark.table(t).count() for t in ("undo_a", "undo_a_tmp", "undo_b", "undo_b_tmp")] == [1, 2, 1, 2]
+
+
+def test_export_of_merged_rows_and_of_bad_lists(spark, tmp_path):
+    ds = spark.createDataFrame([("DS_1", "A", "['x']", "d", "['C']", 1, 1, "{}", "2024", "10.1/x", "CC0")],
+                               "id string, name string, authors string, description string, elements string, nconfigurations int, "
+                               "nsites int, links string, publication_year string, doi string, license string")
+    cs = spark.createDataFrame([], "id string, dataset_id string")
+    merged = spark.createDataFrame([("p", "DS_1", "a", "b")], "id string, dataset_id string, property_metadata_path string, configuration_metadata_path string")
+    store = spark.createDataFrame([("a", "one"), ("b", "two")], "path string, content string")
+    publish.export({"ds": ds, "cs": cs, "merged": merged}, str(tmp_path / "m"), "S", "https://s", store, 1)
+    row = spark.read.parquet(str(tmp_path / "m" / "dataset=DS_1" / "kind=merged")).first()
+    assert (row["dataset_id"], row["property_metadata"], row["configuration_metadata"]) == ("DS_1", "one", "two")
+    co = spark.createDataFrame([("c", "[broken", ["DS_1"])], "id string, names string, dataset_ids array<string>")
+    with pytest.raises(Exception):
+        publish.export({"ds": ds, "cs": cs, "co": co}, str(tmp_path / "b"), "S", "https://s", None, 1)
+    with pytest.raises(ValueError, match="other"):
+        publish.export({"ds": ds, "cs": cs, "other": co}, str(tmp_path / "o"), "S", "https://s")
+
+
+def test_frames_with_unknown_atoms_and_unequal_lists(spark):
+    schema = "dataset_id string, atomic_numbers array<int>, positions array<array<double>>, cell array<array<double>>, pbc array<boolean>"
+    frame = lambda numbers, positions: X.extxyz_frames(
+        spark.createDataFrame([("d", numbers, positions, [[1.0, 0.0, 0.0]] * 3, [True] * 3)], schema)).first()["value"]
+    assert frame([0], [[0.0] * 3]).split("\n")[2].startswith("X  ")
+    for numbers, positions in (([1, 1], [[0.0] * 3]), ([1], None)):
+        with pytest.raises(Exception, match="one length"):
+            frame(numbers, positions)
+
+
+def test_missing_hash_columns_are_an_error(spark):
+    with pytest.raises(ValueError, match="energy"):
+        hash_columns(spark.range(1), ["id", "energy"])
+
+
+def test_shuffle_width_follows_the_input():
+    width = int(shuffle_settings(100 << 40)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"])
+    assert width > 100_000 and shuffle_settings(1)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_staged_files_can_be_dropped(spark):
+    df = staged(spark.range(3), "gone")
+    path = STAGED[spark.sparkContext.applicationId][-1]
+    assert df.count() == 3
+    kept, STAGED[spark.sparkContext.applicationId] = STAGED[spark.sparkContext.applicationId][:-1], [path]
+    drop_staged(spark)
+    STAGED[spark.sparkContext.applicationId] = kept
+    assert not os.path.exists(path.removeprefix("file:"))
+
+
 def test_standardize_full_layout(spark):
     lay = Layout()
+    lay.hash_columns = ["energy", "configuration_id", "dataset_id", "atomic_forces", "cauchy_stress"]
     cells = {"id": "PO_old", "hash": "old", "configuration_id": "c", "dataset_id": "d", "atomic_forces": "[[1.0, 0.0, 0.0]]",
              "cauchy_stress": None, "atomic_forces_unit": "hartree/bohr", "cauchy_stress_unit": None}
     for e in lay.energies:
@@ -145,7 +244,7 @@ def test_standardize_full_layout(spark):
     po = spark.createDataFrame([tuple(cells.values())], schema)
     co = spark.createDataFrame([("c", 4)], "id string, nsites int")
     ds = spark.createDataFrame([("d", "name")], "id string, name string")
-    rows, datasets = standardize_properties(po, co, ds)
+    rows, datasets = standardize_properties(po, co, ds, lay)
     row = rows.first().asDict()
     assert not [c for c in row if "_unit" in c or "reference" in c or "per_atom" in c or c in ("free_energy", "nsites")]
     kcal = 0.0433641
@@ -165,7 +264,8 @@ def test_fix_pbc_changes_ids_everywhere(spark):
     )
     po = spark.createDataFrame([("p1", "x", "c1", "d"), ("p2", "x", "c2", "d"), ("p3", "x", "gone", "d")],
                                "id string, hash string, configuration_id string, dataset_id string")
-    new_co, new_po, mapping = fix_pbc_and_rehash(co, po)
+    new_co, new_po, mapping = fix_pbc_and_rehash(co, po, po_hash_columns=["configuration_id", "dataset_id"],
+                                                 co_hash_columns=["atomic_numbers", "cell", "metadata_id", "pbc", "positions"])
     found = {tuple(r["pbc"]): r.asDict() for r in new_co.collect()}
     assert set(found) == {(True,) * 3, (False,) * 3}
     ids = {r["id"] for r in found.values()}

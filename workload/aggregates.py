@@ -103,15 +103,17 @@ def listed(t: Tables) -> DataFrame:
 
 @query("combine_duplicates", """
     SELECT id, string_agg(DISTINCT dataset_id, ',' ORDER BY dataset_id) AS dataset_ids,
-           count(DISTINCT configuration_id) + count(DISTINCT method) AS n_names,
+           array_to_string(list_sort(list_distinct(list_concat(list(configuration_id), list(method)))), ',') AS names,
+           first(method ORDER BY last_modified DESC, method DESC) AS method,
            first(multiplicity ORDER BY last_modified DESC, multiplicity DESC) AS multiplicity,
+           first(formation_energy ORDER BY last_modified DESC, formation_energy DESC) FILTER (formation_energy IS NOT NULL) AS formation_energy,
            max(last_modified)::VARCHAR AS last_modified
     FROM {po} GROUP BY id""")
 def combine_duplicates(t: Tables):
     merged = A.combine_duplicates(listed(t), "id", ["dataset_ids", "names"], "last_modified")
     return merged.select(
         "id", F.array_join("dataset_ids", ",").alias("dataset_ids"),
-        F.size("names").cast("long").alias("n_names"), "multiplicity",
+        F.array_join("names", ",").alias("names"), "method", "multiplicity", "formation_energy",
         F.date_format("last_modified", "yyyy-MM-dd HH:mm:ss").alias("last_modified"),
     )
 

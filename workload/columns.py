@@ -1,5 +1,7 @@
 """Queries over lists, hashes, structures, units and names."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,16 +106,33 @@ def content_hash(t: Tables):
     return H.content_hash(t.po, HASHED, mode="neutral").select("id", "hash")
 
 
-@query("content_hash_parity")
+# SQL has no such hash, but can state which rows share one: those with equal content.
+@query("content_hash_parity", """
+    SELECT id, min(id) OVER (PARTITION BY dataset_id, q, n, d > 0.05, d, t) AS first_id, true AS digits FROM {sites}""")
 def content_hash_parity(t: Tables):
     rows = t.sites.selectExpr("id", "dataset_id", "q", "n", "d > 0.05 AS flag", MATRIX)
-    return H.content_hash(rows, ["dataset_id", "q", "n", "flag", "matrix"]).select("id", "hash")
+    hashed = H.content_hash(rows, ["dataset_id", "q", "n", "flag", "matrix"]).select("id", "hash")
+    return same_hash(hashed).select("id", "first_id", F.col("hash").rlike("^[0-9]+$").alias("digits"))
+
 
+def same_hash(rows: DataFrame) -> DataFrame:
+    """``id`` and ``hash`` with the smallest id of equal hashes."""
+    return rows.join(rows.groupBy("hash").agg(F.min("id").alias("first_id")), "hash")
 
-@query("hash_bytes", "SELECT count(DISTINCT q) AS hashes FROM {sites}")
+
+@query("hash_bytes", """
+    SELECT 'q' AS kind, count(DISTINCT q) AS hashes FROM {sites} UNION ALL SELECT 'n', count(DISTINCT n) FROM {sites}
+    UNION ALL SELECT 'dataset_id', count(DISTINCT dataset_id) FROM {sites} UNION ALL SELECT 'flag', count(DISTINCT d > 0.05) FROM {sites}
+    UNION ALL SELECT 'names', count(DISTINCT (dataset_id, n)) FROM {sites}
+    UNION ALL SELECT 'matrix', count(DISTINCT (q, n, d, t)) FROM {sites}""")
 def hash_bytes(t: Tables):
-    # Equal numbers give equal bytes and different ones do not.
-    return H.content_hash(t.sites, ["q"]).agg(F.count_distinct("hash").alias("hashes"))
+    # Equal values of each type give equal bytes and different ones do not.
+    rows = t.sites.selectExpr("q", "n", "dataset_id", "d > 0.05 AS flag", "array(dataset_id, cast(n AS string)) AS names", MATRIX)
+    kinds = [
+        H.content_hash(rows, [c]).agg(F.count_distinct("hash").alias("hashes")).select(F.lit(c).alias("kind"), "hashes")
+        for c in rows.columns
+    ]
+    return reduce(DataFrame.unionAll, kinds)
 
 
 @query("id_from_hash", f"SELECT id, concat('PO_', substr(sha256({CANONICAL}), 1, 25)) AS new_id FROM {{po}}")
@@ -134,7 +153,8 @@ def sort_sites(t: Tables):
 
 
 @query("structure_hash", """
-    SELECT id, true AS same_when_reversed, true AS other_cell_differs FROM {sites}""")
+    SELECT id, min(id) OVER (PARTITION BY q, n, d, t) AS first_id, true AS same_when_reversed, true AS other_cell_differs
+    FROM {sites}""")
 def structure_hash(t: Tables):
     rows = t.sites.selectExpr(
         "id", MATRIX, "sequence(1, n) AS numbers", "reverse(transform(sequence(1, n), i -> array(q * i, d, t))) AS back",
@@ -144,8 +164,9 @@ def structure_hash(t: Tables):
     rows = H.structure_hash(rows, "h", "numbers", "cell", "pbc", "matrix")
     rows = H.structure_hash(rows, "reversed", "back_numbers", "cell", "pbc", "back")
     rows = H.structure_hash(rows, "moved", "numbers", "other", "pbc", "matrix")
+    rows = rows.join(rows.groupBy("h").agg(F.min("id").alias("first_id")), "h")
     return rows.select(
-        "id", (F.col("h") == F.col("reversed")).alias("same_when_reversed"),
+        "id", "first_id", (F.col("h") == F.col("reversed")).alias("same_when_reversed"),
         (F.col("h") != F.col("moved")).alias("other_cell_differs"),
     )
 
@@ -257,9 +278,9 @@ def choose_energy(t: Tables):
 
 
 @query("trim_path", """
-    SELECT id, regexp_replace(metadata_path, '^/vdev/store/(data/)?', 'data/') AS metadata_path FROM {co}""")
+    SELECT id, regexp_replace(metadata_path, '^/mnt/blobs/(data/)?', 'data/') AS metadata_path FROM {co}""")
 def trim_path(t: Tables):
-    return t.co.select("id", N.trim_path("metadata_path", "/vdev/store").alias("metadata_path"))
+    return t.co.select("id", N.trim_path("metadata_path", "/mnt/blobs").alias("metadata_path"))
 
 
 @query("id_prefix", "SELECT id, substr(id, 1, 6) AS prefix FROM {po}")

@@ -45,9 +45,9 @@ def filter_eq(t: Tables):
 
 
 @query("filter_not_in", """
-    SELECT id, metadata_path FROM {co} WHERE metadata_path NOT IN ('/vdev/store/MD/2', '/vdev/store/data/MD/3')""")
+    SELECT id, metadata_path FROM {co} WHERE metadata_path NOT IN ('/mnt/blobs/MD/2', '/mnt/blobs/data/MD/3')""")
 def filter_not_in(t: Tables):
-    gone = ["/vdev/store/MD/2", "/vdev/store/data/MD/3"]
+    gone = ["/mnt/blobs/MD/2", "/mnt/blobs/data/MD/3"]
     return E.filter_not_in(t.co, "metadata_path", gone).select("id", "metadata_path")
 
 

@@ -1,5 +1,7 @@
 """Queries over composed jobs."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,7 @@ LAYOUT = Layout(
     per_atom={"free_energy": "energy_per_atom", "potential_energy": "energy_per_atom"},
     units={c: "energy_unit" for c in ("free_energy", "potential_energy", "energy_reference")},
     arrays={}, null_datasets=("DS_000001_0",),
+    hash_columns=["configuration_id", "dataset_id", "energy", "formation_energy", "method"],
 )
 
 # Energy of the view in eV with its reference, as a total, free energy first.
@@ -77,7 +80,7 @@ def structures(t: Tables) -> DataFrame:
            count_if(NOT starts_with(c.cell, '[[0.0'))::BIGINT AS periodic
     FROM {po} p JOIN {co} c ON c.id = p.configuration_id GROUP BY p.dataset_id""")
 def fix_pbc_and_rehash(t: Tables):
-    co, po, _ = rehash(structures(t), t.po)
+    co, po, _ = rehash(structures(t), t.po, po_hash_columns=["configuration_id", "dataset_id", "formation_energy", "method"])
     moved = po.join(co.select(F.col("id").alias("configuration_id"), "pbc"), "configuration_id")
     return moved.groupBy("dataset_id").agg(
         F.count("*").alias("n"), F.count_distinct("configuration_id").alias("structures"),
@@ -86,11 +89,19 @@ def fix_pbc_and_rehash(t: Tables):
 
 
 @query("repair_duplicates", """
-    SELECT id, count(DISTINCT dataset_id) AS n_datasets, max(multiplicity) FILTER (last_modified = latest) AS multiplicity
-    FROM (SELECT *, max(last_modified) OVER (PARTITION BY id) AS latest FROM {po}) GROUP BY id""")
+    SELECT id, string_agg(DISTINCT dataset_id, ',' ORDER BY dataset_id) AS dataset_ids,
+           CASE WHEN count(*) = 1 THEN concat(first(configuration_id), ',', first(method))
+                ELSE array_to_string(list_sort(list_distinct(list_concat(list(configuration_id), list(method)))), ',') END AS names,
+           first(method ORDER BY last_modified DESC, method DESC) AS method,
+           first(multiplicity ORDER BY last_modified DESC, multiplicity DESC) AS multiplicity,
+           first(formation_energy ORDER BY last_modified DESC, formation_energy DESC) FILTER (formation_energy IS NOT NULL) AS formation_energy
+    FROM {po} GROUP BY id""")
 def repair_duplicates(t: Tables):
     repaired = curate.repair_duplicates(listed(t), ["dataset_ids", "names"])
-    return repaired.select("id", F.size("dataset_ids").cast("long").alias("n_datasets"), "multiplicity")
+    return repaired.select(
+        "id", F.array_join("dataset_ids", ",").alias("dataset_ids"), F.array_join("names", ",").alias("names"),
+        "method", "multiplicity", "formation_energy",
+    )
 
 
 @query("build_set_map", """
@@ -173,9 +184,14 @@ def release(t: Tables):
 
 
 @query("export", """
-    SELECT p.dataset_id, count(*) AS n, count(DISTINCT m.content) AS contents
+    SELECT 'po' AS kind, p.dataset_id, p.id, md5(m.content) AS content
     FROM {po} p LEFT JOIN {metadata} m ON m.path = concat('data/MD/', cast(p.multiplicity AS VARCHAR))
-    GROUP BY p.dataset_id""")
+    UNION ALL SELECT 'ds', id, id, md5(concat('Data of ', name)) FROM {ds}
+    UNION ALL SELECT 'co', m.dataset_id, m.configuration_id, md5(concat(cast(c.nsites % 3 AS VARCHAR), '.0'))
+    FROM {member} m JOIN {co} c ON c.id = m.configuration_id
+    UNION ALL SELECT 'cs', dataset_id, id, NULL FROM {cs_owned}
+    UNION ALL SELECT 'cs_co_map', o.dataset_id, m.configuration_id, NULL
+    FROM {cs_co_map} m JOIN {cs_owned} o ON o.id = m.configuration_set_id""")
 def export(t: Tables):
     path = t.fresh("export")
     po = t.po.select(
@@ -187,6 +203,14 @@ def export(t: Tables):
         "cs": t.cs_owned, "cs_co_map": t.cs_co_map,
     }
     publish.export(tables, path, "Site", "https://site.example", t.metadata, LEVEL)
-    return t.spark.read.parquet(f"{path}/po").groupBy("dataset_id").agg(
-        F.count("*").alias("n"), F.count_distinct("metadata").alias("contents")
-    )
+    # Read back what the cards point to.
+    cards = t.spark.read.text(f"{path}/dataset=*/kind=card", wholetext=True)
+    globs = cards.select(F.explode(F.regexp_extract_all("value", F.lit('data_files: "([^"]+)"'), 1)).alias("g")).distinct()
+    content = {"po": F.md5("metadata"), "ds": F.md5("description"), "co": F.md5(F.col("cell")[0][0].cast("string"))}
+    found = []
+    for row in globs.orderBy("g").collect():
+        kind = row["g"].split("/")[0].removeprefix("kind=")
+        found.append(t.spark.read.parquet(f"{path}/dataset=*/{row['g']}").select(
+            F.lit(kind).alias("kind"), "dataset_id", F.col("configuration_id" if kind == "cs_co_map" else "id").alias("id"),
+            content.get(kind, F.lit(None).cast("string")).alias("content")))
+    return reduce(DataFrame.unionAll, found)

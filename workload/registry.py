@@ -40,8 +40,8 @@ VIEWS = {
                concat('[', chr(39), p_name, chr(39), ', ', chr(39), p_brand, chr(39), ', ', chr(39), p_name, chr(39), ']') AS names,
                concat('[[', cast(p_size % 3 AS string), '.0, 0.0, 0.0], [0.0, 0.0, 0.0], [0.0, 0.0, 0.0]]') AS cell,
                CASE WHEN p_partkey % 7 = 0 THEN NULL
-                    WHEN p_partkey % 2 = 0 THEN concat('/vdev/store/MD/', cast(p_partkey % 200 AS string))
-                    ELSE concat('/vdev/store/data/MD/', cast(p_partkey % 200 AS string)) END AS metadata_path,
+                    WHEN p_partkey % 2 = 0 THEN concat('/mnt/blobs/MD/', cast(p_partkey % 200 AS string))
+                    ELSE concat('/mnt/blobs/data/MD/', cast(p_partkey % 200 AS string)) END AS metadata_path,
                concat('[', cast(p_partkey % 2 = 0 AS string), ']') AS flag_text,
                p_brand AS label
         FROM {part}""",

@@ -83,14 +83,14 @@ def rows_to_df(t: Tables):
     return scan.rows_to_df(t.spark, drifted, schema)
 
 
-TRIMMED = "regexp_replace(metadata_path, '^/vdev/store/(data/)?', 'data/')"
+TRIMMED = "regexp_replace(metadata_path, '^/mnt/blobs/(data/)?', 'data/')"
 
 
 @query("metadata_lookup", f"""
     SELECT c.id, md5(m.content) AS content_md5
     FROM (SELECT id, {TRIMMED} AS path FROM {{co}}) c LEFT JOIN {{metadata}} m ON m.path = c.path""")
 def metadata_lookup(t: Tables):
-    co = t.co.select("id", trim_path("metadata_path", "/vdev/store").alias("metadata_path"))
+    co = t.co.select("id", trim_path("metadata_path", "/mnt/blobs").alias("metadata_path"))
     rows = metadata.metadata_lookup(co, t.metadata, {"metadata_path": "metadata"})
     return rows.select("id", F.md5("metadata").alias("content_md5"))
 

@@ -3,6 +3,8 @@
 Everything is written below the shared folder of the session.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,16 +63,16 @@ def export_dataset_parquet(t: Tables):
 def export_all_datasets(t: Tables):
     path = t.fresh("all-datasets")
     X.export_all_datasets(narrow_po(t), path, level=LEVEL)
-    return t.spark.read.parquet(path)
+    return t.spark.read.parquet(path).drop("dataset")
 
 
 @query("export_bundle", """
-    SELECT 'ds' AS kind, id AS dataset_id, count(*) AS n FROM {ds} GROUP BY id
-    UNION ALL SELECT 'po', dataset_id, count(*) FROM {po} GROUP BY dataset_id
-    UNION ALL SELECT 'co', dataset_id, count(*) FROM {member} GROUP BY dataset_id
-    UNION ALL SELECT 'cs', dataset_id, count(*) FROM {cs_owned} GROUP BY dataset_id
-    UNION ALL SELECT 'cs_co_map', o.dataset_id, count(*)
-    FROM {cs_co_map} m JOIN {cs_owned} o ON o.id = m.configuration_set_id GROUP BY o.dataset_id""")
+    SELECT 'ds' AS kind, id AS dataset_id, id FROM {ds}
+    UNION ALL SELECT 'po', dataset_id, id FROM {po}
+    UNION ALL SELECT 'co', dataset_id, configuration_id FROM {member}
+    UNION ALL SELECT 'cs', dataset_id, id FROM {cs_owned}
+    UNION ALL SELECT 'cs_co_map', o.dataset_id, m.configuration_id
+    FROM {cs_co_map} m JOIN {cs_owned} o ON o.id = m.configuration_set_id""")
 def export_bundle(t: Tables):
     path = t.fresh("bundle")
     members = t.member.groupBy(F.col("configuration_id").alias("id")).agg(
@@ -81,15 +83,13 @@ def export_bundle(t: Tables):
         "co": t.co.join(members, "id"), "cs": t.cs_owned, "cs_co_map": t.cs_co_map,
     }
     X.export_bundle(tables, path, level=LEVEL)
-    counted = [
-        t.spark.read.schema("dataset_id string").parquet(f"{path}/{kind}").groupBy("dataset_id").agg(F.count("*").alias("n"))
-        .select(F.lit(kind).alias("kind"), "dataset_id", "n")
+    # Every file holds the dataset it belongs to, besides the name of its folder.
+    found = [
+        t.spark.read.parquet(f"{path}/dataset=*/kind={kind}").select(
+            F.lit(kind).alias("kind"), "dataset_id", F.col("configuration_id" if kind == "cs_co_map" else "id").alias("id"))
         for kind in ("ds", "po", "co", "cs", "cs_co_map")
     ]
-    out = counted[0]
-    for part in counted[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionAll, found)
 
 
 @query("export_resumable", NARROW)
@@ -97,8 +97,8 @@ def export_resumable(t: Tables):
     # A first run that got only some datasets done, then the run that completes it.
     path = t.fresh("resumable")
     X.export_resumable(narrow_po(t).filter("dataset_id < 'DS_000050_0'"), path, level=LEVEL)
-    X.export_resumable(narrow_po(t), path, level=LEVEL)
-    return t.spark.read.parquet(path)
+    X.export_resumable(narrow_po(t), path, level=LEVEL, group_rows=20_000)
+    return t.spark.read.parquet(path).drop("dataset")
 
 
 @query("size_partitions", "SELECT id, dataset_id, configuration_id, multiplicity FROM {po}")
@@ -236,7 +236,7 @@ def dataset_card(t: Tables):
     back = t.spark.read.text(path, wholetext=True)
     after = lambda head: F.regexp_extract("value", rf"{head}([^\n]*?) *\n", 1)
     return back.select(
-        F.col("dataset_id").alias("id"), after("license: ").alias("license"),
+        F.col("dataset").alias("id"), after("license: ").alias("license"),
         after("pretty_name: ").alias("pretty_name"),
         after(r"### Cite this dataset  \n").alias("citation"),
         F.contains("value", F.lit("configuration_sets")).alias("shows_sets"),
