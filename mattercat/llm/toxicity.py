@@ -144,20 +144,20 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
     return [(after - before, first, last) for before, after, first, last, _ in kept]
 
 
-def telling(counts: DataFrame, toxic: int, clean: int, most: int, prior: float, certainty: float) -> list:
+def telling(counts: DataFrame, toxic: int, clean: int, most: int, prior: float, certainty: float, margin: float) -> list:
     """Rows ``(feature, toxic, clean, weight)`` of the features that tell the classes apart.
 
-    The weight is the log-odds of occurring in a toxic document. Each class is smoothed
-    by a Dirichlet prior worth ``prior`` of all documents, which hold a feature as often as
-    the whole corpus does, and the result drawn towards 0 by ``certainty`` standard
-    deviations, so that rare features keep no weight. The ``most`` strongest make up the
+    ``toxic`` and ``clean`` are the sums of the counts of all words, so that longer documents
+    of one class raise nothing. The log-odds are smoothed by a Dirichlet prior: each class
+    gets ``prior`` times the counts of the whole corpus on top. They are drawn towards 0 by
+    ``certainty`` standard deviations and by ``margin``, so that features which are rare, or
+    only slightly likelier in one class, keep no weight. The ``most`` strongest make up the
     model; the counts behind them are of all training documents.
     """
-    share = (F.col("toxic") + F.col("clean")) / F.lit(float(toxic + clean))
-    added = F.lit(prior * (toxic + clean))
-    t, c = F.col("toxic") + added * share, F.col("clean") + added * share
-    delta = F.log(t / (toxic + added)) - F.log(c / (clean + added))
-    sure = F.abs(delta) - certainty * F.sqrt(1 / t + 1 / c)
+    added = prior * (F.col("toxic") + F.col("clean"))
+    t, c, whole = F.col("toxic") + added, F.col("clean") + added, prior * (toxic + clean)
+    delta = F.log(t / (toxic + whole)) - F.log(c / (clean + whole))
+    sure = F.abs(delta) - certainty * F.sqrt(1 / t + 1 / c) - margin
     rated = counts.select("feature", "toxic", "clean", (F.signum(delta) * sure).alias("weight"), sure.alias("sure"))
     return rated.filter("sure > 0").orderBy(F.desc("sure"), "feature").limit(most).collect()
 
@@ -218,7 +218,7 @@ def logistic(x: np.ndarray, positive: np.ndarray, negative: np.ndarray) -> tuple
     return max(0.0, float(a)), float(b)
 
 
-def train(docs: DataFrame, most: int = 50_000, prior: float = 0.05, certainty: float = 2.25) -> Model:
+def train(docs: DataFrame, most: int = 50_000, prior: float = 0.05, certainty: float = 1.64, margin: float = math.log(3)) -> Model:
     """A model of ``docs`` (``text``, ``toxic``); rows whose label is neither 0 nor 1 teach nothing.
 
     All rows given are counted, and all of them calibrate: ``lambda`` follows from the
@@ -235,8 +235,8 @@ def train(docs: DataFrame, most: int = 50_000, prior: float = 0.05, certainty: f
         share = (toxic + 0.01) / (toxic + clean + 1)
         return Model({}, -0.01, curve=(0.0, math.log(share / (1 - share))))
     counts = staged(token_counts(docs), "tokens")
-    rows = telling(counts, toxic, clean, most, prior, certainty)
     words = counts.filter(~F.startswith("feature", F.lit(" "))).agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).first()
+    rows = telling(counts, words["toxic"] or 0, words["clean"] or 0, most, prior, certainty, margin) if words["toxic"] and words["clean"] else []
     positive = [r for r in rows if r["weight"] > 0 and not r["feature"].startswith(" ")]
     in_toxic = sum(r["toxic"] for r in positive) / max(1, words["toxic"] or 0)
     in_clean = sum(r["clean"] for r in positive) / max(1, words["clean"] or 0)
@@ -245,9 +245,7 @@ def train(docs: DataFrame, most: int = 50_000, prior: float = 0.05, certainty: f
     if not model.weights:
         return Model({}, neutral, curve=(0.0, math.log(toxic / clean)))
 
-    added = prior * (toxic + clean)
-    shares = [(r["clean"] + added * (r["toxic"] + r["clean"]) / (toxic + clean)) / max(1, words["clean"] or 0) for r in rows
-              if not r["feature"].startswith(" ")]
+    shares = [(r["clean"] + prior * (r["toxic"] + r["clean"])) / words["clean"] for r in rows if not r["feature"].startswith(" ")]
     scores = [r["weight"] for r in rows if not r["feature"].startswith(" ")]
     model.rate = min(4.0, root([*scores, neutral], [*shares, max(0.0, 1 - sum(shares))]))
     best = evidence(docs.filter("toxic = 0"), model, ())
@@ -261,10 +259,19 @@ def train(docs: DataFrame, most: int = 50_000, prior: float = 0.05, certainty: f
     return model
 
 
-def labelled(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
-    """``(text, toxic)`` of the documents that have a label; of several labels the largest counts."""
+def labelled(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
+             most: int = 200_000) -> DataFrame:
+    """``(text, toxic)`` of the documents that have a label; of several labels the largest counts.
+
+    The classifier is fitted on about ``most`` labelled documents, drawn evenly by a hash of
+    their ids where there are more. So the labels (a few MB) can be sent to the documents,
+    and no text is shuffled.
+    """
     marks = only(labels, doc_id=doc_id, toxic=label).filter("doc_id is not null and toxic in (0, 1)")
-    return only(docs, doc_id=doc_id, text=text).join(marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id").select("text", "toxic")
+    marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    share = max(1, -(-marks.count() // most))
+    marks = marks.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0)
+    return only(docs, doc_id=doc_id, text=text).join(F.broadcast(marks), "doc_id").select("text", "toxic")
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
