@@ -48,9 +48,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
     found = suffixes.remove_repeats(rows, depth=400, carry="row")
-    # Not every cut leaves whole characters: broken ones are decoded to U+FFFD, which then goes.
-    text = F.when(F.size("removed") > 0, F.replace(F.decode("kept", "UTF-8"), F.lit("�"), F.lit(""))).otherwise(F.col("carry.text"))
-    names = {"text": text, "n_chars": F.when(F.col("carry.text").isNotNull(), F.char_length(text)).otherwise(F.col("carry.n_chars")).cast("bigint")}
+    length = F.when(F.size("removed") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("carry.n_chars"))
+    names = {"text": F.col("text"), "n_chars": length}
     return found.select(*[names[c].alias(c) if c in names else F.col("carry")[c].alias(c) for c in docs.columns])
 
 

@@ -234,7 +234,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     at least a byte), and the bytes that stay. All strings are judged on the input; the
     first occurrence goes like any other.
 
-    ``carry`` names one more column to hand through, such as a struct of all others.
+    ``carry`` names one more column to hand through, such as a struct of all others; then
+    comes ``text`` too, what stays without characters that a cut has broken (null for null).
 
     Null and empty texts keep nothing and lose nothing. Texts shorter than ``depth`` stay
     whole. Repeated rows are copies of each other, whatever their doc_id, which may be null.
@@ -249,8 +250,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_slices(batches, "text"):
-            removed, kept, sizes = [], [], []
-            for text, spans in zip(byte_texts(batch.column("text")), batch.column("spans").to_pylist()):
+            removed, kept, sizes, texts = [], [], [], []
+            for given, text, spans in zip(
+                    batch.column("text").to_pylist(), byte_texts(batch.column("text")), batch.column("spans").to_pylist()):
                 runs = []
                 for s in sorted((s["first"], s["last"] + depth) for s in spans or ()):
                     if runs and s[0] <= runs[-1][1]:
@@ -261,10 +263,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 kept.append(b"".join(text[i:j] for i, j in zip(edges[::2], edges[1::2])) if runs else text)
                 removed.append([{"first": i, "last": j} for i, j in runs])
                 sizes.append(len(text))
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in through], pa.array(sizes, "int64"),
-                 pa.array(removed, pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))), pa.array(kept, pa.binary())],
-                [*through, "n_bytes", "removed", "kept"])
+                texts.append(given if not runs else kept[-1].decode("utf-8", "ignore"))
+            spans = pa.array(removed, pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])))
+            found = {"n_bytes": pa.array(sizes, "int64"), "removed": spans, "kept": pa.array(kept, pa.binary())}
+            if carry:
+                found["text"] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in through], *found.values()], [*through, *found])
 
     return keyed.join(spans, "key", "left").select(*through, "text", "spans").mapInArrow(
-        strip, f"{kinds}n_bytes bigint, removed array<struct<first: bigint, last: bigint>>, kept binary")
+        strip, f"{kinds}n_bytes bigint, removed array<struct<first: bigint, last: bigint>>, kept binary" + (", text string" if carry else ""))
