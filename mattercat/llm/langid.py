@@ -50,7 +50,12 @@ def padded(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def string_counts(docs: DataFrame, order: int) -> DataFrame:
-    """``(lang, key, n)``: how often each string of 1 to ``order + 1`` bytes ends in a text of each language."""
+    """``(lang, key, n)``: how often each string of 1 to ``order + 1`` bytes ends in a text of each language.
+
+    Every byte of a padded text ends one string of full length, so tasks count only
+    those; each shorter one occurs as often as the full ones that end with it.
+    """
+    full = order + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_slices(batches, "text"):
@@ -62,13 +67,17 @@ def string_counts(docs: DataFrame, order: int) -> DataFrame:
                 np.add.at(inside, first, 1)
                 np.add.at(inside, last, -1)
                 inside = np.cumsum(inside)[:-1] > 0
-                for length in range(1, order + 2):
-                    key, n = np.unique(keys(data, length)[inside[length - 1:]], return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(key), pa.string()), pa.array(key.view("i8")), pa.array(n)], ["lang", "key", "n"])
+                key, n = np.unique(keys(data, full)[inside[order:]], return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(key), pa.string()), pa.array(key.view("i8")), pa.array(n)], ["lang", "key", "n"])
 
     found = docs.mapInArrow(run, "lang string, key bigint, n bigint")
-    return found.groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    found = staged(found.groupBy("lang", "key").agg(F.sum("n").alias("n")), "strings")
+    shorter = F.array(*[
+        F.col("key").bitwiseAND(F.lit((1 << 8 * k) - 1)).bitwiseOR(F.lit(1 << 8 * k)) for k in range(1, full)
+    ])
+    parts = found.select("lang", F.explode(shorter).alias("key"), "n").groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    return found.union(parts) if order else found
 
 
 @dataclass
@@ -109,17 +118,17 @@ class Model:
             other = other[(row[other] >= 0) & (self.key[row[other]] != key[other])]
         return row
 
-    def bits(self, data: np.ndarray, places: np.ndarray, table: np.ndarray, shift: int) -> np.ndarray:
-        """Code length of the byte at each place in every language."""
-        total = np.zeros((len(places), len(self.langs)), "f4")
-        left = np.arange(len(places))
+    def bits(self, key: np.ndarray, table: np.ndarray, shift: int) -> np.ndarray:
+        """Code length in every language of the last byte of each string of full length."""
+        total = np.zeros((len(key), len(self.langs)), "f4")
+        left = np.arange(len(key))
         for length in range(self.order + 1, 0, -1):
-            if length == self.order + 1:
-                key = keys(data, length)[places - length + 1]
-            else:
+            if length <= self.order:
                 key = np.uint64(1 << (8 * length)) | (key & np.uint64((1 << (8 * length)) - 1))
             row = self.find(key, table, shift)
             known = row >= 0
+            if known.all() and len(left) == len(total):
+                return self.cost[row]
             total[left[known]] += self.cost[row[known]]
             left, key = left[~known], key[~known]
             if not len(left):
@@ -140,8 +149,9 @@ class Model:
         places = np.arange(sizes.sum()) + np.repeat(first - np.cumsum(sizes) + sizes, sizes)
         text = np.repeat(np.arange(len(texts)), sizes)
         found = np.zeros((len(texts), len(self.langs)))
+        key = keys(data, self.order + 1)[places - self.order]
         for i in range(0, len(places), BLOCK):
-            bits, of = self.bits(data, places[i: i + BLOCK], table, shift), text[i: i + BLOCK]
+            bits, of = self.bits(key[i: i + BLOCK], table, shift), text[i: i + BLOCK]
             new = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
             found[of[new]] += np.add.reduceat(bits, new, axis=0, dtype="f8")
         return found
@@ -150,7 +160,7 @@ class Model:
         self.table = self.slots()
 
 
-def build_model(counts: DataFrame, order: int, most: int = 400_000) -> Model:
+def build_model(counts: DataFrame, order: int, most: int = 250_000) -> Model:
     """Trees of the ``most`` most frequent strings, summed over languages.
 
     A string is never more frequent than those inside it, so what is kept is a tree.
@@ -223,7 +233,7 @@ def costs(langs: list[str], order: int, key: np.ndarray, n: np.ndarray) -> Model
     return Model(langs, order, key, cost.astype("f4"), escape.astype("f4"))
 
 
-def train(docs: DataFrame, order: int = 4, most: int = 400_000) -> Model:
+def train(docs: DataFrame, order: int = 4, most: int = 250_000) -> Model:
     """A model of the languages in ``docs`` (``text``, ``lang``); rows without either teach nothing."""
     known = docs.filter("text is not null and lang is not null")
     return build_model(staged(string_counts(known.select("text", "lang"), order), "strings"), order, most)
