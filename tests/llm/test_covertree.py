@@ -49,3 +49,11 @@ def test_nets_are_nested_and_cover():
         assert (covertree.distances((x * x[chain[level]]).sum(axis=1)) <= radius + 1e-9).all()
         nodes = np.unique(chain[level])
         assert (chain[level:, nodes] == nodes).all()
+
+
+def test_query_against_its_sql(spark):
+    from mattercat.llm.queries import ORACLES, QUERIES
+    from tests.oracle import differences, duck
+
+    folder = "/root/testdata/sf0.001"
+    assert differences(QUERIES["op10_cover_tree"](spark, folder), duck(folder), ORACLES["op10_cover_tree"]) == []

@@ -1,4 +1,7 @@
-from collections import Counter
+import math
+import random
+import re
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,3 +71,63 @@ def test_nulls_repeats_and_empty_tables(spark):
     rows = spark.createDataFrame([(None, None), (1, "http://a/b"), (1, "http://a/b")], "page_id int, url string")
     assert sorted((r.page_id or 0, r.verdict) for r in u.filter_urls(rows, RULES).collect()) == [(0, "allow"), (1, "allow"), (1, "allow")]
     assert u.filter_urls(rows.limit(0), RULES).collect() == []
+
+
+def plain_shape(segment):
+    ending = re.search(r"\.[a-z]{2,5}$", segment)
+    stem, end = (segment[: ending.start()], ending[0]) if ending else (segment, "")
+    if re.fullmatch(r"[0-9]+", stem):
+        return "{n}" + end
+    if re.search(r"[0-9]", segment) and re.fullmatch(r"[0-9a-fA-F-]{8,}", stem):
+        return "{x}" + end
+    return "{i}" if re.search(r"[0-9]", segment) else segment
+
+
+def plain_filter(urls, strength=4.0, limit=0.5, z=1.96):
+    """The method over dictionaries: ``(host, path, rule, verdict, template)`` of each url."""
+    rows = []
+    for url in urls:
+        host, path = plain_parts(url)
+        parts = [s for s in path.split("/") if s]
+        template = ([plain_shape(s) for s in parts[: u.DEPTH]] + [""] * u.DEPTH)[: u.DEPTH] + ["{**}" if len(parts) > u.DEPTH else ""]
+        rows.append({"host": host, "path": path, "rule": plain_rule(host, path), "t": template})
+    ruled = lambda r: dict(RULES).get(r["rule"])
+    total = lambda group: (sum(ruled(r) == "block" for r in group), sum(r["rule"] is not None for r in group))
+    for level in range(u.DEPTH):
+        nodes = defaultdict(lambda: defaultdict(list))
+        for r in rows:
+            nodes[r["host"], tuple(r["t"][:level])][r["t"][level]].append(r)
+        for branches in nodes.values():
+            everything = [r for group in branches.values() for r in group]
+            bad, seen = total(everything)
+            mean = (bad + 1) / (seen + 2)
+            variable = len(branches) >= u.VARIED and len(everything) < u.REPEATS * len(branches)
+            for value, group in branches.items():
+                blocked, labelled = total(group)
+                similar = 0 < labelled < seen and abs(blocked / labelled - mean) <= z * math.sqrt(mean * (1 - mean) / labelled)
+                if value not in ("", "{n}", "{x}", "{i}", "{**}") and (variable or similar):
+                    for r in group:
+                        r["t"][level] = "{*}" if variable else "{=}"
+    bad, seen = total(rows)
+    share, hosts, leaves = bad / max(1, seen), defaultdict(list), defaultdict(list)
+    for r in rows:
+        hosts[r["host"]].append(r)
+        leaves[r["host"], "/".join(r["t"])].append(r)
+    for r in rows:
+        b, n = total(hosts[r["host"]])
+        above = (b + strength * share) / (n + strength)
+        b, n = total(leaves[r["host"], "/".join(r["t"])])
+        r["verdict"] = ruled(r) or ("block" if n and (b + strength * above) / (n + strength) > limit else "allow")
+    return [(r["host"], r["path"], r["rule"], r["verdict"], "/".join(s for s in r["t"] if s)) for r in rows]
+
+
+def test_against_plain_python(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rng = random.Random(3)
+    more = [f"http://h{rng.randrange(3)}.example.{rng.choice(['net', 'com', 'org'])}/{rng.choice(['en', 'de', 'fr'])}/"
+            f"{rng.choice(['news', 'shop', ''.join(rng.choice('abcdefgh') for _ in range(4))])}/{rng.choice(['x', 'y', str(rng.randrange(99)), 'p/q/r/s'])}" for _ in range(400)]
+    rows = [(r.page_id, r.url) for r in pages.collect()] + [(1000 + i, x) for i, x in enumerate([*more, *URLS])]
+    want = dict(zip([i for i, _ in rows], plain_filter([x for _, x in rows])))
+    got = u.filter_urls(spark.createDataFrame(rows, "page_id bigint, url string"), RULES).collect()
+    assert {r.page_id: (r.host, r.path, r.rule, r.verdict, r.template) for r in got} == want
+    assert "{*}" in str(want) and "{=}" in str(want)
