@@ -13,7 +13,7 @@ from mattercat.session import staged
 
 __all__ = ["staged", "small_slices", "byte_texts", "only", "forest", "components"]
 
-SLICE_BYTES = 4 << 20  # text that a worker unpacks at a time
+SLICE_BYTES = 1 << 20  # text that a worker unpacks at a time
 
 
 def only(df: DataFrame, **columns: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import only, small_slices, staged
 
 BITS = 24  # of a hash that index the bitmap: 2 MB
-HELD = 400_000  # words a task remembers
+HELD = 250_000  # words a task remembers
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 

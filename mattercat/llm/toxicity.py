@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import only, small_slices, staged
 
 STEM = 4  # characters of a stem, the fallback of words too rare to judge
-HELD = 400_000  # words a task remembers
+HELD = 250_000  # words a task remembers
 BINS = 64  # of evidence, for the logistic curve
 
 
