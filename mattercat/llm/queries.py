@@ -97,8 +97,8 @@ def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 # All pairs, then reachability: what the tree search must find, stated plainly.
 ORACLES["op10_cover_tree"] = """
     WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-    sound AS (SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-                              AND list_sum(list_transform(e, x -> abs(x))) > 0),
+    sound AS (SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len([x for x in e if x IS NULL OR NOT isfinite(x)]) = 0
+                              AND list_sum([abs(x) for x in e]) > 0),
     links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.vec_id <> b.vec_id
               WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
     reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
