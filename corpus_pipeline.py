@@ -41,13 +41,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of 400 bytes or more that occur elsewhere too.
+    """Documents without passages of more than 50 words, or of 400 bytes or more, that occur elsewhere too.
 
     A cut may fall inside a character, whose other bytes go with it. ``n_chars`` follows
     the text. Null texts stay null.
     """
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
-    found = suffixes.remove_repeats(rows, depth=400, carry="row")
+    found = suffixes.remove_repeats(rows, depth=400, carry="row", words=51)
     length = F.when(F.size("removed") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("carry.n_chars"))
     names = {"text": F.col("text"), "n_chars": length}
     return found.select(*[names[c].alias(c) if c in names else F.col("carry")[c].alias(c) for c in docs.columns])

@@ -17,6 +17,10 @@ telling digit, and each keeps only suffixes that still share theirs with another
 No pass brings a group of unbounded size to one task: groups are counted with partial
 aggregation, and joins to the counts are split where a key is hot. Texts are keyed by
 their digest, so copies of a document are worked on once after the first pass.
+
+The same passes order suffixes through a number of words instead of bytes: windows then
+begin and end at words, and anchors are strings of words. A window leaves out punctuation
+before its first and after its last word, which often differs from place to place.
 """
 
 from __future__ import annotations
@@ -78,32 +82,69 @@ def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1: n])
 
 
-def segments(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, depth: int, gram: int):
-    """Runs of window starts with one anchor: ``(text, first, last, anchor, hash, hash)``.
+SPACE, PLAIN = np.zeros(256, bool), np.ones(256, bool)
+SPACE[list(b" \t\n\r\v\f")] = True
+PLAIN[:128] = [chr(i).isalnum() for i in range(128)]  # letters and digits; all beyond ASCII
+
+
+def word_places(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte and end of each word, and the number of words before each text and in all.
+
+    Words are runs of bytes other than the six ASCII white spaces, without the ASCII
+    punctuation around them; one of punctuation alone is kept whole.
+    """
+    inner = ~SPACE[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[starts] = edge[ends] = True
+    first = np.flatnonzero(inner & (edge[:-1] | np.concatenate([[True], ~inner[:-1]])))
+    stop = np.flatnonzero(inner & (edge[1:] | np.concatenate([~inner[1:], [True]]))) + 1
+    before = np.searchsorted(first, np.concatenate([starts, ends[-1:]]))
+    plain = np.flatnonzero(PLAIN[data] & inner)
+    if len(plain):
+        low, high = np.searchsorted(plain, first), np.searchsorted(plain, stop)
+        some = high > low
+        first[some], stop[some] = plain[low[some]], plain[high[some] - 1] + 1
+    return first, stop, before
+
+
+def window_places(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, depth: int,
+                  words: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, number, first byte and end of each window of ``depth`` bytes or words, and where all units begin and end."""
+    if words:
+        first, stop, before = word_places(data, starts, ends)
+        low, high = before[:-1], before[1:]
+    else:
+        first = np.arange(len(data))
+        stop, low, high = first + 1, starts, ends
+    counts = np.maximum(high - low - depth + 1, 0)
+    text = np.repeat(np.arange(len(counts)), counts)
+    window = np.arange(counts.sum()) + np.repeat(low - np.cumsum(counts) + counts, counts)
+    return text, window, first[window], stop[window + depth - 1] if len(window) else window, (first, stop)
+
+
+def segments(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, depth: int, gram: int, words: bool = False):
+    """Runs of windows with one anchor: ``(text, first, stop, anchor, hash, hash)``, from the first to the end of the last.
 
     ``data`` holds texts ``starts[i]:ends[i]``; places count from the start of the buffer.
     """
     none = np.zeros(0, "i8")
     if len(data) < depth:
         return none, none, none, none, none, none
-    width = depth - gram + 1
-    strings = Strings(data, 2)
-    place = np.arange(len(data) - gram + 1)
-    sums, up = strings.sums[0], strings.powers[0][0]
-    grams = mixed((sums[gram:] - sums[:-gram]) * up[: len(place)])
-    least = sliding_minimum((grams & ~LOW) | (LOW - place.astype("u8")), width)
-    chosen = (LOW - (least & LOW)).astype("i8")
-    long = ends - starts >= depth
-    counts = (ends - starts - depth + 1)[long]
-    text = np.repeat(np.flatnonzero(long), counts)
-    window = np.arange(counts.sum()) + np.repeat(starts[long] - np.cumsum(counts) + counts, counts)
+    text, window, begin, end, (unit, unit_end) = window_places(data, starts, ends, depth, words)
     if not len(window):
         return none, none, none, none, none, none
-    pick = chosen[window]
+    strings = Strings(data, 2)
+    if words:
+        grams = strings.hashes(unit[: len(unit) - gram + 1], unit_end[gram - 1:], 0)
+    else:
+        sums, up = strings.sums[0], strings.powers[0][0]
+        grams = mixed((sums[gram:] - sums[:-gram]) * up[: len(data) - gram + 1])
+    least = sliding_minimum((grams & ~LOW) | (LOW - np.arange(len(grams), dtype="u8")), depth - gram + 1)
+    pick = (LOW - (least & LOW)).astype("i8")[window]
     new = np.flatnonzero(np.concatenate([[True], (pick[1:] != pick[:-1]) | (text[1:] != text[:-1])]))
-    first, last = window[new], window[np.concatenate([new[1:], [len(window)]]) - 1]
-    a, b = (strings.hashes(first, last + depth, lane).view("i8") for lane in (0, 1))
-    return text[new], first, last, grams[pick[new]].view("i8"), a, b
+    first, stop = begin[new], end[np.concatenate([new[1:], [len(window)]]) - 1]
+    a, b = (strings.hashes(first, stop, lane).view("i8") for lane in (0, 1))
+    return text[new], first, stop, grams[pick[new]].view("i8"), a, b
 
 
 def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,65 +153,63 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), "u1"), ends - [len(t) for t in texts], ends
 
 
-def repeated_spans(docs: DataFrame, depth: int = 400, gram: int = 100) -> DataFrame:
-    """``(key, spans)``: places of windows of ``depth`` bytes that start elsewhere too.
+def repeated_spans(docs: DataFrame, depth: int = 400, gram: int = 100, words: bool = False) -> DataFrame:
+    """``(key, first, stop)``: runs of windows of ``depth`` bytes that start elsewhere too.
 
-    ``docs`` holds ``doc_id``, ``key``, the digest of the text, and ``text``. ``spans`` are
-    structs ``(first, last)`` of window starts, not merged and in no order.
+    ``docs`` holds ``doc_id``, ``key``, the digest of the text, and ``text``. A run goes from the
+    first byte of its first window to the end of its last; runs are not merged. With
+    ``words`` both ``depth`` and ``gram`` count words.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    shape = f"doc_id {kind}, key binary, first int, last int, anchor bigint, a bigint, b bigint"
+    shape = f"doc_id {kind}, key binary, first int, stop int, anchor bigint, a bigint, b bigint"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_slices(batches, "text"):
             data, starts, ends = joined(byte_texts(batch.column("text")))
-            text, first, last, anchor, a, b = segments(data, starts, ends, depth, gram)
+            text, first, stop, anchor, a, b = segments(data, starts, ends, depth, gram, words)
             base, row = starts[text], pa.array(text, "int64")
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(row), batch.column("key").take(row),
-                 pa.array((first - base).astype("i4")), pa.array((last - base).astype("i4")),
+                 pa.array((first - base).astype("i4")), pa.array((stop - base).astype("i4")),
                  pa.array(anchor), pa.array(a), pa.array(b)],
-                ["doc_id", "key", "first", "last", "anchor", "a", "b"])
+                ["doc_id", "key", "first", "stop", "anchor", "a", "b"])
 
-    long = docs.filter(F.octet_length("text") >= depth)
+    long = docs.filter(F.octet_length("text") >= (2 * depth - 1 if words else depth))
     found = staged(long.mapInArrow(cut, shape), "segments")
     anchors = staged(found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "anchors")
     shared = staged(found.join(anchors, "anchor", "left_semi"), "shared")
 
     # One row for each different segment, with one of its places.
     distinct = staged(shared.groupBy("anchor", "a", "b").agg(
-        F.count("*").alias("n"), F.min(F.struct("key", "doc_id", "first", "last")).alias("at")), "distinct")
+        F.count("*").alias("n"), F.min(F.struct("key", "doc_id", "first", "stop")).alias("at")), "distinct")
     # Written first, so that the rows of a segment that is everywhere are split by the join.
     common = staged(distinct.filter("n > 1").select("a", "b").distinct(), "common")
     whole = shared.join(common, ["a", "b"], "left_semi")
 
     several = staged(distinct.groupBy("anchor").agg(F.count("*").alias("members")).filter("members > 1"), "several")
     runs = distinct.join(several, "anchor").select("anchor", "members", "at.*").groupBy(
-        F.col("key").alias("of_key"), F.col("doc_id").alias("of_doc")).agg(F.collect_list(F.struct("anchor", "members", "first", "last")).alias("runs"))
+        F.col("key").alias("of_key"), F.col("doc_id").alias("of_doc")).agg(F.collect_list(F.struct("anchor", "members", "first", "stop")).alias("runs"))
     texts = long.join(staged(runs, "runs"), F.expr("key = of_key and doc_id <=> of_doc"))
     pieces = texts.select("key", F.col("text").cast("binary").alias("text"), F.explode("runs").alias("r")).select(
-        "r.anchor", "r.members", "key", "r.first", F.expr(f"substring(text, r.first + 1, r.last - r.first + {depth})").alias("data"))
+        "r.anchor", "r.members", "key", "r.first", F.expr("substring(text, r.first + 1, r.stop - r.first)").alias("data"))
     pieces = staged(pieces, "pieces")
-    together = repeated_runs(pieces.filter(F.col("members") <= GROUP).drop("members"), depth)
-    apart = repeated_windows(pieces.filter(F.col("members") > GROUP).drop("members"), depth)
-    spans = whole.select("key", "first", "last").union(together).union(apart).distinct()
-    return spans.groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    together = repeated_runs(pieces.filter(F.col("members") <= GROUP).drop("members"), depth, words)
+    apart = repeated_windows(pieces.filter(F.col("members") > GROUP).drop("members"), depth, words)
+    return whole.select("key", "first", "stop").union(together).union(apart).distinct()
 
 
-def windows(batch: pa.RecordBatch, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, place in the text and 128-bit hash of every window of a batch of pieces."""
+def windows(batch: pa.RecordBatch, depth: int, words: bool) -> tuple[np.ndarray, ...]:
+    """Row, number, first byte and end in the text and 128-bit hash of every window of a batch of pieces."""
     data, starts, ends = joined(byte_texts(batch.column("data")))
-    counts = ends - starts - depth + 1
-    row = np.repeat(np.arange(len(counts)), counts)
-    inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    at = starts[row] + inside
+    row, number, begin, end, _ = window_places(data, starts, ends, depth, words)
     strings = Strings(data, 2)
-    a, b = (strings.hashes(at, at + depth, lane) for lane in (0, 1))
-    return row, inside + batch.column("first").to_numpy()[row], a, b
+    a, b = (strings.hashes(begin, end, lane) for lane in (0, 1))
+    shift = batch.column("first").to_numpy()[row] - starts[row]
+    return row, number, begin + shift, end + shift, a, b
 
 
-def repeated_runs(pieces: DataFrame, depth: int) -> DataFrame:
-    """``(key, first, last)``: runs of windows that another piece with the same anchor has too.
+def repeated_runs(pieces: DataFrame, depth: int, words: bool) -> DataFrame:
+    """``(key, first, stop)``: runs of windows that another piece with the same anchor has too.
 
     Equal windows have equal anchors, so the pieces of one anchor, at most ``GROUP`` of them,
     are sorted in one place; a task holds those of a few anchors at a time.
@@ -180,18 +219,18 @@ def repeated_runs(pieces: DataFrame, depth: int) -> DataFrame:
         held: list[pa.RecordBatch] = []
 
         def found(ready: pa.RecordBatch) -> pa.RecordBatch:
-            row, place, a, b = windows(ready, depth)
+            row, number, begin, end, a, b = windows(ready, depth, words)
             order = np.lexsort((b, a))
             same = (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1])
             twice = np.zeros(len(a), bool)
             twice[order[1:][same]] = True
             twice[order[:-1][same]] = True
-            row, place = row[twice], place[twice]
-            new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)])) if len(row) else row
-            end = np.concatenate([new[1:], [len(row)]]) - 1 if len(row) else row
+            row, number, begin, end = row[twice], number[twice], begin[twice], end[twice]
+            new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (number[1:] != number[:-1] + 1)])) if len(row) else row
+            last = np.concatenate([new[1:], [len(row)]]) - 1 if len(row) else row
             return pa.RecordBatch.from_arrays(
-                [ready.column("key").take(pa.array(row[new])), pa.array(place[new].astype("i4")), pa.array(place[end].astype("i4"))],
-                ["key", "first", "last"])
+                [ready.column("key").take(pa.array(row[new])), pa.array(begin[new].astype("i4")), pa.array(end[last].astype("i4"))],
+                ["key", "first", "stop"])
 
         for batch in small_slices(batches, "data"):
             anchor = batch.column("anchor").to_numpy()
@@ -207,28 +246,31 @@ def repeated_runs(pieces: DataFrame, depth: int) -> DataFrame:
         if held:
             yield found(pa.concat_batches(held))
 
-    return pieces.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "key binary, first int, last int")
+    return pieces.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "key binary, first int, stop int")
 
 
-def repeated_windows(pieces: DataFrame, depth: int) -> DataFrame:
+def repeated_windows(pieces: DataFrame, depth: int, words: bool) -> DataFrame:
     """The same for anchors with any number of pieces: every window is a row of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_slices(batches, "data"):
-            row, place, a, b = windows(batch, depth)
+            row, _, begin, end, a, b = windows(batch, depth, words)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key").take(pa.array(row)), pa.array(place.astype("i4")), pa.array(a.view("i8")), pa.array(b.view("i8"))],
-                ["key", "place", "a", "b"])
+                [batch.column("key").take(pa.array(row)), pa.array(begin.astype("i4")), pa.array(end.astype("i4")),
+                 pa.array(a.view("i8")), pa.array(b.view("i8"))],
+                ["key", "first", "stop", "a", "b"])
 
-    each = staged(pieces.mapInArrow(run, "key binary, place int, a bigint, b bigint"), "windows")
+    each = staged(pieces.mapInArrow(run, "key binary, first int, stop int, a bigint, b bigint"), "windows")
     twice = staged(each.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").select("a", "b"), "repeated")
-    return each.join(twice, ["a", "b"], "left_semi").select("key", F.col("place").alias("first"), F.col("place").alias("last"))
+    return each.join(twice, ["a", "b"], "left_semi").select("key", "first", "stop")
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = 400, gram: int = 100,
-                   carry: str | None = None) -> DataFrame:
+                   carry: str | None = None, words: int | None = None) -> DataFrame:
     """Every document without the bytes covered by a ``depth``-byte string that occurs twice.
 
+    With ``words`` the strings of that many words that occur twice go too, however short they are.
+
     Returns ``(doc_id, n_bytes, removed, kept)``: the UTF-8 length of the text, the removed
     runs as structs ``(first, last)`` of byte places (last exclusive, in order, apart by
     at least a byte), and the bytes that stay. All strings are judged on the input; the
@@ -244,7 +286,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     base = only(docs, doc_id=doc_id, text=text, **({"carry": carry} if carry else {}))
     keyed = base.withColumn("key", F.unhex(F.md5(F.col("text").cast("binary"))))
-    spans = staged(repeated_spans(keyed.select("doc_id", "key", "text"), depth, gram), "spans")
+    source = keyed.select("doc_id", "key", "text")
+    spans = repeated_spans(source, depth, gram)
+    if words:
+        spans = spans.union(repeated_spans(source, words, max(1, words // 4), words=True))
+    spans = staged(spans.groupBy("key").agg(F.collect_list(F.struct("first", "stop")).alias("spans")), "spans")
     through = ["doc_id", "carry"] if carry else ["doc_id"]
     kinds = "".join(f"{n} {keyed.schema[n].dataType.simpleString()}, " for n in through)
 
@@ -254,7 +300,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             for given, text, spans in zip(
                     batch.column("text").to_pylist(), byte_texts(batch.column("text")), batch.column("spans").to_pylist()):
                 runs = []
-                for s in sorted((s["first"], s["last"] + depth) for s in spans or ()):
+                for s in sorted((s["first"], s["stop"]) for s in spans or ()):
                     if runs and s[0] <= runs[-1][1]:
                         runs[-1][1] = max(runs[-1][1], s[1])
                     else:

@@ -50,6 +50,14 @@ def test_repeats_are_cut_and_lengths_follow(spark):
     assert [rows[i].n_chars for i in range(3)] == [10, 7, None]
 
 
+def test_passages_of_51_words_are_cut_and_of_50_stay(spark):
+    many, few = " ".join(f"w{i}" for i in range(51)), " ".join(f"v{i}" for i in range(50))
+    assert len(many) < 400
+    docs = frame(spark, [f"one {many}. two {few} three", f"four ({many}) five", f"six {few} seven"])
+    rows = {r.doc_id: r.text for r in pipeline.cut_repeats(spark, docs, "").collect()}
+    assert rows == {0: f"one . two {few} three", 1: "four () five", 2: f"six {few} seven"}
+
+
 def test_whole_run(spark):
     rows = pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert len(rows) > 100

@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -39,6 +40,35 @@ def test_against_brute_force(spark, monkeypatch, group):
         assert sum(s["last"] - s["first"] for s in r.removed) == removed
 
 
+@pytest.mark.parametrize("group", [8192, 2])
+def test_words_against_brute_force(spark, monkeypatch, group):
+    monkeypatch.setattr(suffixes, "GROUP", group)
+    rng = random.Random(group)
+    some = lambda n: [rng.choice(["a", "be", "c,", "(d", "\u00e9t\u00e9", "--", "\u3001x"]) for _ in range(n)]
+    shared = [some(14), some(9), some(30)]
+    texts = [None, "", " ", "a", "a " * 60, "-- " * 20]
+    for _ in range(25):
+        texts.append(" ".join(some(rng.randrange(9)) + rng.choice(shared)[rng.randrange(8):] + some(rng.randrange(9)) + rng.choice(shared)))
+    texts += [texts[-1], "  ".join(some(500))]
+
+    def places(b):
+        found = []
+        for m in re.finditer(rb"[^ \t\n\r\v\f]+", b):
+            core = re.search(rb"[0-9A-Za-z\x80-\xff](.*[0-9A-Za-z\x80-\xff])?", m[0], re.S)
+            found.append((m.start() + core.start(), m.start() + core.end()) if core else m.span())
+        return [(x[0], y[1]) for x, y in zip(found, found[7:])]
+
+    data = [(t or "").encode() for t in texts]
+    seen = Counter(b[i:j] for b in data for i, j in places(b))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: bytes(r.kept) for r in suffixes.remove_repeats(rows, depth=5000, words=8).collect()}
+    for k, b in enumerate(data):
+        covered = np.zeros(len(b), bool)
+        for i, j in places(b):
+            covered[i:j] |= seen[b[i:j]] > 1
+        assert got[k] == np.frombuffer(b, "u1")[~covered].tobytes()
+
+
 def test_null_ids_repeated_rows_carried_columns_and_empty_tables(spark):
     rows = spark.createDataFrame([(None, "x" * 30, 1), (None, "x" * 30, 2), (7, "short", 3)], "doc_id bigint, text string, extra int")
     got = sorted((r.carry, len(r.kept)) for r in suffixes.remove_repeats(rows, depth=20, gram=5, carry="extra").collect())
