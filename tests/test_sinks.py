@@ -167,6 +167,24 @@ def test_resumable_export_keeps_finished_groups(spark, tmp_path, monkeypatch):
     assert before.items() <= after.items() and spark.read.parquet(path).count() == 100
 
 
+def test_resumable_export_keeps_rows_without_a_dataset(spark, tmp_path):
+    path = str(tmp_path / "out")
+    names = F.when(F.col("id") % 4 == 0, None).when(F.col("id") % 4 == 1, "").otherwise(F.concat(F.lit("DS_"), F.col("id") % 4))
+    df = spark.range(100).select("id", names.alias("dataset_id"))
+    for _ in range(2):
+        X.export_resumable(df, path, level=1, group_rows=25)
+        assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(100))
+    assert spark.read.parquet(f"{path}_done").count() == 4
+
+
+def test_resumable_export_names_datasets_without_a_size(spark, tmp_path):
+    df = spark.range(10).select("id", F.concat(F.lit("DS_"), F.col("id") % 2).alias("dataset_id"))
+    sizes = spark.createDataFrame([("DS_0", 5)], "dataset_id string, rows bigint")
+    with pytest.raises(ValueError, match="DS_1"):
+        X.export_resumable(df, str(tmp_path / "out"), level=1, sizes=sizes)
+    assert not (tmp_path / "out").exists()
+
+
 def test_publish_swap_is_undone_when_a_rename_fails(spark, tmp_path, monkeypatch):
     for name, n in (("undo_a", 1), ("undo_a_tmp", 2), ("undo_b", 1), ("undo_b_tmp", 2)):
         W.save_table(spark.range(n), name, "overwrite", str(tmp_path / name))
