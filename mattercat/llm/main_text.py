@@ -52,13 +52,15 @@ def surges(lengths: np.ndarray, window: int, surge: float, dive: float, steady:
 
     The sum over the ``window`` lines from a line on is its block length. A region
     begins where that passes ``surge`` and stays above ``dive`` for the following ``steady``
-    lines or the rest of the page, and ends before the first line from which it is at most ``dive``.
+    lines, up to its own last line with text, and ends before the first line from which it is at most ``dive``.
     """
     n = len(lengths)
     sums = np.convolve(np.concatenate([lengths, np.zeros(window - 1)]), np.ones(window), "valid")[:n] if n else lengths
     keep, inside = np.zeros(n, bool), False
     for i in range(n):
-        if not inside and sums[i] > surge and lengths[i] > 0 and (sums[i + 1: i + 1 + steady] > dive).all():
+        # A region of one or two lines has no more to be steady on.
+        own = i + np.flatnonzero(lengths[i: i + window] > 0).max(initial=0)
+        if not inside and sums[i] > surge and lengths[i] > 0 and (sums[i + 1: min(i + steady, own) + 1] > dive).all():
             inside = True
         elif inside and sums[i] <= dive:
             inside = False

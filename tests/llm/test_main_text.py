@@ -42,6 +42,16 @@ def test_surges_and_dives():
     assert keep.tolist() == [False] * 4 + [True] * 4 + [False] * 5
 
 
+def test_short_articles_on_unmarked_pages():
+    long = "A paragraph of an article that is long enough to be a surge all by itself, with words to spare."
+    end = "<footer>Imprint</footer><footer>Contact</footer>"
+    for body, want in ((f"<p>{long}</p>", long), (f"<h1>Title</h1><p>{long}</p>", f"Title {long}")):
+        assert main_text.page_text(f"<html><body><nav>Home</nav>{body}{end}</body></html>") == want
+    menu = "<div class='ad'>x</div>" * 4
+    page = f"<html><body><p>{long}</p><p>{long}</p><p>{long}</p>{menu}<p>{long}</p>{end}</body></html>"
+    assert main_text.page_text(page) == " ".join([long] * 4)
+
+
 def test_query_shape_and_edge_cases(spark):
     rows = [(None, None, None, "k"), (1, "u", "", "k"), (1, "u", "", "k"), (2, "v", AROUND % BODY, "k"), (3, "w", "<p>" + "long text " * 60_000, "k")]
     got = main_text.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")).collect()
