@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, covertree, langid, main_text, packing, simhash, suffixes, toxicity, url_templates, warc
+from . import contamination, covertree, infill, langid, main_text, packing, simhash, suffixes, toxicity, url_templates, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,34 @@ def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+@query
+def op12_repeated_capture_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = infill.infill(table(spark, sf_dir, "documents"), unit=".", seed=1, rate=90, suffix_first=20)
+    return cut.select(
+        "doc_id", "n", "form", F.col("prefix_end").alias("prefix_chars"),
+        (F.col("middle_end") - F.col("prefix_end")).alias("middle_chars"),
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(infill.restored().cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op12_repeated_capture_infill"] = """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+                      sha256(concat('1:', doc_id::VARCHAR)) AS h FROM documents),
+    k AS (SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS x, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS y,
+                 CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                           OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+                      WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+    c AS (SELECT doc_id, t, n, form, least(x, y) AS a, greatest(x, y) - least(x, y) AS b FROM k),
+    p AS (SELECT *, substring(t, 1, a) AS prefix, substring(t, a + 1, b) AS middle, substring(t, a + b + 1) AS suffix FROM c)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN b END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM p"""
+
+
 # All pairs, then reachability: what the tree search must find, stated plainly.
 ORACLES["op10_cover_tree"] = """
     WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
