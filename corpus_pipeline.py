@@ -29,15 +29,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts with a similarity of 0.8 or more over five-word shingles.
+    """One document of each group linked by SimHash fingerprints of three-word shingles, two bits apart at most.
 
-    The first of a group in the order of rows stays. Null and empty texts are one group;
-    rows without a doc_id take part like any other.
+    The first of a group in the order of rows stays. Null, empty and wordless texts are one
+    group; rows without a doc_id take part like any other. Only the rows that go are
+    joined, so texts move only if those are many.
     """
     rows = staged(docs.select(F.struct(*docs.columns).alias("row"), F.col("text"), F.monotonically_increasing_id().alias("id")), "rows")
-    groups = simhash.similar_documents(rows, doc_id="id", words=5, similarity=0.8)
-    kept = staged(groups.filter("doc_id = component_id").select("doc_id"), "kept")
-    return rows.join(kept, rows.id == kept.doc_id, "left_semi").select("row.*")
+    groups = simhash.near_duplicates(rows, doc_id="id", words=3, seed=42, budget=2)
+    gone = staged(groups.filter("doc_id <> component_id").select("doc_id"), "gone")
+    return rows.join(gone, rows.id == gone.doc_id, "left_anti").select("row.*")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
