@@ -24,8 +24,6 @@ from pyspark.sql import functions as F
 
 from .common import byte_texts, components, forest, only, small_slices, staged
 
-SAMPLE = 20_000  # texts that show which shingles are frequent (speed only)
-FREQUENT = 200_000  # shingles that are ranked last in every text (speed only)
 LEAVES = 1 << 16  # fingerprints a subtree of the routing level should hold
 FRONTIER = 1 << 18  # node pairs a walk widens at a time
 
@@ -70,11 +68,9 @@ def mixed(hashes: np.ndarray, table: int) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, lanes: int = 1, sets: bool = False) -> DataFrame:
+def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, lanes: int = 1) -> DataFrame:
     """``(doc_id, lane_0 .. lane_n)``: ``lanes`` independent 64-bit SimHash numbers of each text.
 
-    With ``sets`` each different shingle counts once, and ``digest`` is a 128-bit hash of their set.
-
     ``docs`` holds ``doc_id`` and ``text``. Null and empty texts have fingerprint 0. A
     text of any length is one row of one task and is read whole; its shingles pass
     through in blocks. Bits of the signed longs are those of the unsigned numbers.
@@ -83,21 +79,16 @@ def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, lanes: int = 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_slices(batches, "text"):
-            found, digests = np.zeros((batch.num_rows, lanes), "u8"), []
+            found = np.zeros((batch.num_rows, lanes), "u8")
             for row, text in enumerate(byte_texts(batch.column("text"))):
                 hashes = shingle_hashes(text, words, seed)
-                if sets:
-                    hashes = np.unique(hashes)
-                    digests.append(xxhash.xxh3_128_digest(hashes.tobytes()))
                 for lane in range(lanes):
                     found[row, lane] = majority(mixed(hashes, lane))
             columns = [pa.array(found[:, i].astype("i8")) for i in range(lanes)]
-            if sets:
-                columns.append(pa.array(digests, pa.binary()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *names, *(["digest"] if sets else [])])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *names])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    shape = f"doc_id {kind}, " + ", ".join(f"{n} bigint" for n in names) + (", digest binary" if sets else "")
+    shape = f"doc_id {kind}, " + ", ".join(f"{n} bigint" for n in names)
     return docs.select("doc_id", "text").mapInArrow(run, shape)
 
 
@@ -255,149 +246,3 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "doc_id", F.lower(F.lpad(F.hex("lane_0"), 16, "0")).alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
     )
-
-
-def shingle_sets(docs: DataFrame, words: int, seed: int) -> DataFrame:
-    """``(node, shingles)``: the different shingles of each text as 64-bit hashes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_slices(batches, "text"):
-            found = [np.unique(shingle_hashes(text, words, seed)).view("i8") for text in byte_texts(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "node bigint, shingles array<bigint>")
-
-
-def least_common(n: int, similarity: float) -> int:
-    """The smallest number of shingles that a set of ``n`` shares with one of that similarity."""
-    return math.ceil(similarity * n - 1e-9)
-
-
-def frequent_shingles(docs: DataFrame, words: int, seed: int) -> np.ndarray:
-    """Shingles in three or more texts of a sample, sorted. They only decide how much work a join has."""
-    share = max(1, docs.count() // SAMPLE)
-    some = shingle_sets(docs.filter(F.pmod(F.xxhash64("text"), F.lit(share)) == 0), words, seed)
-    counts = some.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"))
-    rows = counts.filter("n > 2").orderBy(F.desc("n"), "shingle").limit(FREQUENT).select("shingle").toArrow()
-    return np.sort(rows.column("shingle").to_numpy().astype("i8").view("u8"))
-
-
-def prefixes(docs: DataFrame, words: int, seed: int, similarity: float) -> DataFrame:
-    """``(leaf, n, place, shingle)``: the first shingles of each set, in one order for all, frequent ones last.
-
-    Of two sets of ``n`` and ``m`` shingles with that similarity each shares at least
-    ``similarity`` of its own with the other, so the first ``n - ceil(similarity n) + 1`` of
-    one and the first of the other have a shingle in common, whatever the order.
-    """
-    often = frequent_shingles(docs, words, seed)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_slices(batches, "text"):
-            leaf, size, place, shingle = [np.zeros(0, "i8")], [np.zeros(0, "i4")], [np.zeros(0, "i4")], [np.zeros(0, "u8")]
-            for doc, text in zip(batch.column("doc_id").to_pylist(), byte_texts(batch.column("text"))):
-                hashes = np.unique(shingle_hashes(text, words, seed))
-                n = len(hashes)
-                if not n:
-                    continue
-                late = np.zeros(n, bool)
-                if len(often):
-                    late = often[np.minimum(np.searchsorted(often, hashes), len(often) - 1)] == hashes
-                first = np.concatenate([hashes[~late], hashes[late]])[: n - least_common(n, similarity) + 1]
-                leaf.append(np.full(len(first), doc, "i8"))
-                size.append(np.full(len(first), n, "i4"))
-                place.append(np.arange(len(first), dtype="i4"))
-                shingle.append(first)
-            columns = [np.concatenate(x) for x in (leaf, size, place, shingle)]
-            columns[3] = columns[3].view("i8")
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["leaf", "n", "place", "shingle"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "leaf bigint, n int, place int, shingle bigint")
-
-
-def prefix_pairs(rows: DataFrame, similarity: float) -> DataFrame:
-    """``(a, b)``: leaves of different components whose prefixes meet and whose sizes and places allow the similarity."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(ready: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            leaf, n, place, shingle, group = (ready.column(c).to_numpy() for c in ("leaf", "n", "place", "shingle", "component"))
-            alive, step = np.arange(len(leaf)), 1
-            while len(alive):
-                alive = alive[alive + step < len(leaf)]
-                other = alive + step
-                # Sorted by size: a row that is too small for this partner is too small for all that follow.
-                alive = alive[(shingle[alive] == shingle[other]) & (n[alive] >= similarity * n[other] - 1e-9)]
-                other = alive + step
-                most = np.minimum(n[alive] - place[alive], n[other] - place[other])
-                need = similarity / (1 + similarity) * (n[alive].astype("i8") + n[other]) - 1e-6
-                keep = (group[alive] != group[other]) & (most >= need)
-                if keep.any():
-                    x, y = leaf[alive[keep]], leaf[other[keep]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
-                step += 1
-
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            shingle = batch.column("shingle").to_numpy()
-            # Rows of the last shingle may go on in the next batch.
-            cut = int(np.searchsorted(shingle, shingle[-1]))
-            if held and held[0].column("shingle")[-1].as_py() != shingle[0]:
-                yield from found(pa.concat_batches(held))
-                held = []
-            if cut:
-                yield from found(pa.concat_batches([*held, batch.slice(0, cut)]))
-                held = []
-            held.append(batch.slice(cut))
-        if held:
-            yield from found(pa.concat_batches(held))
-
-    ordered = rows.select("leaf", "n", "place", "shingle", "component").repartition("shingle").sortWithinPartitions("shingle", "n")
-    return ordered.mapInArrow(run, "a bigint, b bigint").filter("a <> b").distinct()
-
-
-def similar_pairs(pairs: DataFrame, docs: DataFrame, words: int, seed: int, similarity: float) -> DataFrame:
-    """Those pairs ``(a, b)`` whose shingle sets have at least that Jaccard similarity."""
-    nodes = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
-    sets = staged(shingle_sets(docs.join(nodes, docs.doc_id == nodes.node, "left_semi"), words, seed), "sets")
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(left, "a").join(right, "b").select(
-        "a", "b", F.size(F.array_intersect("x", "y")).alias("common"), (F.size("x") + F.size("y")).alias("sizes"))
-    return both.filter(F.col("common") >= similarity * (F.col("sizes") - F.col("common")) - 1e-9).select("a", "b")
-
-
-def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, seed: int = 42,
-                      similarity: float = 0.8, lanes: int = 4, bits: int = 32, budget: int = 3) -> DataFrame:
-    """Documents of similar shingle sets: ``(doc_id, component_id)``.
-
-    Two texts are linked if the Jaccard similarity of their sets of shingles is at least
-    ``similarity``; components are those of exactly these links (sets are compared by 64-bit hashes).
-
-    SimHash finds the bulk: each of the ``lanes`` is cut into tables of ``bits`` bits with a
-    trie of their own, which propose pairs near in all lanes; the shingles decide. What it
-    does not propose is found by a join of prefixes, which misses no pair: in one order of
-    all shingles, two similar sets share one of their first. Only leaves that are not in
-    one component yet are compared there, so a large group costs no square of its members.
-
-    Empty texts are alike. Null doc_ids come back with a null component.
-    """
-    rows = only(docs, doc_id=doc_id, text=text)
-    prints = staged(fingerprints(rows, words, seed, lanes, sets=True), "simhash")
-    names = [f"lane_{i}" for i in range(lanes)]
-    leaves = staged(prints.filter("doc_id is not null").groupBy("digest", *names).agg(F.min("doc_id").alias("leaf")), "leaves")
-    one = leaves.select("leaf").distinct()
-    texts = rows.join(one, rows.doc_id == one.leaf, "left_semi")
-    cosine = 2 * similarity / (1 + similarity)
-    most = round(math.acos(cosine) / math.pi * 64 * lanes)
-    proposed = staged(trie_links(leaves, list(range(0, 64 * lanes, bits)), bits, budget, lanes, most).distinct(), "proposed")
-    near = staged(similar_pairs(proposed, texts, words, seed, similarity), "near")
-    first = staged(components(near), "first")
-    heads = prefixes(texts, words, seed, similarity).join(first, F.col("leaf") == F.col("node"), "left").withColumn(
-        "component", F.coalesce("component", "leaf"))
-    rest = staged(prefix_pairs(heads, similarity), "rest")
-    found = components(first.toDF("a", "b").union(similar_pairs(rest, texts, words, seed, similarity)))
-    roots = staged(leaves.join(found, leaves.leaf == found.node, "left").select(
-        "digest", F.coalesce("component", "leaf").alias("component_id")), "roots")
-    return prints.join(roots, "digest", "left").select(
-        "doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))

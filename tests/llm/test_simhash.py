@@ -68,44 +68,6 @@ def test_null_ids_repeated_rows_and_empty_tables(spark):
     rows = simhash.near_duplicates(docs).collect()
     assert sorted((r.doc_id or 0, r.component_id or 0) for r in rows) == [(0, 0), (3, 3), (5, 3), (5, 3)]
     assert simhash.near_duplicates(docs.limit(0)).collect() == []
-    assert simhash.similar_documents(docs.limit(0)).collect() == []
-
-
-def test_similar_documents(spark):
-    rng = np.random.default_rng(4)
-    words = [f"w{i}" for i in range(2000)]
-    texts = []
-    for _ in range(40):
-        t = list(rng.choice(words, 400))
-        texts.append(" ".join(t))
-        t[100] = "other"  # Jaccard 0.97
-        texts.append(" ".join(t))
-    rows = {r.doc_id: r.component_id for r in simhash.similar_documents(
-        spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
-    assert rows == {i: i - i % 2 for i in range(80)}
-
-
-def test_similar_documents_are_those_of_brute_force(spark):
-    rng = np.random.default_rng(9)
-    texts = ["boiler plate of a page that all have", "one two", "one two three"]
-    for share in [0.010, 0.015, 0.018, 0.020, 0.021, 0.022, 0.024, 0.027, 0.03] * 10:
-        t = [f"w{i}" for i in rng.integers(0, 50_000, 300)]
-        texts.append(" ".join(t))
-        for i in rng.choice(300, round(share * 300), replace=False):
-            t[i] = "other"
-        texts.append(" ".join(t + ["and"] * int(rng.integers(0, 9))))
-    sets = [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.split() for t in texts)]
-    score = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in range(len(sets)) for b in range(a)}
-    assert sum(0.8 <= s < 0.85 for s in score.values()) > 20 and sum(0.7 <= s < 0.8 for s in score.values()) > 10
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    got = {r.doc_id: r.component_id for r in simhash.similar_documents(docs).collect()}
-    assert got == groups(range(len(texts)), [p for p, s in score.items() if s >= 0.8])
-
-
-def test_repeats_inside_a_text_do_not_hide_equal_sets(spark):
-    text = " ".join(f"w{i}" for i in range(60))
-    docs = spark.createDataFrame([(0, text), (1, text + " w50 w51 w52 w53 w54" + " w50 w51 w52 w53 w54" * 200)], "doc_id bigint, text string")
-    assert {r.component_id for r in simhash.similar_documents(docs).collect()} == {0}
 
 
 def test_components_of_paths_stars_and_loops(spark):
