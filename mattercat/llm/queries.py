@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, covertree, infill, langid, main_text, packing, simhash, suffixes, toxicity, url_templates, warc
+from . import (
+    contamination, covertree, filter_audit, infill, langid, main_text, packing, secret_scan, simhash, suffixes, toxicity,
+    url_templates, warc,
+)
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +97,49 @@ def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+@query
+def op11_retraction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words, different = filter_audit.word_counts()
+    checks = {
+        "A": words < 200, "B": 100 * different < 50 * words,
+        "C": 100 * filter_audit.capitals() > 2 * F.length("text"), "D": F.col("text").rlike("[#$%&*|]"),
+    }
+    return filter_audit.audit_filters(
+        spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"), checks, copies="E")
+
+
+ORACLES["op11_retraction_audit"] = r"""
+    WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                      list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+    f AS (SELECT d.part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic,
+                 {'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w),
+                  'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t),
+                  'D': regexp_matches(t, '[#$%&*|]'),
+                  'E': coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)} AS fail
+          FROM d LEFT JOIN l ON l.doc_id = d.doc_id),
+    m AS (SELECT part, good, toxic, concat(CASE WHEN fail.A THEN 'A' ELSE '' END, CASE WHEN fail.B THEN 'B' ELSE '' END,
+                 CASE WHEN fail.C THEN 'C' ELSE '' END, CASE WHEN fail.D THEN 'D' ELSE '' END, CASE WHEN fail.E THEN 'E' ELSE '' END) AS failed
+          FROM f),
+    n AS (SELECT part, failed, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic FROM m GROUP BY ALL),
+    x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+    orders AS (SELECT concat(a.c, b.c, c.c, d.c, e.c) AS filter_order FROM x a, x b, x c, x d, x e
+               WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+    s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS letter, substr(filter_order, 1, step - 1) AS before
+          FROM orders, range(1, 6) r(step)),
+    g AS (SELECT part, filter_order, step, letter, n.*, contains(failed, letter) AS fails,
+                 len(list_filter(string_split(before, ''), lambda b: b <> '' AND contains(failed, b))) > 0 AS earlier FROM n, s)
+    SELECT part, filter_order, step::INTEGER AS step,
+           coalesce(sum(n) FILTER (NOT fails AND NOT earlier), 0)::BIGINT AS kept,
+           coalesce(sum(n) FILTER (fails AND NOT earlier), 0)::BIGINT AS removed,
+           coalesce(sum(n) FILTER (fails AND earlier), 0)::BIGINT AS redundant,
+           coalesce(sum(n) FILTER (failed = letter), 0)::BIGINT AS unique_fails,
+           coalesce(sum(good) FILTER (fails AND NOT earlier), 0)::BIGINT AS good_lost,
+           coalesce(sum(toxic) FILTER (fails AND NOT earlier), 0)::BIGINT AS toxic_lost,
+           coalesce(sum(n * 120 // greatest(length(failed), 1)) FILTER (fails), 0)::BIGINT AS shapley
+    FROM g GROUP BY part, filter_order, step"""
+
+
 @query
 def op12_repeated_capture_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = infill.infill(table(spark, sf_dir, "documents"), unit=".", seed=1, rate=90, suffix_first=20)
@@ -122,6 +168,16 @@ ORACLES["op12_repeated_capture_infill"] = """
     FROM p"""
 
 
+@query
+def op13_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"), rate=0.01, level=0.001)
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    number = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in secret_scan.PATTERNS]
+    return found.select(
+        "doc_id", *number, F.sha2(secret_scan.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"))
+
+
 # All pairs, then reachability: what the tree search must find, stated plainly.
 ORACLES["op10_cover_tree"] = """
     WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),

@@ -1,0 +1,146 @@
+import hashlib
+import math
+import random
+import re
+import string
+from collections import Counter, defaultdict
+
+from mattercat.llm import queries, secret_scan
+
+BASE = {
+    "assign": (re.compile(r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.A), 2, 6),
+    "access": (re.compile("AKIA[A-Z0-9]+"), 0, 20),
+    "hex": (re.compile("[0-9a-f]+"), 0, 24),
+}
+ALPHABETS = {
+    "hex": ("0123456789abcdef", "[0-9a-f]+|[0-9A-F]+"), "base32": (string.ascii_uppercase + "234567", "[A-Z2-7]+={0,6}"),
+    "base64": (string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/", "[A-Za-z0-9+/]+={0,2}"),
+    "base64url": (string.ascii_uppercase + string.ascii_lowercase + string.digits + "-_", "[A-Za-z0-9_-]+={0,2}"),
+}
+
+
+def kind_of(c):
+    return "a" if c in string.ascii_lowercase else "A" if c in string.ascii_uppercase else "0" if c.isdigit() else "+"
+
+
+def statistics(encoding, token):
+    t = token.rstrip("=")
+    t = t.lower() if encoding == "hex" else t
+    values = [ALPHABETS[encoding][0].index(c) for c in t]
+    mean = sum(values) / len(t)
+    d = [v - mean for v in values]
+    spread = sum(x * x for x in d)
+    lag = sum(a * b for a, b in zip(d, d[1:])) / spread if spread else 1.0
+    pairs = sum(n * (n - 1) / 2 for n in Counter(t).values())
+    return t, len(t), pairs, sum(kind_of(a) != kind_of(b) for a, b in zip(t, t[1:])), lag
+
+
+def tail(z):
+    return math.erfc(z / math.sqrt(2)) / 2
+
+
+def moments(n, s2, s3):
+    m = n * (n - 1) / 2
+    return m * s2, m * (s2 - s2 * s2) + n * (n - 1) * (n - 2) * (s3 - s2 * s2)
+
+
+def random_p(encoding, n, pairs, changes, lag):
+    alphabet = ALPHABETS[encoding][0]
+    k = len(alphabet)
+    _, variance = moments(n, 1 / k, 1 / k ** 2)
+    x = k * (n + 2 * pairs) / n - n
+    ratio, spread = x / (k - 1), (2 * k / n) ** 2 * variance / (k - 1) ** 2
+    uniform = tail((ratio ** (1 / 3) - (1 - spread / 9)) / math.sqrt(spread / 9))
+    shares = [c / k for c in Counter(map(kind_of, alphabet)).values()]
+    s2, s3 = sum(p ** 2 for p in shares), sum(p ** 3 for p in shares)
+    spread = (n - 1) * (s2 - s2 ** 2) + 2 * (n - 2) * (s3 - s2 ** 2)
+    return min(1, 3 * min(uniform, 2 * tail(abs(changes - (n - 1) * (1 - s2)) / math.sqrt(spread)), 2 * tail(abs(lag + 1 / n) * math.sqrt(n))))
+
+
+def by_hand(texts, rate, level):
+    """Spans of each text: base patterns, then the battery over the whole corpus."""
+    ordinary = Counter(t for text in texts for t in re.findall("[A-Za-z0-9+/=_-]+", text or "") if 4 <= len(t) < 16)
+    model = {}
+    for e, (alphabet, pattern) in ALPHABETS.items():
+        symbols, moved, places, lags, total = Counter(alphabet), 1, 2, 0.0, 0
+        for t, n in ordinary.items():
+            if re.fullmatch(pattern, t) and len(t.rstrip("=")) > 2:
+                s, length, _, changes, lag = statistics(e, t)
+                for c in s:
+                    symbols[c] += n
+                moved, places, lags, total = moved + n * changes, places + n * (length - 1), lags + n * lag, total + n
+        p = [n / sum(symbols.values()) for n in symbols.values()]
+        model[e] = sum(x ** 2 for x in p), sum(x ** 3 for x in p), moved / places, lags / total if total else 0.0
+    spans, tests = defaultdict(list), []
+    for i, text in enumerate(texts):
+        for rank, (kind, (pattern, group, least)) in enumerate(BASE.items()):
+            spans[i] += [(m.start(), rank, kind, m.end()) for m in pattern.finditer(text or "") if len(m.group(group)) >= least]
+        for m in re.finditer("[A-Za-z0-9+/=_-]{16,}", text or ""):
+            fits = [e for e, (_, pattern) in ALPHABETS.items() if re.fullmatch(pattern, m.group())]
+            if not fits or re.fullmatch("[0-9]+", m.group()) or len(m.group().rstrip("=")) < 3:
+                continue
+            s2, s3, change, lag_mean = model[fits[0]]
+            _, n, pairs, changes, lag = statistics(fits[0], m.group())
+            mean, variance = moments(n, s2, s3)
+            r = changes / (n - 1)
+            far = 0 if r <= change else r * math.log(r / change) + ((1 - r) * math.log((1 - r) / (1 - change)) if r < 1 else 0)
+            log_p = min(math.log(max(tail((mean - pairs - 0.5) / math.sqrt(variance)), 1e-300)), -(n - 1) * far,
+                        math.log(max(2 * tail(abs(lag - lag_mean) * math.sqrt(n)), 1e-300)))
+            log_p = max(-700, min(0, log_p + math.log(3)))
+            tests.append((fits[0], int(math.log2(n)), math.ceil(log_p * 50), random_p(fits[0], n, pairs, changes, lag), i, m.start(), m.end()))
+    for t in tests:
+        alike = [x for x in tests if x[:2] == t[:2]]
+        met = [x[2] for x in alike if x[2] / 50 <= math.log(rate * sum(y[2] <= x[2] for y in alike) / len(alike))]
+        touched = any(a < t[6] and t[5] < b for a, rank, _, b in spans[t[4]] if rank < 3)
+        if met and t[2] <= max(met) and t[3] >= level and not touched:
+            spans[t[4]].append((t[5], 3, "random", t[6]))
+    return [sorted(spans[i]) for i in range(len(texts))]
+
+
+def corpus():
+    rng = random.Random(5)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    pick = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    texts = [" ".join(rng.choices(words, k=60)) + " Donaudampfschifffahrtsgesellschaft 1234567890123456 some-long-hyphen-word/with/path" for _ in range(40)]
+    secrets = [pick(ALPHABETS["base64"][0], 40) for _ in range(6)] + [pick(ALPHABETS["base64url"][0], 64), pick("0123456789ABCDEF", 40), pick(ALPHABETS["base32"][0], 32) + "===", pick(ALPHABETS["base64"][0], 22) + "=="]
+    texts += [f"\U0001f600 see {s} and {s}, then {rng.choice(words)}" for s in secrets]
+    texts += [
+        None, "", "password: hunter22 passwd=short SECRET = 'abc.def/ghi' api_key:xyz token=\"" + pick("abc123", 30) + '"',
+        "secret: token: abcdefgh", "token = api: more", "AKIA" + pick(string.ascii_uppercase, 16) + " AKIA12 AKIAAKIA" + pick("0123456789", 12),
+        pick("0123456789abcdef", 23) + " " + pick("0123456789abcdef", 24) + "g" + pick("0123456789abcdef", 64), "a" * 40 + " " + "ab" * 20 + "\n" + "=" * 30,
+        "key=" * 30, "ſecret=abcdefgh toKen=abcdefgh", "x" * 200_000, pick(ALPHABETS["base64"][0], 5000),
+    ]
+    return texts, secrets
+
+
+def test_spans_against_the_definition(spark):
+    texts, secrets = corpus()
+    rows = [(i % 7 if i % 5 else None, t, "clash") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "id bigint, body string, row string")
+    want = sorted((i or 0, spans) for (i, _, _), spans in zip(rows, by_hand(texts, 0.01, 0.001)))
+    got = sorted((r.doc_id or 0, [tuple(s) for s in r.spans]) for r in secret_scan.find_secrets(docs, "id", "body").collect())
+    assert got == want
+    found = sum(s[2] == "random" for _, spans in want for s in spans)
+    assert found >= 16  # of 20: each secret stands twice
+    plain = [spans for (i, t, _), spans in zip(rows[:40], by_hand(texts, 0.01, 0.001)) for s in spans]
+    assert not plain
+
+
+def test_query_digests_and_whole_table(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    spans = dict(zip([d.doc_id for d in docs], by_hand([d.text for d in docs], 0.01, 0.001)))
+    rows = queries.op13_randomness_battery(spark, folder).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        own = spans[r.doc_id]
+        base = ",".join(f"{k}:{a}:{b}" for a, _, k, b in own if k != "random")
+        assert r.spans == ",".join(f"{k}:{a}:{b}" for a, _, k, b in own)
+        assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(s[2] == k for s in own) for k in BASE]
+
+
+def test_empty_tables_and_tables_without_tokens(spark):
+    docs = spark.createDataFrame([(1, "a b"), (None, None), (1, "a b")], "doc_id bigint, text string")
+    assert [r.spans for r in secret_scan.find_secrets(docs).collect()] == [[], [], []]
+    assert secret_scan.find_secrets(docs.limit(0)).collect() == []
