@@ -28,7 +28,7 @@ MOST_FILTERS = 7               # 7! orders of 7 steps: 35,280 rows a part
 BUCKET_BYTES = 32 << 20        # input files per bucket of texts; a bucket's state is one value
 PARTITION_BYTES = 4 << 30      # input files per partition of the state
 SPREAD = 1024                  # groups over which rows that need no state are dealt
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STORE = "spark.sql.streaming.stateStore.providerClass"
 COUNTER = ["part", "mask", "good", "toxic"]
 STATE = ["digest", "doc_id", *COUNTER]
 
@@ -127,8 +127,10 @@ def failure_counts(
     adds only the files that are new; without, a new folder is taken.
 
     A copy is found by the SHA-256 of its text. The state is held by bucket of
-    digests, so that one call handles thousands of texts, in RocksDB; a bucket holds
-    the texts of about ``BUCKET_BYTES`` of files.
+    digests, so that one call handles thousands of texts; a bucket holds
+    the texts of about ``BUCKET_BYTES`` of files. It takes some 50 bytes for each different text,
+    in the state store of the session: by default in the memory of the executors, with
+    ``spark.sql.streaming.stateStore.providerClass`` set to RocksDB's on their disks.
     """
     jvm, base = spark.sparkContext._jvm, folder or new_folder(spark, "audit")
     where = jvm.org.apache.hadoop.fs.Path(path)
@@ -149,7 +151,8 @@ def failure_counts(
     source = f"{path[:-1]}[{path[-1]}]" if files.getFileStatus(where).isFile() else path
     # A session of its own: its settings are those of this stream alone.
     own = spark.newSession()
-    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    if spark.conf.get(STORE, None):
+        own.conf.set(STORE, spark.conf.get(STORE))
     own.conf.set("spark.sql.shuffle.partitions", str(max(8, math.ceil(size.getLength() / PARTITION_BYTES))))
     schema = spark.read.parquet(path).select(doc_id, text, part).schema
     stream = (
