@@ -172,7 +172,7 @@ ORACLES["op12_repeated_capture_infill"] = """
 def op13_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(table(spark, sf_dir, "documents"), rate=0.01, level=0.001)
     base = F.filter("spans", lambda s: s["kind"] != "random")
-    number = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in secret_scan.PATTERNS]
+    number = [secret_scan.counted(F.col("spans"), k).alias(f"n_{k}") for k in secret_scan.PATTERNS]
     return found.select(
         "doc_id", *number, F.sha2(secret_scan.listed(base).cast("binary"), 256).alias("base_sha256"),
         secret_scan.listed(F.col("spans")).alias("spans"))

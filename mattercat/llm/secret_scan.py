@@ -166,8 +166,8 @@ def ordinary(texts: DataFrame) -> DataFrame:
     known = measured(rows.withColumn("symbols", body(F.col("token"), F.col("encoding"))).filter("length(symbols) > 2"))
     known = staged(known.select("encoding", "symbols", "n", "length", "changes", "lag"), "ordinary")
     symbols = known.select("encoding", "n", F.explode(F.split("symbols", "")).alias("symbol")).groupBy("encoding", "symbol").agg(F.sum("n").alias("n"))
-    spark = texts.sparkSession
-    every = spark.createDataFrame([(e, c) for e, (alphabet, _) in ENCODINGS.items() for c in alphabet], "encoding string, symbol string")
+    alphabets = F.array(*[F.struct(F.lit(e).alias("encoding"), F.split(F.lit(a), "").alias("symbol")) for e, (a, _) in ENCODINGS.items()])
+    every = texts.sparkSession.range(1).select(F.inline(alphabets)).withColumn("symbol", F.explode("symbol"))
     counted = every.join(symbols, ["encoding", "symbol"], "left").select("encoding", (F.coalesce("n", F.lit(0)) + 1).cast("double").alias("n"))
     total = F.sum("n").over(Window.partitionBy("encoding"))
     power = counted.withColumn("p", F.col("n") / total).groupBy("encoding").agg(
@@ -273,6 +273,11 @@ def find_secrets(
     return everyone.join(gathered, "row", "left").select("doc_id", F.coalesce("spans", empty).alias("spans"))
 
 
+def counted(spans: Column, kind: str) -> Column:
+    """Number of spans of a kind."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
 def listed(spans: Column) -> Column:
     """Spans as ``kind:start:end``, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

@@ -127,11 +127,12 @@ def test_spans_against_the_definition(spark):
 
 
 def test_query_digests_and_whole_table(spark):
-    folder = "/root/testdata/sf0.001"
+    folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
     spans = dict(zip([d.doc_id for d in docs], by_hand([d.text for d in docs], 0.01, 0.001)))
     rows = queries.op13_randomness_battery(spark, folder).collect()
     assert len(rows) == len(docs)
+    assert sum(r.n_assign for r in rows) > 5 and sum(r.n_hex for r in rows) > 5
     for r in rows:
         own = spans[r.doc_id]
         base = ",".join(f"{k}:{a}:{b}" for a, _, k, b in own if k != "random")
