@@ -7,14 +7,17 @@ third of all rows reaches its reducer as one partial row per task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions.names import id_prefix
 from ..session import staged
 from .joins import attach_stats
+from .skew import NO_HOT_KEYS, hot_keys, lookup_join
 
 
 def count_by_prefix(
@@ -116,42 +119,133 @@ def duplicate_ids(df: DataFrame, key: str = "id") -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("count")).filter(F.col("count") > 1)
 
 
-def combine_duplicates(
-    df: DataFrame, key: str, list_cols: Sequence[str], order: str | None = None
+POLICIES = ("latest", "first", "union")
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A 64-bit hash of all columns; maps, which have no order, count as sorted entries."""
+    def cell(f: T.StructField) -> Column:
+        if isinstance(f.dataType, T.MapType):
+            return F.array_sort(F.map_entries(f.name))
+        return F.to_json(f.name) if "map<" in f.dataType.simpleString() else F.col(f.name)
+
+    return F.xxhash64(*[cell(f) for f in df.schema.fields])
+
+
+def winning_rows(
+    df: DataFrame, key: str, columns: Sequence[str], order: str | None, tie: Column | None, newest: bool
 ) -> DataFrame:
-    """One row per id: list columns merged, others the first value that is not null.
+    """``(key, __w0, __w1, ...)``: for each column the hash of the row that its value is taken from.
 
-    "First" is the row latest by ``order``, ties by the larger value; without an
-    order it is the largest value. Ids are not null. List elements are deduplicated as rows before
-    they are collected, so a much-copied id gathers only its distinct elements; null
-    elements go, and a list that is null in every copy stays null.
+    Runs over key, order, tie, hash and null flags alone, as fixed-width hash aggregates:
+    first the best order of each column, then the best tie and at last the
+    largest hash among the rows that reached it. Copies of a row are one row here, and a hot key
+    is dealt over tasks, so its rows never meet in one.
     """
-    plain = [c for c in df.columns if c != key and c not in list_cols]
+    levels = [*([F.col(order)] if order else []), *([] if tie is None else [tie]), row_hash(df)]
+    named = [c.alias(f"__l{i}") for i, c in enumerate(levels)]
+    flags = [F.col(c).isNotNull().alias(f"__f{i}") for i, c in enumerate(columns)]
+    narrow = staged(df.select(key, *named, *flags).distinct(), "versions")
+    hot = hot_keys(narrow, key) if len(levels) > 1 else NO_HOT_KEYS
+    best: DataFrame | None = None
+    for n in range(len(levels)):
+        rows = narrow if best is None else lookup_join(narrow, best, key, "inner", hot)
+        better = F.max if newest or n == len(levels) - 1 else F.min
+
+        def reached(i: int, n: int = n) -> Column:
+            met = F.col(f"__f{i}")
+            for earlier in range(n):
+                met = met & F.col(f"__l{earlier}").eqNullSafe(F.col(f"__b{earlier}_{i}"))
+            return met
+
+        earlier = [F.first(f"__b{m}_{i}", True).alias(f"__b{m}_{i}") for m in range(n) for i in range(len(columns))]
+        found = [better(F.when(reached(i), F.col(f"__l{n}"))).alias(f"__b{n}_{i}") for i in range(len(columns))]
+        best = rows.groupBy(key).agg(*earlier, *found)
+    return staged(best.select(key, *[F.col(f"__b{len(levels) - 1}_{i}").alias(f"__w{i}") for i in range(len(columns))]), "winners")
+
+
+def merged_lists(df: DataFrame, key: str, list_cols: Sequence[str], keep_nulls: bool = False) -> DataFrame:
+    """``(key, *list_cols)``: the sorted distinct elements of each list column over all rows of a key.
+
+    Elements are deduplicated as rows before they are collected, so a much-copied id gathers only
+    its distinct elements. A list that is null in every row stays null. Null elements go, or with
+    ``keep_nulls`` come once, before all others.
+    """
+    alike: dict[str, list[str]] = {}
+    for c in list_cols:
+        alike.setdefault(df.schema[c].dataType.elementType.simpleString(), []).append(c)
+    parts = [_merged_alike(df, key, columns, keep_nulls) for columns in alike.values()]
+    return reduce(lambda a, b: a.join(b, key, "full"), parts).select(key, *list_cols)
 
-    def first(col: str) -> Column:
-        ranked = F.struct(*([F.col(order)] if order and order != col else []), F.col(col).alias("__v"))
-        return F.max(F.when(F.col(col).isNotNull(), ranked))["__v"].alias(col)
 
-    rows = df.groupBy(key).agg(*[first(c) for c in plain]) if plain else df.select(key).distinct()
-    if not list_cols:
-        return rows.select(*df.columns)
+def _merged_alike(df: DataFrame, key: str, list_cols: Sequence[str], keep_nulls: bool) -> DataFrame:
+    """``merged_lists`` for columns of one type."""
     tagged = F.array(*[
         F.struct(F.lit(i).alias("which"), F.col(c).alias("items")) for i, c in enumerate(list_cols)
     ])
-    # An empty list leaves one row without an item, a null list none.
+    # An empty list leaves one row without a position, a null list none.
     elements = (
         df.select(key, F.explode(tagged).alias("t")).filter("t.items is not null")
-        .select(key, "t.which", F.explode_outer("t.items").alias("item"))
-        .distinct()
+        .select(key, "t.which", F.posexplode_outer("t.items").alias("at", "item"))
+        .select(key, "which", F.col("at").isNotNull().alias("some"), "item").distinct()
     )
-    merged = elements.groupBy(key).agg(*[
-        F.when(
-            F.count_if(F.col("which") == i) > 0,
-            F.array_sort(F.collect_list(F.when(F.col("which") == i, F.col("item")))),
-        ).alias(c)
-        for i, c in enumerate(list_cols)
-    ])
-    return rows.join(merged, key, "left").select(*df.columns)
+
+    def gathered(i: int, name: str) -> Column:
+        own = F.col("which") == i
+        items = F.array_sort(F.collect_list(F.when(own, F.col("item"))))
+        if keep_nulls:
+            null = F.count_if(own & F.col("some") & F.col("item").isNull()) > 0
+            items = F.when(null, F.concat(F.array(F.lit(None)), items)).otherwise(items)
+        return F.when(F.count_if(own) > 0, items).alias(name)
+
+    return elements.groupBy(key).agg(*[gathered(i, c) for i, c in enumerate(list_cols)])
+
+
+def combine_duplicates(
+    df: DataFrame, key: str, list_cols: Sequence[str], order: str | None = None, policy: str = "latest",
+    tie: Column | None = None, keep_nulls: bool = False,
+) -> DataFrame:
+    """One row per id: list columns merged, others by ``policy``.
+
+    ``latest`` takes of each other column the value that is not null from the row with the largest
+    ``order``, ``first`` from the one with the smallest. Rows without an order come last
+    for both. Among rows of equal order the larger ``tie`` (the smaller with ``first``) decides, an
+    expression over the row, and then the larger hash of the row, so that a result repeats and
+    columns that tie come from one row. ``union`` turns every other column into the list of its
+    distinct values and merges that like a list column.
+
+    Winners are chosen over narrow rows with hash aggregates; wide rows meet only the few that
+    win, and copies of those are one. List elements are sorted and distinct; null elements go, or
+    come once with ``keep_nulls``. Ids are not null.
+    """
+    if policy not in POLICIES:
+        raise ValueError(f"policy is one of {', '.join(POLICIES)}, not {policy!r}")
+    plain = [c for c in df.columns if c != key and c not in list_cols]
+    if policy == "union":
+        listed = df.withColumns({c: F.when(F.col(c).isNotNull(), F.array(c)) for c in plain})
+        rows = df.select(key).distinct()
+        return rows.join(merged_lists(listed, key, [*list_cols, *plain], keep_nulls), key, "left").select(*df.columns)
+    if not plain:
+        rows = df.select(key).distinct()
+    else:
+        best = winning_rows(df, key, plain, order, tie, policy == "latest")
+        wins = [F.col(f"__w{i}") for i in range(len(plain))]
+        chosen = lookup_join(df.select(key, *plain, row_hash(df).alias("__h")), best, key, "inner").filter(
+            F.col("__h").isin(*wins))
+        # At most one row per column, whatever the number of copies.
+        own = F.struct("__h", *plain)
+        taken = chosen.groupBy(key, *wins).agg(F.collect_set(own).alias("__rows"))
+
+        def value(win: Column, name: str) -> Column:
+            return F.get(F.filter("__rows", lambda r: r["__h"] == win), F.lit(0))[name].alias(name)
+
+        rows = taken.select(key, *[value(win, c) for win, c in zip(wins, plain)])
+        # Ids whose columns are null in every row win nothing.
+        nothing = best.filter(F.coalesce(*wins).isNull()).select(key, *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in plain])
+        rows = rows.unionByName(nothing)
+    if not list_cols:
+        return rows.select(*df.columns)
+    return rows.join(merged_lists(df, key, list_cols, keep_nulls), key, "left").select(*df.columns)
 
 
 def distinct_dimensions(rows: DataFrame, key: str = "dataset_id") -> DataFrame:

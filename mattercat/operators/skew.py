@@ -31,10 +31,11 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int | None = None) -> dict:
     sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("merger")).agg(
         F.expr(f"approx_top_k_accumulate(`{key}`, {SKETCH_ITEMS})").alias("sketch")
     )
-    top = sketches.agg(
+    # Grouped, so that an empty table has no group and not an empty sketch.
+    top = sketches.groupBy(F.lit(1)).agg(
         F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {SKETCH_ITEMS}), {MOST_KEYS})").alias("top")
-    ).first()["top"]
-    return {row["item"]: -(-row["count"] // limit) for row in top or [] if row["count"] > limit}
+    ).first()
+    return {row["item"]: -(-row["count"] // limit) for row in (top and top["top"]) or [] if row["count"] > limit}
 
 
 def lookup_join(
@@ -42,7 +43,8 @@ def lookup_join(
 ) -> DataFrame:
     """Join many rows of ``left`` to the one row of ``right`` with their key.
 
-    Rows of a hot key are dealt by row hash into parts, and its one row on the
+    Rows of a hot key are dealt into parts by their place in the input, so that equal rows and
+    columns of any type are dealt too, and its one row on the
     right is repeated for each part. Rows without a key are dealt alike. ``how`` is
     left or inner. Pass ``hot`` if the hot keys are known, or ``NO_HOT_KEYS``; otherwise
     they are looked for now, in a job of its own over the key column.
@@ -59,7 +61,7 @@ def lookup_join(
         return F.coalesce(of_key, F.lit(1))
 
     of_row = F.when(F.col(key).isNull(), F.lit(hot.get(None, 1))).otherwise(parts(F.col(key)))
-    part = F.when(of_row > 1, F.pmod(F.xxhash64(*left.columns), of_row)).otherwise(0).cast("int")
+    part = F.when(of_row > 1, F.pmod(F.xxhash64(F.monotonically_increasing_id()), of_row)).otherwise(0).cast("int")
     every = F.explode(F.sequence(F.lit(0), parts(F.col(key)) - 1))
     dealt = left.withColumn("__part", part)
     return dealt.join(right.withColumn("__part", every), [key, "__part"], how).drop("__part")

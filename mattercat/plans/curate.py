@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,16 +17,20 @@ from ..session import staged
 
 
 def repair_duplicates(
-    df: DataFrame, list_cols: Sequence[str], key: str = "id", order: str | None = "last_modified"
+    df: DataFrame, list_cols: Sequence[str], key: str = "id", order: str | None = "last_modified",
+    policy: str = "latest", tie: Column | None = None,
 ) -> DataFrame:
     """The table with one row per id; rows of repeated ids are merged.
 
     Only repeated ids go through the merge; all other rows pass an anti join. The
     repeated ids are written first, so that they are found once and their size is
-    known: while they are few, no join moves the table itself.
+    known: while they are few, no join moves the table itself. ``policy`` (latest or first) and
+    ``tie`` are those of ``combine_duplicates``.
     """
+    if policy == "union":
+        raise ValueError("rows that are not repeated stay as they are, so columns can't become lists")
     repeated = staged(duplicate_ids(df, key), "repeated-ids")
-    merged = combine_duplicates(rows_for_duplicates(df, repeated, key), key, list_cols, order)
+    merged = combine_duplicates(rows_for_duplicates(df, repeated, key), key, list_cols, order, policy, tie)
     single = df.join(repeated.select(key), key, "left_anti")
     return append_rows(select_ordered(single, df.columns), merged)
 

@@ -1,6 +1,7 @@
 """Null, empty, repeated and hot keys, against plain Python."""
 
 import random
+import zlib
 from collections import defaultdict
 
 import pytest
@@ -128,27 +129,38 @@ def hot(n=3000, seed=5):
 HOT = "id string, names array<string>, n int, s string, stamp int"
 
 
-def merged(data):
+def tie_of(n, s):
+    return zlib.crc32(f"{s},{n}".encode())
+
+
+def tie():
+    return F.expr("crc32(cast(concat(coalesce(s, 'None'), ',', coalesce(string(n), 'None')) AS binary))")
+
+
+def merged(data, newest=True):
     groups = defaultdict(list)
     for row in data:
         groups[row[0]].append(row)
-    out = {}
+    out, best = {}, max if newest else min
     for key, members in groups.items():
         # A list that is null in every copy stays null.
         lists = [r[1] for r in members if r[1] is not None]
         names = sorted({x for v in lists for x in v}) if lists else None
-        latest = lambda i: max(((r[4], r[i]) for r in members if r[i] is not None), default=(None, None))[1]
-        out[key] = (names, latest(2), latest(3), max(r[4] for r in members))
+        pick = lambda i: best(((r[4], tie_of(r[2], r[3]), r[i]) for r in members if r[i] is not None), default=(None,))[-1]
+        out[key] = (names, pick(2), pick(3), best(r[4] for r in members))
     return out
 
 
-def test_combine_duplicates_brute_force(spark):
+@pytest.mark.parametrize("dealt", [False, True])
+def test_combine_duplicates_brute_force(spark, monkeypatch, dealt):
+    if dealt:
+        monkeypatch.setattr(K, "ROWS_PER_TASK", 100)
     data = hot()
     df = spark.createDataFrame(data, HOT)
     expected = merged(data)
     for out in (
-        A.combine_duplicates(df, "id", ["names"], "stamp"),
-        curate.repair_duplicates(df, ["names"], order="stamp"),
+        A.combine_duplicates(df, "id", ["names"], "stamp", tie=tie()),
+        curate.repair_duplicates(df, ["names"], order="stamp", tie=tie()),
     ):
         found = {r["id"]: (r["names"], r["n"], r["s"], r["stamp"]) for r in out.collect()}
         assert out.columns == df.columns and len(found) == out.count() == len(expected)
@@ -157,6 +169,42 @@ def test_combine_duplicates_brute_force(spark):
                 # A row that is not repeated keeps its list as it is.
                 own = [r for r in data if r[0] == key]
                 assert len(own) == 1 and found[key] == tuple(own[0][1:])
+    first = A.combine_duplicates(df, "id", ["names"], "stamp", "first", tie())
+    assert {r["id"]: tuple(r)[1:] for r in first.collect()} == merged(data, newest=False)
+
+
+def test_combine_duplicates_takes_ties_from_one_row_and_repeats(spark):
+    data = [("a", i % 3, f"x{i}", f"y{i}") for i in range(60)] * 2 + [("b", None, "only", None), ("c", None, None, None), ("d", 1, None, "p"), ("d", None, "q", None)]
+    df = spark.createDataFrame(data, "id string, stamp int, x string, y string")
+    once = rows(A.combine_duplicates(df, "id", [], "stamp"), "id", "stamp", "x", "y")
+    assert once == rows(A.combine_duplicates(df.repartition(7, "x"), "id", [], "stamp"), "id", "stamp", "x", "y")
+    a, b, c, d = once
+    assert a[1] == 2 and int(a[2][1:]) % 3 == 2 and a[2][1:] == a[3][1:]
+    assert (b, c, d) == (("b", None, "only", None), ("c", None, None, None), ("d", 1, "q", "p"))
+    without = rows(A.combine_duplicates(df, "id", []), "id", "x", "y")
+    assert [r[0] for r in without] == ["a", "b", "c", "d"] and without[0][1][1:] == without[0][2][1:]
+    assert A.combine_duplicates(df.limit(0), "id", [], "stamp").collect() == []
+    with pytest.raises(ValueError):
+        A.combine_duplicates(df, "id", [], "stamp", "newest")
+
+
+def test_combine_duplicates_union_and_null_elements(spark):
+    df = spark.createDataFrame(
+        [("a", ["x", None], 1, {"k": 1}), ("a", ["x"], 2, None), ("a", None, None, None), ("b", [], None, None), ("c", None, None, None)],
+        "id string, names array<string>, n int, m map<string,int>")
+    some = df.drop("m")
+    union = lambda keep: rows(A.combine_duplicates(some, "id", ["names"], policy="union", keep_nulls=keep), "id", "names", "n")
+    assert union(False) == [("a", ["x"], [1, 2]), ("b", [], None), ("c", None, None)] and union(True)[0] == ("a", [None, "x"], [1, 2])
+    kept = A.combine_duplicates(some, "id", ["names"], "n", keep_nulls=True)
+    assert rows(kept, "id", "names", "n") == [("a", [None, "x"], 2), ("b", [], None), ("c", None, None)]
+    # A row hash stands maps, wherever they are.
+    assert df.select(A.row_hash(df)).distinct().count() == 5
+
+
+def test_combine_duplicates_sorts_no_wide_rows(spark):
+    df = spark.createDataFrame(hot(200), HOT)
+    plan = A.combine_duplicates(df, "id", ["names"], "stamp", tie=tie())._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
 
 
 def test_metadata_lookup_with_hot_and_null_paths(spark):

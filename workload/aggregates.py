@@ -101,16 +101,20 @@ def listed(t: Tables) -> DataFrame:
     )
 
 
-@query("combine_duplicates", """
-    SELECT id, string_agg(DISTINCT dataset_id, ',' ORDER BY dataset_id) AS dataset_ids,
-           array_to_string(list_sort(list_distinct(list_concat(list(configuration_id), list(method)))), ',') AS names,
-           first(method ORDER BY last_modified DESC, method DESC) AS method,
-           first(multiplicity ORDER BY last_modified DESC, multiplicity DESC) AS multiplicity,
-           first(formation_energy ORDER BY last_modified DESC, formation_energy DESC) FILTER (formation_energy IS NOT NULL) AS formation_energy,
-           max(last_modified)::VARCHAR AS last_modified
-    FROM {po} GROUP BY id""")
-def combine_duplicates(t: Tables):
-    merged = A.combine_duplicates(listed(t), "id", ["dataset_ids", "names"], "last_modified")
+# Which of two copies with the same time wins: a whole number that both engines can state.
+TIE = "multiplicity * 100 + CAST(coalesce(formation_energy, 0) * 100 AS INT)"
+MERGED_LISTS = """string_agg(DISTINCT dataset_id, ',' ORDER BY dataset_id) AS dataset_ids,
+           array_to_string(list_sort(list_distinct(list_concat(list(configuration_id), list(method)))), ',') AS names"""
+
+
+def picked(order: str) -> str:
+    """SQL: the plain columns of ``combine_duplicates`` in an order of copies."""
+    return f"""first(method ORDER BY last_modified {order}, {TIE} {order}) AS method,
+           first(multiplicity ORDER BY last_modified {order}, {TIE} {order}) AS multiplicity,
+           first(formation_energy ORDER BY last_modified {order}, {TIE} {order}) FILTER (formation_energy IS NOT NULL) AS formation_energy"""
+
+
+def as_text(merged: DataFrame) -> DataFrame:
     return merged.select(
         "id", F.array_join("dataset_ids", ",").alias("dataset_ids"),
         F.array_join("names", ",").alias("names"), "method", "multiplicity", "formation_energy",
@@ -118,6 +122,34 @@ def combine_duplicates(t: Tables):
     )
 
 
+@query("combine_duplicates", f"""
+    SELECT id, {MERGED_LISTS}, {picked('DESC')}, max(last_modified)::VARCHAR AS last_modified
+    FROM {{po}} GROUP BY id""")
+def combine_duplicates(t: Tables):
+    return as_text(A.combine_duplicates(listed(t), "id", ["dataset_ids", "names"], "last_modified", tie=F.expr(TIE)))
+
+
+@query("combine_duplicates_first", f"""
+    SELECT id, {MERGED_LISTS}, {picked('ASC')}, min(last_modified)::VARCHAR AS last_modified
+    FROM {{po}} GROUP BY id""")
+def combine_duplicates_first(t: Tables):
+    return as_text(A.combine_duplicates(listed(t), "id", ["dataset_ids", "names"], "last_modified", "first", F.expr(TIE)))
+
+
+@query("combine_duplicates_union", f"""
+    SELECT id, {MERGED_LISTS}, string_agg(DISTINCT method, ',' ORDER BY method) AS method,
+           string_agg(DISTINCT multiplicity, ',' ORDER BY multiplicity) AS multiplicity,
+           count(DISTINCT formation_energy) AS n_energies, count(DISTINCT last_modified) AS n_times
+    FROM {{po}} GROUP BY id""")
+def combine_duplicates_union(t: Tables):
+    merged = A.combine_duplicates(listed(t), "id", ["dataset_ids", "names"], policy="union")
+    joined = lambda c: F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
+    number = lambda c, name: F.greatest(F.size(c), F.lit(0)).cast("bigint").alias(name)
+    return merged.select(
+        "id", *[joined(c) for c in ("dataset_ids", "names", "method", "multiplicity")],
+        number("formation_energy", "n_energies"), number("last_modified", "n_times"))
+
+
 @query("distinct_dimensions", """
     WITH rows AS (SELECT p.id, p.dataset_id, c.nsites % 4 AS np FROM {po} p JOIN {co} c ON c.id = p.configuration_id)
     SELECT r.id, r.dataset_id, s.dims AS dims, s.n AS n_types

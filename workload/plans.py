@@ -14,7 +14,7 @@ from mattercat.plans.standardize import Layout
 from mattercat.plans.standardize import standardize_properties as standardize
 from mattercat.sinks import tables as W
 
-from .aggregates import listed, rounded
+from .aggregates import TIE, listed, picked, rounded
 from .columns import DATASET_LISTS, converted
 from .registry import Tables, query
 from .sinks import LEVEL, described
@@ -88,16 +88,14 @@ def fix_pbc_and_rehash(t: Tables):
     )
 
 
-@query("repair_duplicates", """
+@query("repair_duplicates", f"""
     SELECT id, string_agg(DISTINCT dataset_id, ',' ORDER BY dataset_id) AS dataset_ids,
            CASE WHEN count(*) = 1 THEN concat(first(configuration_id), ',', first(method))
                 ELSE array_to_string(list_sort(list_distinct(list_concat(list(configuration_id), list(method)))), ',') END AS names,
-           first(method ORDER BY last_modified DESC, method DESC) AS method,
-           first(multiplicity ORDER BY last_modified DESC, multiplicity DESC) AS multiplicity,
-           first(formation_energy ORDER BY last_modified DESC, formation_energy DESC) FILTER (formation_energy IS NOT NULL) AS formation_energy
-    FROM {po} GROUP BY id""")
+           {picked('DESC')}
+    FROM {{po}} GROUP BY id""")
 def repair_duplicates(t: Tables):
-    repaired = curate.repair_duplicates(listed(t), ["dataset_ids", "names"])
+    repaired = curate.repair_duplicates(listed(t), ["dataset_ids", "names"], tie=F.expr(TIE))
     return repaired.select(
         "id", F.array_join("dataset_ids", ",").alias("dataset_ids"), F.array_join("names", ",").alias("names"),
         "method", "multiplicity", "formation_energy",
