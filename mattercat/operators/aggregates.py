@@ -18,6 +18,9 @@ from ..functions.names import id_prefix
 from ..session import staged
 from .joins import attach_stats
 from .skew import NO_HOT_KEYS, hot_keys, lookup_join
+from .states import (
+    as_declared, dataset_rows, energy_and_counts, members, property_state, structure_state,
+)
 
 
 def count_by_prefix(
@@ -35,83 +38,37 @@ def count_by_prefix(
     )
 
 
-def _energy_stats(energy: str = "energy") -> list[Column]:
-    return [F.avg(energy).alias("energy_mean"), F.var_samp(energy).alias("energy_variance")]
-
-
-def _property_counts(po: DataFrame) -> list[Column]:
-    present = [p for p in S.COUNTED_PROPERTIES if p in po.columns]
-    return [F.count(p).alias(f"{p}_count") for p in present] + [
-        F.count("*").alias("nproperty_objects")
-    ]
-
-
 def dataset_energy_stats(po: DataFrame) -> DataFrame:
     """Mean and sample variance of the energy per dataset."""
-    return po.groupBy("dataset_id").agg(*_energy_stats())
+    return po.groupBy("dataset_id").agg(
+        F.avg("energy").alias("energy_mean"), F.var_samp("energy").alias("energy_variance"))
 
 
 def dataset_property_counts(po: DataFrame) -> DataFrame:
     """Non-null values of each counted property the table has, and rows, per dataset."""
-    return po.groupBy("dataset_id").agg(*_property_counts(po))
+    present = [p for p in S.COUNTED_PROPERTIES if p in po.columns]
+    return po.groupBy("dataset_id").agg(
+        *[F.count(p).alias(f"{p}_count") for p in present], F.count("*").alias("nproperty_objects"))
 
 
 def recreate_datasets(
     ds: DataFrame, po: DataFrame, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Statistics columns of ``ds`` made anew from ``po``, in one pass over it."""
-    stats = po.groupBy("dataset_id").agg(*_energy_stats(), *_property_counts(po))
-    fresh = attach_stats(ds, stats)
+    """Statistics columns of ``ds`` made anew from ``po``, in one pass over it, in their declared types."""
+    fresh = as_declared(attach_stats(ds, energy_and_counts(property_state(po))))
     return fresh.select(*columns) if columns else fresh
 
 
-def recalculate_dataset(ds: DataFrame, po: DataFrame, co: DataFrame) -> DataFrame:
+def recalculate_dataset(ds: DataFrame, po: DataFrame, co: DataFrame, cs: DataFrame | None = None) -> DataFrame:
     """Every aggregated column of every dataset made anew; described columns are kept.
 
     The meaning of four columns follows from their names: ``nconfigurations`` is the
     number of distinct structures, ``nsites`` their sites, ``elements`` the sorted
     union of their elements and ``total_elements_ratios`` each element's share of
-    all sites, in the order of ``elements``.
+    all sites, in the order of ``elements``. With ``cs`` comes ``nconfiguration_sets``.
+    Columns have the declared types. ``DatasetStates`` gives the same rows for tables that grow.
     """
-    members = po.select("dataset_id", "configuration_id").distinct()
-    parts = F.arrays_zip(F.col("elements").alias("element"), F.col("elements_ratios").alias("ratio"))
-    sites = members.join(
-        co.select(
-            F.col("id").alias("configuration_id"), "nsites", "nperiodic_dimensions",
-            "dimension_types", parts.alias("parts"),
-        ),
-        "configuration_id",
-    ).select("*", F.posexplode_outer("parts").alias("at", "part"))
-    # A structure without elements still gives one row, with a null position.
-    once = F.coalesce(F.col("at"), F.lit(0)) == 0
-    # Plain sums first, with the few periodicities as keys; sets come after, when
-    # there is one row per dataset, element and periodicity.
-    summed = sites.groupBy(
-        "dataset_id", F.col("part.element").alias("element"), "nperiodic_dimensions", "dimension_types"
-    ).agg(
-        F.sum(F.col("part.ratio") * F.col("nsites")).alias("weight"),
-        F.count_if(once).alias("structures"),
-        F.sum(F.when(once, F.col("nsites"))).alias("sites"),
-    )
-    per_element = summed.groupBy("dataset_id", "element").agg(
-        *[F.sum(c).alias(c) for c in ("weight", "structures", "sites")],
-        F.collect_set("nperiodic_dimensions").alias("nperiodic"),
-        F.collect_set("dimension_types").alias("dims"),
-    )
-    listed = F.array_sort(F.collect_list(
-        F.when(F.col("element").isNotNull(), F.struct("element", "weight"))
-    ))
-    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
-    per_dataset = per_element.groupBy("dataset_id").agg(
-        F.sum("structures").alias("nconfigurations"), F.sum("sites").alias("nsites"),
-        listed.alias("__listed"), union("nperiodic").alias("nperiodic_dimensions"),
-        union("dims").alias("dimension_types"),
-    ).select(
-        "dataset_id", "nconfigurations", "nsites", "nperiodic_dimensions", "dimension_types",
-        F.col("__listed.element").alias("elements"), F.size("__listed").alias("nelements"),
-        F.transform("__listed.weight", lambda w: w / F.col("nsites")).alias("total_elements_ratios"),
-    )
-    return attach_stats(recreate_datasets(ds, po), per_dataset)
+    return dataset_rows(ds, property_state(po), structure_state(members(po), co), cs)
 
 
 def duplicate_ids(df: DataFrame, key: str = "id") -> DataFrame:

@@ -1,6 +1,7 @@
 """Null, empty, repeated and hot keys, against plain Python."""
 
 import random
+import statistics
 import zlib
 from collections import defaultdict
 
@@ -14,6 +15,7 @@ from mattercat.operators import joins as J
 from mattercat.operators import ordering as O
 from mattercat.operators import skew as K
 from mattercat.operators import sets as S
+from mattercat.operators import states as ST
 from mattercat.plans import curate
 from mattercat.sources import metadata, scan
 
@@ -312,6 +314,48 @@ def test_recalculate_dataset(spark):
     assert found["d3"]["nsites"] is None and found["d3"]["name"] == "none"
 
 
+def test_states_of_batches_are_those_of_a_rebuild(spark, tmp_path):
+    rng = random.Random(3)
+    co = spark.createDataFrame(
+        [(f"c{i}", i % 5 + 1, ["H", "O"][: i % 3], [0.5, 0.5][: i % 3], i % 4, [i % 2]) for i in range(40)],
+        "id string, nsites int, elements array<string>, elements_ratios array<double>, nperiodic_dimensions int, dimension_types array<int>",
+    )
+    # One dataset appears late, one has one energy, one none; energies are large and close, so sums of squares would cancel.
+    made = [(f"d{rng.choice([0, 0, 0, 1, 2])}", f"c{rng.randint(0, 45)}", 1e9 + rng.random() if rng.random() < 0.8 else None, i // 100) for i in range(400)]
+    made += [("late", "c1", 5.0, 3), ("none", None, None, 1)]
+    po = spark.createDataFrame(made, "dataset_id string, configuration_id string, energy double, batch int")
+    ds = spark.createDataFrame([(d, d.upper(), 7) for d in ("d0", "d1", "d2", "late", "none", "empty")], "id string, name string, nsites int")
+    cs = spark.createDataFrame([("s1", "d0"), ("s2", "d0"), ("s3", "late")], "id string, dataset_id string")
+    states = ST.DatasetStates(spark, str(tmp_path))
+    with pytest.raises(ValueError):
+        states.rows(ds)
+    for i in (0, 1, 2, 1, 3):
+        states.add(f"b{i}", po.filter(F.col("batch") == i), co)
+    assert states.batches() == ["b0", "b1", "b2", "b3"]
+    whole, grown = A.recalculate_dataset(ds, po, co, cs), states.rows(ds, cs)
+    assert whole.schema == grown.schema and dict(whole.dtypes)["nsites"] == dict(whole.dtypes)["energy_count"] == "int"
+    for a, b in zip(whole.orderBy("id").collect(), grown.orderBy("id").collect()):
+        a, b = a.asDict(), b.asDict()
+        values = [float(r[2]) for r in made if r[0] == a["id"] and r[2] is not None]
+        if len(values) > 1:
+            assert a.pop("energy_variance") == pytest.approx(statistics.variance(values), rel=1e-6)
+            assert b.pop("energy_variance") == pytest.approx(statistics.variance(values), rel=1e-6)
+        assert a.pop("energy_mean") == pytest.approx(b.pop("energy_mean")) and a.pop("total_elements_ratios") == pytest.approx(b.pop("total_elements_ratios"))
+        assert a == b and a["nconfiguration_sets"] == {"d0": 2, "late": 1}.get(a["id"], 0)
+
+
+def test_an_uncommitted_batch_is_written_anew(spark, tmp_path):
+    co = spark.createDataFrame([("c1", 2, ["H"], [1.0], 0, [0])], "id string, nsites int, elements array<string>, elements_ratios array<double>, nperiodic_dimensions int, dimension_types array<int>")
+    po = spark.createDataFrame([("d", "c1", 1.0)], "dataset_id string, configuration_id string, energy double")
+    ds = spark.createDataFrame([("d",)], "id string")
+    states = ST.DatasetStates(spark, str(tmp_path))
+    for table in ST.TABLES:  # left by a run that died
+        spark.range(3).write.parquet(f"{tmp_path}/{table}/b0")
+    states.add("b0", po, co)
+    row = states.rows(ds).first()
+    assert (row["nproperty_objects"], row["nconfigurations"], row["energy_mean"], row["energy_variance"]) == (1, 1, 1.0, None)
+
+
 def test_orders_and_sets(spark, small):
     assert O.nth_by_size(small, 1, "n").first()["id"] == "a"
     assert O.first_row(small, ["n"]).first()["id"] == "c"

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mattercat.operators import aggregates as A
+from mattercat.operators.states import DatasetStates
 
 from .registry import Tables, query
 
@@ -44,9 +45,13 @@ def dataset_property_counts(t: Tables):
     return A.dataset_property_counts(with_energy(t))
 
 
+# Counts of datasets are declared as 32-bit numbers.
+COUNTS = """s.energy_count::INTEGER AS energy_count, s.formation_energy_count::INTEGER AS formation_energy_count,
+           s.nproperty_objects::INTEGER AS nproperty_objects"""
+
+
 @query("recreate_datasets", f"""
-    SELECT d.id, d.name, s.energy_count, s.formation_energy_count, s.nproperty_objects,
-           round(s.energy_mean, 4) AS energy_mean, round(s.energy_variance, 1) AS energy_variance
+    SELECT d.id, d.name, {COUNTS}, round(s.energy_mean, 4) AS energy_mean, round(s.energy_variance, 1) AS energy_variance
     FROM {{ds}} d LEFT JOIN ({STATS}) s ON s.dataset_id = d.id""")
 def recreate_datasets(t: Tables):
     columns = [
@@ -65,29 +70,46 @@ ELEMENTS_SPARK = """
     FROM {co}"""
 
 
-@query("recalculate_dataset", f"""
+RECALCULATED = f"""
     WITH pairs AS (SELECT m.dataset_id, c.nsites FROM {{member}} m JOIN {{co}} c ON c.id = m.configuration_id),
-    sums AS (SELECT dataset_id, count(*) AS nconfigurations, cast(sum(nsites) AS BIGINT) AS nsites,
+    sums AS (SELECT dataset_id, count(*)::INTEGER AS nconfigurations, sum(nsites)::INTEGER AS nsites,
                     count(DISTINCT nsites % 4) AS n_dims,
                     sum(CASE WHEN nsites % 2 = 1 THEN 0.25 * nsites ELSE 0 END)::DOUBLE AS c,
                     sum(CASE WHEN nsites % 2 = 0 THEN 0.25 * nsites ELSE 0.75 * nsites END)::DOUBLE AS h,
                     sum(CASE WHEN nsites % 2 = 0 THEN 0.75 * nsites ELSE 0 END)::DOUBLE AS o,
                     count_if(nsites % 2 = 0) AS even FROM pairs GROUP BY dataset_id)
-    SELECT d.id, d.name, s.nconfigurations, s.nsites, p.n AS nproperty_objects,
+    SELECT d.id, d.name, s.nconfigurations, s.nsites, {COUNTS.replace('s.', 'p.')},
+           round(p.energy_mean, 4) AS energy_mean, round(p.energy_variance, 1) AS energy_variance,
            CASE WHEN even = 0 THEN 'C,H' WHEN even = nconfigurations THEN 'H,O' ELSE 'C,H,O' END AS elements,
-           round(s.h / s.nsites, 8) AS h_share, s.n_dims AS n_dimensions
-    FROM {{ds}} d JOIN sums s ON s.dataset_id = d.id
-    JOIN (SELECT dataset_id, count(*) AS n FROM {{po}} GROUP BY dataset_id) p ON p.dataset_id = d.id""")
-def recalculate_dataset(t: Tables):
-    fresh = A.recalculate_dataset(t.ds, with_energy(t), t.sql(ELEMENTS_SPARK))
+           round(s.h / s.nsites, 8) AS h_share, s.n_dims AS n_dimensions, coalesce(k.n, 0)::INTEGER AS nconfiguration_sets
+    FROM {{ds}} d LEFT JOIN sums s ON s.dataset_id = d.id LEFT JOIN ({STATS}) p ON p.dataset_id = d.id
+    LEFT JOIN (SELECT dataset_id, count(*) AS n FROM {{cs_owned}} GROUP BY dataset_id) k ON k.dataset_id = d.id"""
+
+
+def statistics(fresh: DataFrame) -> DataFrame:
     h = F.element_at("total_elements_ratios", F.array_position("elements", "H").cast("int"))
-    return fresh.select(
-        "id", "name", "nconfigurations", "nsites", "nproperty_objects",
-        F.array_join("elements", ",").alias("elements"), F.round(h, 8).alias("h_share"),
-        F.size("dimension_types").cast("long").alias("n_dimensions"),
+    return rounded(rounded(fresh, "energy_mean"), "energy_variance", digits=1).select(
+        "id", "name", "nconfigurations", "nsites", "energy_count", "formation_energy_count", "nproperty_objects",
+        "energy_mean", "energy_variance", F.array_join("elements", ",").alias("elements"), F.round(h, 8).alias("h_share"),
+        F.size("dimension_types").cast("long").alias("n_dimensions"), "nconfiguration_sets",
     )
 
 
+@query("recalculate_dataset", RECALCULATED)
+def recalculate_dataset(t: Tables):
+    return statistics(A.recalculate_dataset(t.ds, with_energy(t), t.sql(ELEMENTS_SPARK), t.cs_owned))
+
+
+@query("recalculate_dataset_batches", RECALCULATED)
+def recalculate_dataset_batches(t: Tables):
+    # The table arrives in four batches that share datasets and structures; old rows are not read again.
+    states = DatasetStates(t.spark, t.fresh("states"))
+    po, co = with_energy(t), t.sql(ELEMENTS_SPARK)
+    for i in range(4):
+        states.add(f"batch-{i}", po.filter(F.pmod(F.xxhash64("id"), F.lit(4)) == i), co)
+    return statistics(states.rows(t.ds, t.cs_owned))
+
+
 @query("duplicate_ids", "SELECT id, count(*) AS count FROM {po} GROUP BY id HAVING count(*) > 1")
 def duplicate_ids(t: Tables):
     return A.duplicate_ids(t.po)

@@ -14,7 +14,7 @@ from mattercat.plans.standardize import Layout
 from mattercat.plans.standardize import standardize_properties as standardize
 from mattercat.sinks import tables as W
 
-from .aggregates import TIE, listed, picked, rounded
+from .aggregates import COUNTS, TIE, listed, picked, rounded
 from .columns import DATASET_LISTS, converted
 from .registry import Tables, query
 from .sinks import LEVEL, described
@@ -39,7 +39,7 @@ STANDARD = f"""
 
 
 @query("standardize_properties", f"""
-    SELECT d.id, d.name, s.energy_count, s.formation_energy_count, s.nproperty_objects, s.energy_mean
+    SELECT d.id, d.name, {COUNTS}, s.energy_mean
     FROM {{ds}} d LEFT JOIN (
         SELECT dataset_id, count(energy) AS energy_count, count(formation_energy) AS formation_energy_count,
                count(*) AS nproperty_objects, round(avg(energy), 2) AS energy_mean
