@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mattercat.functions.lists import parse_list
-from mattercat.operators.aggregates import count_by_prefix
+from mattercat.operators import digests
 from mattercat.plans import curate, publish
 from mattercat.plans.rehash import fix_pbc_and_rehash as rehash
 from mattercat.plans.standardize import Layout
@@ -159,9 +159,15 @@ def purge_datasets(t: Tables):
 
 
 @query("release", """
-    SELECT w.prefix, coalesce(f.n, 0) AS count
+    SELECT 'po' AS "table", w.prefix, coalesce(f.n, 0) AS count
     FROM (SELECT concat('PO_', lpad(cast(i AS string), 3, '0')) AS prefix FROM range(0, 1000) r(i)) w
-    LEFT JOIN (SELECT substr(id, 1, 6) AS prefix, count(*) AS n FROM {po} GROUP BY 1) f ON f.prefix = w.prefix""")
+    LEFT JOIN (SELECT substr(id, 1, 6) AS prefix, count(*) AS n FROM {po} GROUP BY 1) f ON f.prefix = w.prefix
+    UNION ALL SELECT 'po_by_dataset', dataset_id, count(*) FROM {po} GROUP BY dataset_id
+    UNION ALL SELECT 'po_by_configuration', configuration_id, count(*) FROM {po} GROUP BY configuration_id
+    UNION ALL SELECT 'cs_by_dataset', dataset_id, count(*) FROM {cs_owned} GROUP BY dataset_id
+    UNION ALL SELECT 'cs_co_map_by_set', configuration_set_id, count(*) FROM {cs_co_map} GROUP BY configuration_set_id
+    UNION ALL SELECT 'ds_by_id', id, count(*) FROM {ds} GROUP BY id
+    UNION ALL SELECT 'co_by_id', id, count(*) FROM {co} GROUP BY id""")
 def release(t: Tables):
     # Source tables, and a schema of their own to publish in.
     schema = t.fresh_name("release")
@@ -174,13 +180,33 @@ def release(t: Tables):
             W.save_table(t.cs_owned if name == "cs" else getattr(t, name), f"source_{name}")
             sources[name] = f"source_{name}"
         # ids of the view start at 00000000, not at 100
-        publish.release(t.spark, sources, "20240131")
-        published = t.spark.table(f"{schema}.po")
-        return count_by_prefix(published, "PO_", lo=0, hi=999)
+        counts = publish.release(t.spark, sources, "20240131", heads={"po": "PO_"}, prefixes=(0, 999))["po"]
+        found = [counts.select(F.lit("po").alias("table"), "prefix", "count")]
+        for name, _, keys in publish.CLUSTERED:
+            rows = t.spark.table(f"{schema}.{name}")
+            found.append(rows.groupBy(F.col(keys[0]).alias("prefix")).agg(F.count("*").alias("count")).select(
+                F.lit(name).alias("table"), "prefix", "count"))
+        return reduce(DataFrame.unionAll, found)
     finally:
         t.spark.catalog.setCurrentDatabase(current)
 
 
+CHANGED = """
+    SELECT id, configuration_id, CASE WHEN {hit} AND multiplicity = 7 THEN 'Z' ELSE method END AS method, multiplicity
+    FROM {{po}} WHERE NOT ({hit} AND multiplicity = 9)"""
+
+
+@query("changed_ids", """
+    WITH old AS (SELECT id, configuration_id, method, multiplicity FROM {po}), new AS (%s UNION ALL SELECT 'PO_new', 'CO_new', 'N', 1),
+    other AS (SELECT id FROM (SELECT * FROM old EXCEPT ALL SELECT * FROM new) UNION SELECT id FROM (SELECT * FROM new EXCEPT ALL SELECT * FROM old))
+    SELECT o.id, (SELECT count(*) FROM old WHERE old.id = o.id) AS n_before, (SELECT count(*) FROM new WHERE new.id = o.id) AS n_after
+    FROM other o""" % CHANGED.format(hit="id LIKE 'PO_000000%'"))
+def changed_ids(t: Tables):
+    old = t.po.select("id", "configuration_id", "method", "multiplicity")
+    new = t.sql(CHANGED.format(hit="id LIKE 'PO_000000%'") + " UNION ALL SELECT 'PO_new', 'CO_new', 'N', 1")
+    return digests.changed_ids(old, new, lengths=(0, 8, 10))
+
+
 @query("export", """
     SELECT 'po' AS kind, p.dataset_id, p.id, md5(m.content) AS content
     FROM {po} p LEFT JOIN {metadata} m ON m.path = concat('data/MD/', cast(p.multiplicity AS VARCHAR))
