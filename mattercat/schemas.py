@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The columns of the tables, with their types.
 STRING, INT, DOUBLE, BOOL, TIME = (
     T.StringType(), T.IntegerType(), T.DoubleType(), T.BooleanType(), T.TimestampType(),
 )
@@ -90,6 +91,20 @@ MERGE_RENAMED = ["id", "hash", "metadata_path"]
 MERGE_DROPPED_PO = ["chemical_formula_hill", "metadata_id", "metadata_size"]
 MERGE_DROPPED_CO = ["last_modified", "dataset_ids", "metadata_id", "metadata_size"]
 
+
+
+def _merged() -> T.StructType:
+    """Types of the merged row: those of the property, or of the structure where only that has the column."""
+    po, co = ({f.name: f.dataType for f in schema.fields} for schema in (PO, CO))
+    types = {
+        **{c: t for c, t in co.items() if c not in MERGE_DROPPED_CO}, **{c: t for c, t in po.items() if c not in MERGE_DROPPED_PO},
+        **{f"property_{c}": po[c] for c in MERGE_RENAMED}, **{f"configuration_{c}": co[c] for c in MERGE_RENAMED},
+    }
+    return _schema(**{c: types[c] for c in MERGED_COLUMNS})
+
+
+MERGED = _merged()
+
 # Properties counted per dataset.
 COUNTED_PROPERTIES = [
     "adsorption_energy", "atomic_forces", "atomization_energy", "cauchy_stress",

@@ -291,3 +291,35 @@ def test_fix_pbc_changes_ids_everywhere(spark):
     assert all(r["id"] == "CO_" + r["hash"][:25] and r["structure_hash"] != "s" for r in found.values())
     assert found[(True,) * 3]["nperiodic_dimensions"] == 3
     assert mapping.count() == 2
+
+
+@pytest.mark.parametrize("group", [50_000, 7])
+def test_tasks_are_filled_evenly_whatever_the_sizes(spark, monkeypatch, group):
+    from mattercat.sinks import placement
+
+    monkeypatch.setattr(placement, "GROUP", group)
+    # A third in one dataset, one without a name, one unknown to the sizes, and many small ones.
+    rows = spark.range(60_000).selectExpr(
+        "CASE WHEN id < 20000 THEN 'big' WHEN id < 24000 THEN null WHEN id < 24010 THEN 'unknown' "
+        "WHEN id < 40000 THEN concat('m', id % 13) ELSE concat('s', id % 997) END AS dataset_id", "id", "map(1, 2) AS m")
+    sizes = rows.filter("dataset_id is null or dataset_id <> 'unknown'").groupBy("dataset_id").count()
+    out = placement.placed(rows, sizes, rows_per_task=4_000)
+    counts = {r["p"]: r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()}
+    assert out.columns == rows.columns and sum(counts.values()) == 60_000 and out.select("id").distinct().count() == 60_000
+    if group == 50_000:
+        assert max(counts.values()) <= 2 * min(counts.values()) and max(counts.values()) < 4_400
+    tasks = out.select("dataset_id", F.spark_partition_id().alias("p")).distinct()
+    spread = {r["dataset_id"]: r["count"] for r in tasks.groupBy("dataset_id").count().collect()}
+    assert spread["big"] == 5 and all(n == 1 for d, n in spread.items() if d not in ("big", None))
+
+
+def test_placement_is_right_whatever_is_given(spark):
+    from mattercat.sinks import placement
+
+    assert placement.fill_tasks([], 10) == ([], 1) and placement.fill_tasks([0, 0], 10) == ([0, 0], 1)
+    place, tasks = placement.fill_tasks([5, 3, 3, 2, 2, 1], 8)
+    assert tasks == 2 and sorted(sum(r for r, p in zip([5, 3, 3, 2, 2, 1], place) if p == t) for t in range(2)) == [8, 8]
+    rows = spark.createDataFrame([("a", 1), (None, 2)], "dataset_id string, id int")
+    for sizes in ([], [("a", None)], [("a", 10**9), ("b", 3)]):
+        known = spark.createDataFrame(sizes, "d string, n bigint")
+        assert sorted(r["id"] for r in placement.placed(rows, known, rows_per_task=10**8).collect()) == [1, 2]

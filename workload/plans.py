@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from mattercat.functions.lists import parse_list
 from mattercat.operators import digests
+from mattercat.operators.joins import merge_po_co
 from mattercat.plans import curate, publish
 from mattercat.plans.rehash import fix_pbc_and_rehash as rehash
 from mattercat.plans.standardize import Layout
@@ -227,14 +228,43 @@ def export(t: Tables):
         "cs": t.cs_owned, "cs_co_map": t.cs_co_map,
     }
     publish.export(tables, path, "Site", "https://site.example", t.metadata, LEVEL)
-    # Read back what the cards point to.
+    content = {"po": F.md5("metadata"), "ds": F.md5("description"), "co": F.md5(F.col("cell")[0][0].cast("string"))}
+    return named_in_cards(t, path, content)
+
+
+def named_in_cards(t: Tables, path: str, content: dict) -> DataFrame:
+    """``(kind, dataset_id, id, content)`` of all files that the cards of an export point to."""
     cards = t.spark.read.text(f"{path}/dataset=*/kind=card", wholetext=True)
     globs = cards.select(F.explode(F.regexp_extract_all("value", F.lit('data_files: "([^"]+)"'), 1)).alias("g")).distinct()
-    content = {"po": F.md5("metadata"), "ds": F.md5("description"), "co": F.md5(F.col("cell")[0][0].cast("string"))}
+    keys = {"cs_co_map": "configuration_id", "merged": "property_id"}
     found = []
     for row in globs.orderBy("g").collect():
         kind = row["g"].split("/")[0].removeprefix("kind=")
         found.append(t.spark.read.parquet(f"{path}/dataset=*/{row['g']}").select(
-            F.lit(kind).alias("kind"), "dataset_id", F.col("configuration_id" if kind == "cs_co_map" else "id").alias("id"),
+            F.lit(kind).alias("kind"), "dataset_id", F.col(keys.get(kind, "id")).alias("id"),
             content.get(kind, F.lit(None).cast("string")).alias("content")))
     return reduce(DataFrame.unionAll, found)
+
+
+@query("export_merged", """
+    SELECT 'merged' AS kind, p.dataset_id, p.id, md5(concat_ws('|', coalesce(a.content, ''), coalesce(b.content, ''),
+           p_name, cast(c.nsites AS VARCHAR))) AS content
+    FROM {po} p JOIN {co} c ON c.id = p.configuration_id
+    JOIN (SELECT concat('CO_', lpad(cast(p_partkey AS VARCHAR), 8, '0')) AS id, p_name FROM part) n ON n.id = c.id
+    LEFT JOIN {metadata} a ON a.path = concat('data/MD/', cast(p.multiplicity AS VARCHAR))
+    LEFT JOIN {metadata} b ON b.path = concat('data/MD/', cast(c.nsites AS VARCHAR))
+    UNION ALL SELECT 'ds', id, id, md5(concat('Data of ', name)) FROM {ds}
+    UNION ALL SELECT 'cs', dataset_id, id, NULL FROM {cs_owned}""")
+def export_merged(t: Tables):
+    path = t.fresh("export-merged")
+    po = t.po.select(
+        "id", F.lit("h").alias("hash"), "dataset_id", "configuration_id", "multiplicity",
+        F.concat(F.lit("data/MD/"), "multiplicity").alias("metadata_path"))
+    co = t.co.select("id", F.lit("h").alias("hash"), "names", "nsites", F.concat(F.lit("data/MD/"), "nsites").alias("metadata_path"))
+    columns = ["property_id", "dataset_id", "configuration_id", "multiplicity", "names", "nsites",
+               "property_metadata_path", "configuration_metadata_path"]
+    tables = {"ds": described(t), "merged": merge_po_co(po, co, columns), "cs": t.cs_owned}
+    publish.export(tables, path, "Site", "https://site.example", t.metadata, LEVEL)
+    blank = lambda c: F.coalesce(F.col(c), F.lit(""))
+    merged = F.md5(F.concat_ws("|", blank("property_metadata"), blank("configuration_metadata"), F.col("names")[0], F.col("nsites").cast("string")))
+    return named_in_cards(t, path, {"merged": merged, "ds": F.md5("description")})

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mattercat.operators.aggregates import recreate_datasets
 from mattercat.sinks import cards as C
 from mattercat.sinks import exports as X
 from mattercat.sinks import tables as W
 from mattercat.streaming.incremental import incremental_copy as copy_new
 
+from .aggregates import with_energy
 from .columns import LICENSES, MATRIX, STORED, pick
 from .registry import Tables, query
 
@@ -103,10 +105,11 @@ def export_resumable(t: Tables):
 
 @query("size_partitions", "SELECT id, dataset_id, configuration_id, multiplicity FROM {po}")
 def size_partitions(t: Tables):
+    # Sizes come from the dataset rows; the rows themselves are not counted.
     path = t.fresh("sized")
-    rows = narrow_po(t)
-    X.export_dataset_parquet(rows, path, rows=rows.count(), level=LEVEL)
-    return t.spark.read.parquet(path)
+    sizes = recreate_datasets(t.ds, with_energy(t)).select("id", "nproperty_objects")
+    X.export_all_datasets(narrow_po(t), path, level=LEVEL, sizes=sizes, rows_per_task=5_000)
+    return t.spark.read.parquet(path).drop("dataset")
 
 
 @query("export_flat_parquet", """
