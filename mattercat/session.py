@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,7 @@ SETTINGS = {
 
 
 STAGED: dict[str, list[str]] = {}  # folders written by each application
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 PARTITION_BYTES = 128 << 20  # of a shuffle partition before adaptive execution merges any
 
 
@@ -74,18 +77,52 @@ def staged(df: DataFrame, label: str, **options) -> DataFrame:
 
     Used where one costly result feeds several outputs: it is computed once and
     does not depend on executors staying alive. The files stay until the session ends
-    (``drop_staged`` takes them away earlier); ``options`` go to the writer.
+    (``scratch`` and ``drop_staged`` take them away earlier); ``options`` go to the writer. Shuffle
+    files of the job go as soon as its result is written, since nothing reads them again.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.options(**options).parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_folders(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders of staged results and forget them."""
+    known = STAGED.get(spark.sparkContext.applicationId, [])
+    for path in paths:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        if path in known:
+            known.remove(path)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete what ``staged`` has written in this application; results built on it can't be read again."""
-    jvm = spark.sparkContext._jvm
-    for path in STAGED.pop(spark.sparkContext.applicationId, []):
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    delete_folders(spark, list(STAGED.get(spark.sparkContext.applicationId, [])))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """What is staged inside is deleted at the end, but for results written by the function given.
+
+    ``with scratch(spark) as keep: result = keep(build(), "label")`` runs ``build`` with all its
+    intermediate tables, writes its result, and leaves only that. Nothing that is
+    still to be computed may depend on the other tables. If the block fails, its tables stay until
+    ``drop_staged``.
+    """
+    known = STAGED.setdefault(spark.sparkContext.applicationId, [])
+    before, kept = set(known), []
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        result = staged(df, label)
+        kept.append(known[-1])
+        return result
+
+    yield keep
+    delete_folders(spark, [p for p in known if p not in before and p not in kept])

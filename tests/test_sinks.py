@@ -8,7 +8,7 @@ from mattercat.functions.hashing import hash_columns
 from mattercat.plans import publish
 from mattercat.plans.rehash import fix_pbc_and_rehash
 from mattercat.plans.standardize import Layout, standardize_properties
-from mattercat.session import STAGED, drop_staged, shuffle_settings, staged
+from mattercat.session import STAGED, drop_staged, scratch, shuffle_settings, staged
 from mattercat.sinks import cards, exports as X, tables as W
 from mattercat.streaming.incremental import incremental_copy
 
@@ -323,3 +323,19 @@ def test_placement_is_right_whatever_is_given(spark):
     for sizes in ([], [("a", None)], [("a", 10**9), ("b", 3)]):
         known = spark.createDataFrame(sizes, "d string, n bigint")
         assert sorted(r["id"] for r in placement.placed(rows, known, rows_per_task=10**8).collect()) == [1, 2]
+
+
+def test_scratch_leaves_only_what_is_kept(spark):
+    before = set(STAGED.get(spark.sparkContext.applicationId, []))
+    with scratch(spark) as keep:
+        a = staged(spark.range(5), "inner")
+        with scratch(spark) as deeper:
+            b = deeper(staged(a, "deep").filter("id > 1"), "kept")
+        result = keep(b.filter("id > 2"), "result")
+    left = [p for p in STAGED[spark.sparkContext.applicationId] if p not in before]
+    assert len(left) == 1 and sorted(r["id"] for r in result.collect()) == [3, 4]
+    assert not os.path.exists(a.inputFiles()[0].removeprefix("file:") if a.inputFiles() else "")
+    with pytest.raises(ValueError), scratch(spark):
+        staged(spark.range(1), "failed")
+        raise ValueError
+    assert len([p for p in STAGED[spark.sparkContext.applicationId] if p not in before]) == 2
