@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mattercat.session import staged
+from mattercat.session import scratch, staged
 
-__all__ = ["staged", "small_slices", "byte_texts", "only", "forest", "components"]
+__all__ = ["staged", "scratch", "small_slices", "byte_texts", "only", "forest", "components"]
 
 SLICE_BYTES = 1 << 20  # text that a worker unpacks at a time
 
@@ -70,20 +70,21 @@ def components(links: DataFrame) -> DataFrame:
     are written to the shared folder: sizes are known to the next joins, so a node with
     very many links is split by adaptive execution, and a lost executor costs one step.
     """
-    a, b = links.columns[:2]
-    pairs = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    pairs, state = staged(pairs, "links"), None
-    while True:
-        now = pairs.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-        if now == state or not now["n"]:
-            return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-                pairs.select("v", "v").distinct()
-            )
-        state = now
-        both = pairs.union(pairs.select("v", "u"))
-        least = staged(both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m")), "stars")
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = staged(large.filter("u <> v").distinct(), "links")
-        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "stars")
-        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = staged(small.union(least.select("u", "m")).distinct(), "links")
+    spark, (a, b) = links.sparkSession, links.columns[:2]
+    with scratch(spark) as keep:
+        pairs = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
+        pairs, state = staged(pairs, "links"), None
+        while True:
+            now = pairs.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
+            if now == state or not now["n"]:
+                nodes = pairs.select(F.col("u").alias("node"), F.col("v").alias("component"))
+                return keep(nodes.union(pairs.select("v", "v").distinct()), "components")
+            state = now
+            with scratch(spark) as next_links:
+                both = pairs.union(pairs.select("v", "u"))
+                least = staged(both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m")), "stars")
+                large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                large = staged(large.filter("u <> v").distinct(), "links")
+                least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "stars")
+                small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                pairs = next_links(small.union(least.select("u", "m")).distinct(), "links")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, only, small_slices, staged
+from .common import byte_texts, only, scratch, small_slices, staged
 
 LOW = np.uint64((1 << 30) - 1)  # bits of a sliding minimum that hold the place
 GROUP = 8192  # different segments of one anchor that are sorted in one place
@@ -175,9 +175,10 @@ def repeated_spans(docs: DataFrame, depth: int = 400, gram: int = 100, words: bo
                 ["doc_id", "key", "first", "stop", "anchor", "a", "b"])
 
     long = docs.filter(F.octet_length("text") >= (2 * depth - 1 if words else depth))
-    found = staged(long.mapInArrow(cut, shape), "segments")
-    anchors = staged(found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "anchors")
-    shared = staged(found.join(anchors, "anchor", "left_semi"), "shared")
+    with scratch(docs.sparkSession) as keep:
+        found = staged(long.mapInArrow(cut, shape), "segments")
+        anchors = staged(found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "anchors")
+        shared = keep(found.join(anchors, "anchor", "left_semi"), "shared")
 
     # One row for each different segment, with one of its places.
     distinct = staged(shared.groupBy("anchor", "a", "b").agg(
@@ -189,7 +190,11 @@ def repeated_spans(docs: DataFrame, depth: int = 400, gram: int = 100, words: bo
     several = staged(distinct.groupBy("anchor").agg(F.count("*").alias("members")).filter("members > 1"), "several")
     runs = distinct.join(several, "anchor").select("anchor", "members", "at.*").groupBy(
         F.col("key").alias("of_key"), F.col("doc_id").alias("of_doc")).agg(F.collect_list(F.struct("anchor", "members", "first", "stop")).alias("runs"))
-    texts = long.join(staged(runs, "runs"), F.expr("key = of_key and doc_id <=> of_doc"))
+    runs = staged(runs, "runs")
+    # Only texts that are needed meet their runs: while these are few, no other text is moved.
+    needed = staged(runs.select(F.col("of_key").alias("needed")).distinct(), "needed")
+    few = long.join(needed, F.col("key") == F.col("needed"), "left_semi")
+    texts = few.join(runs, F.expr("key = of_key and doc_id <=> of_doc"))
     pieces = texts.select("key", F.col("text").cast("binary").alias("text"), F.explode("runs").alias("r")).select(
         "r.anchor", "r.members", "key", "r.first", F.expr("substring(text, r.first + 1, r.stop - r.first)").alias("data"))
     pieces = staged(pieces, "pieces")
@@ -287,9 +292,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     base = only(docs, doc_id=doc_id, text=text, **({"carry": carry} if carry else {}))
     keyed = base.withColumn("key", F.unhex(F.md5(F.col("text").cast("binary"))))
     source = keyed.select("doc_id", "key", "text")
-    spans = repeated_spans(source, depth, gram)
+    # Each order of suffixes leaves its spans; all its other tables go before the next one begins.
+    with scratch(docs.sparkSession) as keep:
+        spans = keep(repeated_spans(source, depth, gram), "spans")
     if words:
-        spans = spans.union(repeated_spans(source, words, max(1, words // 4), words=True))
+        with scratch(docs.sparkSession) as keep:
+            spans = spans.union(keep(repeated_spans(source, words, max(1, words // 4), words=True), "spans"))
     spans = staged(spans.groupBy("key").agg(F.collect_list(F.struct("first", "stop")).alias("spans")), "spans")
     through = ["doc_id", "carry"] if carry else ["doc_id"]
     kinds = "".join(f"{n} {keyed.schema[n].dataType.simpleString()}, " for n in through)
