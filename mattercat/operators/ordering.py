@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import staged
 
+BINS = 1024  # of a histogram, counted in one pass
+CHUNK = 6    # bytes of a text that are one number
+
 
 def order_by(df: DataFrame, col: str, desc: bool = False) -> DataFrame:
     """Global sort by one column.
@@ -19,17 +24,106 @@ def order_by(df: DataFrame, col: str, desc: bool = False) -> DataFrame:
     return df.orderBy(F.col(col).desc() if desc else F.col(col).asc(), F.xxhash64(*df.columns))
 
 
+def _codes(df: DataFrame, order: Sequence[str]) -> Iterator[tuple[Column, bool]]:
+    """Numbers that order rows like ``order`` and a hash of the row, most significant first, each with whether it is whole.
+
+    Nulls come first. A text is cut in groups of six bytes, a floating-point number comes as its class
+    and its value. A type that has no such numbers ends the list: what is open then has to be sorted.
+    """
+    for name in order:
+        kind, col = df.schema[name].dataType, F.col(name)
+        yield F.when(col.isNull(), 0).otherwise(1).cast("bigint"), True
+        if isinstance(kind, T.StringType):
+            longest = df.agg(F.max(F.octet_length(name))).first()[0] or 0
+            for at in range(1, longest + 1, CHUNK):
+                part = F.substring(col.cast("binary"), at, CHUNK)
+                # One digit in front, so that the end of a text comes before a zero byte.
+                digits = F.rpad(F.hex(part), 2 * CHUNK, "0")
+                yield F.coalesce(F.conv(digits, 16, 10).cast("bigint") * (CHUNK + 1) + F.octet_length(part), F.lit(0)), True
+        elif isinstance(kind, (T.IntegralType, T.BooleanType)):
+            yield F.coalesce(col.cast("bigint"), F.lit(0)), True
+        elif isinstance(kind, T.DateType):
+            yield F.coalesce(F.unix_date(col).cast("bigint"), F.lit(0)), True
+        elif isinstance(kind, T.TimestampType):
+            yield F.coalesce(F.unix_micros(col), F.lit(0)), True
+        elif isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+            value, top = col.cast("double"), F.lit(float("inf"))
+            yield F.when(F.isnan(value), 3).when(value == top, 2).when(value == -top, 0).otherwise(1).cast("bigint"), True
+            finite = ~F.isnan(value) & (F.abs(value) != top)
+            yield F.coalesce(F.when(finite, value), F.lit(0.0)), False
+        else:
+            return
+    yield F.xxhash64(*df.columns), True
+
+
+def _below(df: DataFrame, n: int, order: Sequence[str], gather: int) -> tuple[Column, Column, int]:
+    """What of ``df`` is surely among the first ``n`` rows, what is still open, and how many of the open rows are.
+
+    Counts rows by bins of one number after the other. Only the bin that row ``n`` falls into is
+    open afterwards and is counted by finer bins, until it holds ``gather`` rows or none are left to tell apart.
+    """
+    taken, open_ = F.lit(False), F.lit(True)
+    for code, whole in _codes(df, order):
+        while True:
+            rows = df.filter(open_).select(code.alias("c"))
+            low, high, count = rows.agg(F.min("c"), F.max("c"), F.count("*")).first()
+            if count <= n:
+                return taken | open_, F.lit(False), 0
+            if count <= gather:
+                return taken, open_, n
+            if low == high:
+                break
+            if whole:
+                # The number may be any long, so differences are taken as decimals.
+                width = -(-(high - low + 1) // BINS)
+                number = F.floor((code.cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)")).cast("int")
+            else:
+                # The difference of two doubles may be beyond the largest one; halves are not.
+                part = 1.0 if math.isfinite(high - low) else 0.5
+                share = (code * part - low * part) / (high * part - low * part)
+                number = F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
+            bins = df.filter(open_).groupBy(number.alias("bin")).agg(F.count("*").alias("n")).orderBy("bin").collect()
+            for found in bins:
+                if found["n"] > n:
+                    break
+                n -= found["n"]
+            else:
+                return taken | open_, F.lit(False), 0
+            if n == 0 and found["bin"] == bins[0]["bin"]:
+                return taken, F.lit(False), 0
+            taken, open_ = taken | (open_ & (number < found["bin"])), open_ & (number == found["bin"])
+            if n == 0:
+                return taken, F.lit(False), 0
+            if len(bins) == 1:
+                break
+    return taken, open_, n
+
+
 def limit_rows(df: DataFrame, n: int, order: Sequence[str], gather: int = 1000) -> DataFrame:
     """The first ``n`` rows under an order, as a test table; the rows come in no stated order.
 
-    Ties are ordered by a hash of the row, so the choice repeats. Up to ``gather`` rows are
-    a top-k, of which each task sends as many to one. More are cut from the sorted table,
-    written once: a row's place is the rows of the files before its own plus its index in
-    the file, so no task gathers the ``n`` rows. Both ways give the same rows.
+    Nulls come first. Ties are ordered by a hash of the row, so the choice repeats. Up to ``gather`` rows are
+    a top-k, of which each task sends as many to one. For more, row ``n`` is found by counting:
+    a histogram of the order, then one of the bin that holds it, and so on, over the columns
+    of the order alone. All rows below are then taken where they are, and of the last ``gather`` or fewer
+    the first ones. Only rows that no number tells apart, such as equal ones, are sorted. All ways give the same rows.
     """
     ordering = [*order, F.xxhash64(*df.columns)]
     if n <= gather:
         return df.orderBy(*ordering).limit(n)
+    taken, open_, rest = _below(df, n, order, gather)
+    chosen = df.filter(taken)
+    if not rest:
+        return chosen
+    last = df.filter(open_)
+    return chosen.unionAll(last.orderBy(*ordering).limit(rest) if rest <= gather else _cut_sorted(last, rest, ordering))
+
+
+def _cut_sorted(df: DataFrame, n: int, ordering: Sequence[str | Column]) -> DataFrame:
+    """The first ``n`` rows cut from the sorted table, written once.
+
+    A row's place is the rows of the files before its own plus its index in the file, so no task gathers ``n`` rows.
+    """
     ordered = staged(df.orderBy(*ordering), "sorted", maxRecordsPerFile=0)
     name = F.col("_metadata.file_name")
     # part-<task>-<job>.c<file of the task>.<codec>.parquet

@@ -1,5 +1,6 @@
 """Null, empty, repeated and hot keys, against plain Python."""
 
+import decimal
 import random
 import statistics
 import zlib
@@ -365,11 +366,36 @@ def test_orders_and_sets(spark, small):
     assert rows(S.distinct_paths(paths, ["x", "y"]), "path") == [("a",), ("b",)]
 
 
-def test_large_limit_is_cut_from_sorted_files(spark):
+def test_large_limit_takes_what_is_below_a_counted_place(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"), F.lit("x").alias("v")).repartition(7)
     found = O.limit_rows(df, 1234, ["k"], gather=10)
     assert found.columns == ["k", "v"]
     assert sorted(r["k"] for r in found.collect()) == list(range(1234))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("kind", ["text", "number", "double", "mixed", "same", "decimal"])
+def test_limit_rows_by_counting_is_a_sort(spark, monkeypatch, kind):
+    monkeypatch.setattr(O, "BINS", 5)
+    rng = random.Random(8)
+    inf = float("inf")
+    texts = [None, "", "a", "ab", "ab\x00", "PO_000001_1", "PO_000001_12", "PO_0000019", "é", "\U0001f600", "zz" * 20, "zz" * 20 + "a"]
+    value = {
+        "text": lambda: (rng.choice([*texts, f"PO_{rng.randint(0, 30):06d}_1"]), 0),
+        "number": lambda: (rng.choice([None, -(2**63), 2**63 - 1, 0, rng.randint(-50, 50)]), 0),
+        "double": lambda: (rng.choice([None, float("nan"), inf, -inf, 1.7e308, -1.7e308, 5e-324, 0.0, rng.random()]), 0),
+        "mixed": lambda: (rng.choice(["a", "b", None]), rng.randint(0, 9)), "same": lambda: ("x", 1),
+        "decimal": lambda: (decimal.Decimal(rng.randint(0, 9)) / 4, 0),
+    }[kind]
+    types = {"number": "bigint", "double": "double", "decimal": "decimal(10,2)"}
+    df = spark.createDataFrame([(*value(), i % 40 if kind != "same" else 0) for i in range(400)], f"k {types.get(kind, 'string')}, l int, i int").repartition(3)
+    order = ["k", "l"]
+    key = lambda r: str(tuple(r))
+    for n in (1, 21, 200, 399, 400, 500):
+        want = df.orderBy(*order, F.xxhash64(*df.columns)).limit(n).collect()
+        got = O.limit_rows(df, n, order, gather=0 if n == 21 else 7).collect()
+        assert sorted(map(key, got)) == sorted(map(key, want)), n
 
 
 def test_purge_of_an_unknown_dataset_removes_nothing(spark):

@@ -133,6 +133,15 @@ def set_multiplicity(t: Tables):
     return E.set_multiplicity(t.po, "DS_000003_0", 1).select("id", "multiplicity")
 
 
+@query("limit_rows_counted", """
+    SELECT id, dataset_id, configuration_id, multiplicity FROM {po}
+    ORDER BY id, dataset_id, configuration_id, multiplicity LIMIT 20000""")
+def limit_rows_counted(t: Tables):
+    # Ordered by all columns: rows that tie are equal.
+    columns = ["id", "dataset_id", "configuration_id", "multiplicity"]
+    return O.limit_rows(t.po.select(*columns), 20_000, columns)
+
+
 @query("limit_rows", "SELECT id, nsites FROM {co} ORDER BY id LIMIT 100")
 def limit_rows(t: Tables):
     return O.limit_rows(t.co.select("id", "nsites"), 100, ["id"])
