@@ -9,11 +9,12 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.lists import parse_list
+from ..session import staged
 
 SHORT_LIST = 1000  # longer value lists become a join
 
@@ -51,6 +52,43 @@ def typed_table(df: DataFrame, schema: T.StructType, on_error: str = "keep_null"
     return df.select(*[typed(f) for f in df.schema.fields])
 
 
+def typed_table_with_account(
+    df: DataFrame, schema: T.StructType, key: str = "id", on_error: str = "keep_null"
+) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """``typed_table``, the cells that could not be read, and their number per list column.
+
+    The table is written once; its write counts the cells and takes their text along, so nothing is
+    parsed or scanned twice. Cells come as ``(key, column, text)``. Each becomes null, or an
+    empty list with ``on_error='empty'``.
+    """
+    if on_error not in ("keep_null", "empty"):
+        raise ValueError(f"on_error is keep_null or empty, not {on_error!r}")
+    declared = {f.name: f.dataType for f in schema.fields}
+    texts = [
+        f.name for f in df.schema.fields
+        if isinstance(f.dataType, T.StringType) and isinstance(declared.get(f.name), T.ArrayType)
+    ]
+    lists = {c: parse_list(c, declared[c].elementType.simpleString(), "keep_null").alias(f"__typed_{c}") for c in texts}
+    rows = df.select("*", *lists.values())
+    lost = {c: F.col(c).isNotNull() & F.col(f"__typed_{c}").isNull() for c in texts}
+    cells = F.array_compact(F.array(*[
+        F.when(lost[c], F.struct(F.lit(c).alias("column"), F.col(c).alias("text"))) for c in texts
+    ])) if texts else F.lit(None).cast("array<struct<column: string, text: string>>")
+
+    def typed(field: T.StructField) -> Column:
+        if field.name in lists:
+            found = F.col(f"__typed_{field.name}")
+            return (F.when(lost[field.name], F.array().cast(declared[field.name])).otherwise(found) if on_error == "empty" else found).alias(field.name)
+        return F.col(field.name).cast(declared.get(field.name, field.dataType)).alias(field.name)
+
+    observation = Observation()
+    counts = [F.count_if(lost[c]).alias(c) for c in texts] or [F.count("*").alias("__rows")]
+    rows = rows.observe(observation, *counts).select(*[typed(f) for f in df.schema.fields], cells.alias("__cells"))
+    written = staged(rows, "typed")
+    unreadable = written.filter(F.size("__cells") > 0).select(F.col(key), F.inline("__cells"))
+    return written.drop("__cells"), unreadable, {c: observation.get[c] for c in texts}
+
+
 def filter_eq(df: DataFrame, col: str, value, negate: bool = False) -> DataFrame:
     """Rows where ``col`` equals (or differs from) a value; null matches neither."""
     return df.filter(F.col(col) != value if negate else F.col(col) == value)

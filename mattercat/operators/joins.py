@@ -10,11 +10,13 @@ keys, is reduced to distinct keys first, which combines before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..session import scratch, staged
 from .edits import drop_columns, rename_prefixed
 from .skew import NO_HOT_KEYS, lookup_join
 
@@ -121,6 +123,43 @@ def remap_foreign_key(
     return remap_ids(df, keyed, {fk: new}, key=fk, how=how, hot=None)
 
 
+class MapError(ValueError):
+    """Id maps that lead nowhere; ``ids`` are some of those concerned."""
+
+    def __init__(self, what: str, ids: list):
+        super().__init__(f"{what}: {', '.join(map(str, ids))}")
+        self.ids = ids
+
+
+def collapse_maps(*maps: DataFrame, old: str = "id", new: str = "new_id", named: int = 20) -> DataFrame:
+    """One map ``(old, new)`` from several whose steps may follow each other: every old id with its last new one.
+
+    The steps of all maps are one set of pointers, and each round lets every pointer jump over
+    the one it points to, so ``n`` steps take ``log2 n`` rounds. Repeated steps count once and an id
+    mapped to itself is no step. An id with two different new ids is a fork, and steps that come back
+    to their start are a cycle: both are errors that name ids. Steps with a null are left out.
+    """
+    pairs = reduce(DataFrame.unionAll, [m.select(F.col(old).alias("old"), F.col(new).alias("new")) for m in maps])
+    pairs = staged(pairs.filter("old <> new").distinct(), "steps")
+    forks = pairs.groupBy("old").agg(F.count("*").alias("n")).filter("n > 1").orderBy("old").limit(named).collect()
+    if forks:
+        raise MapError("ids with several new ids", [r["old"] for r in forks])
+    steps, rounds = pairs.count(), 0
+    while True:
+        ahead = pairs.select(F.col("old").alias("at"), F.col("new").alias("further"))
+        moved = pairs.join(ahead, F.col("new") == F.col("at"), "left")
+        with scratch(pairs.sparkSession) as keep:
+            after = keep(moved.select("old", F.coalesce("further", "new").alias("new"), F.col("at").isNotNull().alias("moved")), "steps")
+        still = after.filter("moved")
+        if not still.take(1):
+            return pairs.select(F.col("old").alias(old), F.col("new").alias(new))
+        if 1 << rounds > steps:
+            # All chains have ended by now. After as many steps as there are, a pointer ends on a cycle.
+            ids = still.select("new").distinct().orderBy("new").limit(named).collect()
+            raise MapError("ids on a cycle", [r["new"] for r in ids])
+        pairs, rounds = after.select("old", "new"), rounds + 1
+
+
 def anti_missing_children(
     parent: DataFrame, child: DataFrame, fk: str, key: str = "id"
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import staged
 from ..sources.scan import scan_table
 
 TABLES = ("ds", "cs", "co", "po", "cs_co_map")
@@ -122,9 +123,12 @@ def publish_swap(
         raise
 
 
-def export_counts_csv(df: DataFrame, path: str) -> None:
-    """A small result, such as counts per prefix, as one CSV file with a header."""
-    df.repartition(1).write.option("header", True).csv(path)
+def export_counts_csv(df: DataFrame, path: str, most: int = 1_000_000) -> None:
+    """A small result, such as counts per prefix, as one CSV file with a header; more than ``most`` rows are an error."""
+    rows = staged(df, "counts")
+    if rows.count() > most:
+        raise ValueError(f"more than {most} rows would go through one task")
+    rows.repartition(1).write.option("header", True).csv(path)
 
 
 def export_text_list(df: DataFrame, col: str, path: str) -> None:

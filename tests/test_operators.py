@@ -105,6 +105,50 @@ def test_remaps(spark):
     assert J.remap_ids(df.filter("id IS NOT NULL"), total, replace).count() == 2
 
 
+def test_chains_of_maps_are_collapsed(spark):
+    rng = random.Random(4)
+    steps = [(f"{c}-{i}", f"{c}-{i + 1}") for c in range(30) for i in range(rng.randint(0, 20))]
+    steps += [("x-0", "same-end"), ("y-0", "same-end"), ("i", "i"), (None, "a"), ("b", None)]
+    rng.shuffle(steps)
+    frames = [spark.createDataFrame(steps[i::3] + steps[:5], "id string, new_id string") for i in range(3)]
+    after = {a: b for a, b in steps if a and b and a != b}
+
+    def last(x):
+        while x in after:
+            x = after[x]
+        return x
+
+    assert rows(J.collapse_maps(*frames), "id", "new_id") == sorted((a, last(a)) for a in after)
+    assert J.collapse_maps(frames[0].limit(0)).collect() == []
+
+
+def test_forks_and_cycles_of_maps_are_errors_that_name_ids(spark):
+    table = lambda pairs: spark.createDataFrame(pairs, "id string, new_id string")
+    with pytest.raises(J.MapError, match="several new ids: a$"):
+        J.collapse_maps(table([("a", "b"), ("b", "c")]), table([("a", "c")]))
+    tail = [(f"t{i}", f"t{i + 1}") for i in range(9)] + [("t9", "c0")]
+    for size in (2, 3, 4, 7):
+        cycle = [(f"c{i}", f"c{(i + 1) % size}") for i in range(size)]
+        with pytest.raises(J.MapError) as error:
+            J.collapse_maps(table(tail + cycle + [("p", "q")]))
+        assert error.value.ids == sorted(c for c, _ in cycle)
+
+
+def test_typed_table_with_account(spark):
+    schema = T.StructType.fromDDL("v array<double>, w array<string>, n int")
+    df = spark.createDataFrame([("a", "[1.0]", "oops", 1), ("b", "bad", None, 2), ("c", None, "['x']", 3), ("d", "worse", "['y']", 4)], "id string, v string, w string, n bigint")
+    typed, lost, counts = E.typed_table_with_account(df, schema)
+    assert typed.schema["v"].dataType == T.ArrayType(T.DoubleType()) and typed.columns == df.columns and counts == {"v": 2, "w": 1}
+    assert rows(typed, "id", "v", "w", "n") == rows(E.typed_table(df, schema), "id", "v", "w", "n")
+    assert rows(lost, "id", "column", "text") == [("a", "w", "oops"), ("b", "v", "bad"), ("d", "v", "worse")]
+    empty, _, _ = E.typed_table_with_account(df, schema, on_error="empty")
+    assert rows(empty, "id", "v") == [("a", [1.0]), ("b", []), ("c", None), ("d", [])]
+    none, nothing, counts = E.typed_table_with_account(df.select("id", "n"), schema)
+    assert none.count() == 4 and nothing.collect() == [] and counts == {}
+    with pytest.raises(ValueError):
+        E.typed_table_with_account(df, schema, on_error="fail")
+
+
 def test_audits(spark):
     parent = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
     child = spark.createDataFrame([("a", ["a", "b"]), ("a", []), ("x", None), (None, ["x"])], "fk string, many array<string>")

@@ -10,6 +10,7 @@ from mattercat.functions import lists as L
 from mattercat.functions import names as N
 from mattercat.functions import structures as S
 from mattercat.functions import units as U
+from mattercat.session import staged
 
 from .registry import Tables, query
 
@@ -116,7 +117,8 @@ def content_hash_parity(t: Tables):
 
 
 def same_hash(rows: DataFrame) -> DataFrame:
-    """``id`` and ``hash`` with the smallest id of equal hashes."""
+    """``id`` and ``hash`` with the smallest id of equal hashes; hashes are written, so that they are made once."""
+    rows = staged(rows, "hashes")
     return rows.join(rows.groupBy("hash").agg(F.min("id").alias("first_id")), "hash")
 
 
@@ -164,11 +166,11 @@ def structure_hash(t: Tables):
     rows = H.structure_hash(rows, "h", "numbers", "cell", "pbc", "matrix")
     rows = H.structure_hash(rows, "reversed", "back_numbers", "cell", "pbc", "back")
     rows = H.structure_hash(rows, "moved", "numbers", "other", "pbc", "matrix")
-    rows = rows.join(rows.groupBy("h").agg(F.min("id").alias("first_id")), "h")
-    return rows.select(
-        "id", "first_id", (F.col("h") == F.col("reversed")).alias("same_when_reversed"),
+    hashes = rows.select(
+        "id", F.col("h").alias("hash"), (F.col("h") == F.col("reversed")).alias("same_when_reversed"),
         (F.col("h") != F.col("moved")).alias("other_cell_differs"),
     )
+    return same_hash(hashes).drop("hash")
 
 
 @query("force_norms", """

@@ -142,6 +142,22 @@ def limit_rows_counted(t: Tables):
     return O.limit_rows(t.po.select(*columns), 20_000, columns)
 
 
+@query("typed_table_with_account", """
+    SELECT 'cell' AS kind, id, CASE WHEN nsites % 3 = 1 THEN 'x' || nsites END AS text, CASE WHEN nsites % 3 <> 1 THEN 3 END AS size FROM {co}
+    UNION ALL SELECT 'lost', id, 'x' || nsites, NULL FROM {co} WHERE nsites % 3 = 1
+    UNION ALL SELECT 'count', 'cell', count(*)::VARCHAR, NULL FROM {co} WHERE nsites % 3 = 1""")
+def typed_table_with_account(t: Tables):
+    # A third of the cells hold no list.
+    text = "CASE WHEN nsites % 3 = 1 THEN concat('x', nsites) ELSE cell END"
+    rows = t.co.selectExpr("id", f"{text} AS cell", f"{text} AS old")
+    typed, lost, counts = E.typed_table_with_account(rows, T.StructType.fromDDL("cell array<array<double>>"))
+    size = F.when(F.col("cell").isNotNull(), F.size("cell")).alias("size")
+    kept = typed.select(F.lit("cell").alias("kind"), "id", F.when(F.col("cell").isNull(), F.col("old")).alias("text"), size)
+    number = t.spark.range(1).select(
+        F.lit("count").alias("kind"), F.lit("cell").alias("id"), F.lit(str(counts["cell"])).alias("text"), F.lit(None).cast("int").alias("size"))
+    return kept.unionAll(lost.select(F.lit("lost").alias("kind"), "id", "text", F.lit(None).cast("int").alias("size"))).unionAll(number)
+
+
 @query("limit_rows", "SELECT id, nsites FROM {co} ORDER BY id LIMIT 100")
 def limit_rows(t: Tables):
     return O.limit_rows(t.co.select("id", "nsites"), 100, ["id"])

@@ -93,6 +93,18 @@ def remap_foreign_key(t: Tables):
     return J.remap_foreign_key(t.po.select("id", "configuration_id"), new)
 
 
+@query("collapse_maps", """
+    WITH s AS (SELECT substr(id, 4) AS x, nsites FROM {co})
+    SELECT concat('CO_', x) AS id, concat(CASE WHEN nsites < 10 THEN 'N3_' WHEN nsites < 20 THEN 'N2_' ELSE 'N1_' END, x) AS new_id FROM s
+    UNION ALL SELECT concat('N1_', x), concat(CASE WHEN nsites < 10 THEN 'N3_' ELSE 'N2_' END, x) FROM s WHERE nsites < 20
+    UNION ALL SELECT concat('N2_', x), concat('N3_', x) FROM s WHERE nsites < 10""")
+def collapse_maps(t: Tables):
+    # Ids were changed three times, each time for fewer structures.
+    step = lambda old, new, below: t.co.filter(f"nsites < {below}").selectExpr(
+        f"concat('{old}_', substr(id, 4)) AS id", f"concat('{new}_', substr(id, 4)) AS new_id")
+    return J.collapse_maps(step("N2", "N3", 10), step("CO", "N1", 1_000_000), step("N1", "N2", 20))
+
+
 @query("anti_missing_children", """
     SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
 def anti_missing_children(t: Tables):
