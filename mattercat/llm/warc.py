@@ -14,6 +14,7 @@ import hashlib
 import json
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -168,31 +169,78 @@ def archive_members(derived: DataFrame) -> DataFrame:
     return derived.select(*names).mapInArrow(run, "record_type string, member binary")
 
 
-def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields (names in lower case) and block of each record of an archive, gzipped or plain."""
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
+READ = 1 << 16  # bytes given to the unpacker at a time
+START = re.compile(rb"WARC/\d+\.\d+\r\n")  # the first line of a record
+
+
+def members(data: bytes, damage: list[int]) -> Iterator[bytes]:
+    """The gzip members of an archive one after another; a plain archive is one. Bytes that can't be unpacked go to ``damage``."""
+    if data[:2] != b"\x1f\x8b":
+        yield data
+        return
     at = 0
     while at < len(data):
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0 or not data.startswith(b"WARC/", at):
+        unpacker, read, parts = zlib.decompressobj(wbits=31), at, []
+        try:
+            while not unpacker.eof and read < len(data):
+                parts.append(unpacker.decompress(data[read: read + READ]))
+                read = min(read + READ, len(data))
+            if not unpacker.eof:
+                raise zlib.error("the last member is cut off")
+            at = read - len(unpacker.unused_data)
+            yield b"".join(parts)
+        except zlib.error:
+            after = data.find(b"\x1f\x8b\x08", at + 1)
+            after = len(data) if after < 0 else after
+            damage.append(after - at)
+            at = after
+
+
+def parse_records(data: bytes, damage: list[int] | None = None) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Header fields (names in lower case) and block of each record of an archive, gzipped or plain.
+
+    What is no record is an error, or with ``damage`` skipped up to the next line that starts one, and
+    its number of bytes appended there. Members of a gzipped archive are unpacked one at a time.
+    """
+    lost: list[int] = []
+    for part in members(data, lost):
+        at = 0
+        while at < len(part):
+            end = part.find(b"\r\n\r\n", at)
+            lines = part[at:end].decode("utf-8", "replace").split("\r\n")[1:]
+            fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+            size = fields.get("content-length", "")
+            if START.match(part, at) and end >= 0 and size.isdecimal() and end + 4 + int(size) <= len(part):
+                at = end + 4 + int(size)
+                yield fields, part[end + 4: at]
+                while part.startswith(b"\r\n", at):
+                    at += 2
+            else:
+                after = part.find(b"\nWARC/", at)
+                after = len(part) if after < 0 else after + 1
+                lost.append(after - at)
+                at = after
+        if lost and damage is None:
             break
-        lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
-        fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        size = int(fields.get("content-length", 0))
-        yield fields, data[end + 4: end + 4 + size]
-        at = end + 4 + size
-        while data.startswith(b"\r\n", at):
-            at += 2
+    if lost and damage is None:
+        raise ValueError(f"{lost[0]} bytes of an archive are no record")
+    if damage is not None:
+        damage.extend(lost)
 
 
-def read_responses(spark: SparkSession, path: str) -> DataFrame:
-    """Response records of the archives below ``path``, as ``RESPONSE``; a file is one piece of work of at most 2 GB."""
+def read_responses(spark: SparkSession, path: str, on_damage: str = "fail") -> DataFrame:
+    """Response records of the archives below ``path``, as ``RESPONSE``; a file is one piece of work of at most 2 GB.
+
+    An archive with bytes that are no record stops the job, or with ``on_damage="skip"`` gives all records around them.
+    """
+    if on_damage not in ("fail", "skip"):
+        raise ValueError(f"on_damage is fail or skip, not {on_damage!r}")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column("content").to_pylist():
                 rows = [(f.get("warc-record-id"), f.get("warc-target-uri"), f.get("warc-date"), block)
-                        for f, block in parse_records(data) if f.get("warc-type") == "response"]
+                        for f, block in parse_records(data, [] if on_damage == "skip" else None) if f.get("warc-type") == "response"]
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*rows), [pa.string()] * 3 + [pa.binary()])],

@@ -1,7 +1,10 @@
 import base64
+import gzip
 import hashlib
 import json
 
+import pytest
+
 from mattercat.llm import warc
 
 PAGE = "<html><title>t</title><body><a href='/x'>Link</a><p>Some &amp; text</p><img src=\"i.png\"></body></html>"
@@ -51,6 +54,25 @@ def test_archive_round_trip(spark, tmp_path):
     assert [(r.record_id, bytes(r.block)) for r in read] == [("<urn:uuid:9>", HTTP)] * 2
 
 
+def test_damaged_archives_are_reported_or_read_around():
+    record = lambda i: f"WARC/1.0\r\nWARC-Record-ID: {i}\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n".encode()
+    bad = [b"stray line\r\n", b"WARC/1.0\r\nContent-Length: x\r\n\r\nabc\r\n\r\n", b"WARC/1.0 no end\r\n"]
+    for junk in bad:
+        damage = []
+        found = list(warc.parse_records(record(1) + junk + record(2) + record(3), damage))
+        assert [f["warc-record-id"] for f, _ in found][-2:] == ["2", "3"] and found[0][0]["warc-record-id"] == "1" and sum(damage) == len(junk)
+        with pytest.raises(ValueError):
+            list(warc.parse_records(record(1) + junk + record(2)))
+    cut = record(1) + record(2)[:-6]
+    assert [f["warc-record-id"] for f, _ in warc.parse_records(cut, [])] == ["1"]
+    zipped = [gzip.compress(record(i)) for i in range(4)]
+    broken = zipped[1][:12] + b"\0" * 9 + zipped[1][21:]
+    damage = []
+    assert [f["warc-record-id"] for f, _ in warc.parse_records(zipped[0] + broken + zipped[2] + zipped[3][:-9], damage)] == ["0", "2"]
+    assert sum(damage) == len(broken) + len(zipped[3]) - 9
+    assert list(warc.parse_records(b"")) == [] and len(list(warc.parse_records(gzip.compress(record(1) + record(2))))) == 2
+
+
 def test_responses_from_pages(spark):
     pages = spark.createDataFrame([(1, "http://u", "<p>é</p>"), (None, None, None)], "page_id bigint, url string, html string")
     rows = warc.responses_from_pages(pages, "2024-01-01T00:00:00Z").collect()
