@@ -339,3 +339,12 @@ def test_scratch_leaves_only_what_is_kept(spark):
         staged(spark.range(1), "failed")
         raise ValueError
     assert len([p for p in STAGED[spark.sparkContext.applicationId] if p not in before]) == 2
+
+
+def test_many_small_datasets_are_written_by_several_tasks(spark, tmp_path):
+    ds = spark.range(40, numPartitions=1).select(F.concat(F.lit("DS_"), "id").alias("id"), F.lit("n").alias("name"))
+    X.export_bundle({"ds": ds}, str(tmp_path / "out"), level=1)
+    tasks = lambda kind, end: {p.name[:10] for p in tmp_path.glob(f"out/dataset=*/kind={kind}/*.{end}")}
+    assert len(tasks("ds", "parquet")) > 1 and spark.read.parquet(str(tmp_path / "out")).count() == 40
+    cards.write_cards(ds.select("id", F.col("name").alias("card")), str(tmp_path / "out"))
+    assert len(tasks("card", "txt")) > 1
