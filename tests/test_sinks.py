@@ -348,3 +348,18 @@ def test_many_small_datasets_are_written_by_several_tasks(spark, tmp_path):
     assert len(tasks("ds", "parquet")) > 1 and spark.read.parquet(str(tmp_path / "out")).count() == 40
     cards.write_cards(ds.select("id", F.col("name").alias("card")), str(tmp_path / "out"))
     assert len(tasks("card", "txt")) > 1
+
+
+def test_resumable_export_reads_its_input_once_for_all_groups(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def name(i):
+        seen.add(1)
+        return f"DS_{i % 20:02}"
+
+    df = spark.range(200).select("id", F.udf(name)("id").alias("dataset_id"))
+    X.export_resumable(df, str(tmp_path / "out"), level=1, group_rows=10)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r["id"] for r in back.collect()) == list(range(200))
+    assert spark.read.parquet(str(tmp_path / "out_done")).count() == 20
+    assert seen.value <= 4 * 200
