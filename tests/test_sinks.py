@@ -363,3 +363,24 @@ def test_resumable_export_reads_its_input_once_for_all_groups(spark, tmp_path):
     assert sorted(r["id"] for r in back.collect()) == list(range(200))
     assert spark.read.parquet(str(tmp_path / "out_done")).count() == 20
     assert seen.value <= 4 * 200
+
+
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_few_blobs_meet_rows_where_these_are_written(spark, tmp_path, monkeypatch, most):
+    from mattercat.sources import metadata
+
+    monkeypatch.setattr(metadata, "MOST_BLOB_BYTES", most)
+    cells = [("p1", "DS_1", "a"), ("p2", None, "b"), ("p3", "", "gone"), ("p4", "DS_1", None), ("p5", "DS_1", "e")]
+    po = spark.createDataFrame(cells, "id string, dataset_id string, metadata_path string")
+    store = spark.createDataFrame([("a", "one"), ("b", "two"), ("e", None), ("z", "other")], "path string, content string")
+    step = metadata.metadata_attached(po, store, {"metadata_path": "metadata"})
+    assert (step is None) == (most == 0)
+    if step:
+        plan = step(X.spread_by(po, "dataset_id"))._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        X.export_all_datasets(po, str(tmp_path / "out"), level=1, kind="po", attach=step)
+        back = spark.read.parquet(str(tmp_path / "out"))
+        assert back.select("id", "dataset_id", "metadata").sort("id").collect() == [
+            ("p1", "DS_1", "one"), ("p2", None, "two"), ("p3", "", None), ("p4", "DS_1", None), ("p5", "DS_1", None)]
+        X.export_all_datasets(po, str(tmp_path / "plain"), level=1, kind="po")
+        assert back.select("id", "dataset").sort("id").collect() == spark.read.parquet(str(tmp_path / "plain")).select("id", "dataset").sort("id").collect()
