@@ -384,3 +384,19 @@ def test_few_blobs_meet_rows_where_these_are_written(spark, tmp_path, monkeypatc
             ("p1", "DS_1", "one"), ("p2", None, "two"), ("p3", "", None), ("p4", "DS_1", None), ("p5", "DS_1", None)]
         X.export_all_datasets(po, str(tmp_path / "plain"), level=1, kind="po")
         assert back.select("id", "dataset").sort("id").collect() == spark.read.parquet(str(tmp_path / "plain")).select("id", "dataset").sort("id").collect()
+
+
+def test_text_frames_are_packed_and_read_back_whole(spark, tmp_path):
+    df = spark.range(400).selectExpr(
+        "concat('DS_', id % 2) AS dataset_id", "transform(sequence(0, id % 4), i -> array(id * 1.25D, i * 0.5D, 1D)) AS positions",
+        "transform(sequence(0, id % 4), i -> 6) AS atomic_numbers", "array(array(1D, 0D, 0D)) AS cell", "array(true) AS pbc")
+    want = sorted(line for r in X.extxyz_frames(df).collect() for line in r["value"].split("\n"))
+    sizes = {}
+    for kind, ending in (("gzip", ".txt.gz"), ("none", ".txt")):
+        path = str(tmp_path / kind)
+        X.export_extxyz(df, path, **({} if kind == "gzip" else {"compression": kind}))
+        files = [f"{d}/{f}" for d, _, names in os.walk(path) for f in names if f.startswith("part-")]
+        assert files and all(f.endswith(ending) for f in files)
+        sizes[kind] = sum(map(os.path.getsize, files))
+        assert sorted(r["value"] for r in spark.read.text(path).select("value").collect()) == want
+    assert sizes["gzip"] * 3 < sizes["none"]
