@@ -1,6 +1,7 @@
 """Every registered query against its SQL, over whole tables of the smallest scale."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from workload import ORACLES, QUERIES
 
@@ -31,3 +32,17 @@ def test_inventory_is_covered():
     section = survey.split("## 2. Operator inventory")[1].split("## 3. Query lifecycle")[0]
     wanted = set(re.findall(r"^\| `(\w+)` \|", section, re.M))
     assert len(wanted) > 100 and wanted <= set(QUERIES)
+
+
+def test_packed_hashes_differ_where_texts_differ(spark):
+    from workload.columns import packed, same_hash
+
+    texts = ["1", "01", "10", "010", "12", "112", "0", "", "a", "1a", "1\n", "ÿ", "9" * 154, "9" * 153, "1" + "0" * 154, None]
+    df = spark.createDataFrame([(f"{i:02d}", t) for i, t in enumerate(texts)], "id string, hash string")
+    found = [r[0] for r in df.select(packed(F.col("hash"))).collect()]
+    assert len({None if b is None else bytes(b) for b in found}) == len(texts)
+    assert len(found[12]) == 77
+    # Equal hashes share their smallest id; rows without a hash have none.
+    twice = df.unionAll(df.select(F.concat(F.lit("z"), "id"), "hash"))
+    got = {(r["id"], r["first_id"], r["hash"]) for r in same_hash(twice).collect()}
+    assert got == {(p + f"{i:02d}", f"{i:02d}", t) for i, t in enumerate(texts) if t is not None for p in ("", "z")}

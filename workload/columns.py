@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mattercat.functions import hashing as H
@@ -113,13 +113,25 @@ def content_hash(t: Tables):
 def content_hash_parity(t: Tables):
     rows = t.sites.selectExpr("id", "dataset_id", "q", "n", "d > 0.05 AS flag", MATRIX)
     hashed = H.content_hash(rows, ["dataset_id", "q", "n", "flag", "matrix"]).select("id", "hash")
-    return same_hash(hashed).select("id", "first_id", F.col("hash").rlike("^[0-9]+$").alias("digits"))
+    return same_hash(hashed.withColumn("digits", F.col("hash").rlike("^[0-9]+$"))).select("id", "first_id", "digits")
+
+
+def packed(digits: Column) -> Column:
+    """A text as bytes that differ where texts differ: a decimal number without leading zeros takes half a byte a digit."""
+    # No packed number starts with the byte 0xFF.
+    other = F.concat(F.lit(b"\xff"), digits.cast("binary"))
+    return F.when(digits.rlike(r"\A[1-9][0-9]*\z"), F.unhex(digits)).otherwise(other)
 
 
 def same_hash(rows: DataFrame) -> DataFrame:
-    """``id`` and ``hash`` with the smallest id of equal hashes; hashes are written, so that they are made once."""
-    rows = staged(rows, "hashes")
-    return rows.join(rows.groupBy("hash").agg(F.min("id").alias("first_id")), "hash")
+    """``id`` and ``hash`` with the smallest id of equal hashes.
+
+    Hashes are written, so that they are made once, and are compared as packed bytes, which is
+    what moves; the text moves only where it is used.
+    """
+    rows = staged(rows, "hashes", compression="zstd").withColumn("__packed", packed(F.col("hash")))
+    first = rows.groupBy("__packed").agg(F.min("id").alias("first_id"))
+    return rows.join(first, "__packed").drop("__packed")
 
 
 @query("hash_bytes", """
