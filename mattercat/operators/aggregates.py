@@ -124,19 +124,53 @@ def winning_rows(
 def merged_lists(df: DataFrame, key: str, list_cols: Sequence[str], keep_nulls: bool = False) -> DataFrame:
     """``(key, *list_cols)``: the sorted distinct elements of each list column over all rows of a key.
 
-    Elements are deduplicated as rows before they are collected, so a much-copied id gathers only
-    its distinct elements. A list that is null in every row stays null. Null elements go, or with
-    ``keep_nulls`` come once, before all others.
+    Lists of plain values are laid side by side and gathered by one aggregate, which combines before the
+    shuffle, so a much-copied id sends only each task's distinct elements. A list that is null in every row stays
+    null. Null elements go, or with ``keep_nulls`` come once, before all others.
     """
-    alike: dict[str, list[str]] = {}
+    plain, alike = [], {}
     for c in list_cols:
-        alike.setdefault(df.schema[c].dataType.elementType.simpleString(), []).append(c)
+        kind = df.schema[c].dataType.elementType
+        # Sets tell apart -0.0 and 0.0 inside of nested values, and take no text with a collation.
+        nested = isinstance(kind, (T.ArrayType, T.StructType)) or "collate" in kind.simpleString()
+        alike.setdefault(kind.simpleString(), []).append(c) if nested else plain.append(c)
     parts = [_merged_alike(df, key, columns, keep_nulls) for columns in alike.values()]
+    if plain:
+        parts.append(_merged_plain(df, key, plain, keep_nulls))
     return reduce(lambda a, b: a.join(b, key, "full"), parts).select(key, *list_cols)
 
 
+def _merged_plain(df: DataFrame, key: str, list_cols: Sequence[str], keep_nulls: bool) -> DataFrame:
+    """``merged_lists`` for columns of plain values: a row for each place in the lists, with what each has there."""
+    kinds = [df.schema[c].dataType.elementType for c in list_cols]
+    some = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in list_cols])
+    # One row at least, which tells empty lists from null ones.
+    last = F.greatest(F.lit(0), *[F.size(c) - 1 for c in list_cols])
+    side = df.filter(some).select(key, *list_cols, F.explode(F.sequence(F.lit(0), last)).alias("__at")).select(
+        key, *[F.get(c, F.col("__at")).alias(f"__e{i}") for i, c in enumerate(list_cols)],
+        *[F.col(c).isNotNull().alias(f"__l{i}") for i, c in enumerate(list_cols)],
+        *[(F.col("__at") < F.size(c)).alias(f"__s{i}") for i, c in enumerate(list_cols) if keep_nulls],
+    )
+
+    def gathered(i: int, name: str) -> Column:
+        item = F.col(f"__e{i}")
+        if isinstance(kinds[i], (T.FloatType, T.DoubleType)):
+            # Sets hold NaN once for each row, and -0.0 beside 0.0.
+            number = F.when(~F.isnan(item), item + F.lit(0.0).cast(kinds[i]))
+            nan = F.when(F.max(F.isnan(item)), F.array(F.lit(float("nan")).cast(kinds[i]))).otherwise(F.array().cast(T.ArrayType(kinds[i])))
+            items = F.concat(F.array_sort(F.collect_set(number)), nan)
+        else:
+            items = F.array_sort(F.collect_set(item))
+        if keep_nulls:
+            null = F.max(F.col(f"__s{i}") & item.isNull())
+            items = F.when(null, F.concat(F.array(F.lit(None)), items)).otherwise(items)
+        return F.when(F.max(f"__l{i}"), items).alias(name)
+
+    return side.groupBy(key).agg(*[gathered(i, c) for i, c in enumerate(list_cols)])
+
+
 def _merged_alike(df: DataFrame, key: str, list_cols: Sequence[str], keep_nulls: bool) -> DataFrame:
-    """``merged_lists`` for columns of one type."""
+    """``merged_lists`` for columns of one type, elements deduplicated as rows before they are collected."""
     tagged = F.array(*[
         F.struct(F.lit(i).alias("which"), F.col(c).alias("items")) for i, c in enumerate(list_cols)
     ])

@@ -460,3 +460,34 @@ def test_purge(spark):
     assert rows(out["cs_co_map"], "configuration_set_id") == [("s2",)]
     assert rows(audit, "table", "before", "after", "difference") == [
         ("co", 3, 2, 1), ("cs", 2, 1, 1), ("cs_co_map", 2, 1, 1), ("ds", 2, 1, 1), ("po", 3, 2, 1)]
+
+
+def test_lists_of_all_kinds_are_merged_in_one_aggregate(spark):
+    rng, nan = random.Random(3), float("nan")
+    texts, doubles = ["a", "b", "", None], [nan, 0.0, -0.0, 1.5, float("-inf"), None]
+    some = lambda values: rng.choice([None, [], [rng.choice(values) for _ in range(rng.randint(1, 5))]])
+    data = [(rng.choice("klmnop"), some(texts), some(doubles), some([1, 2, 3, None]), some([(0.0,), (-0.0,), (nan,), None])) for _ in range(60)]
+    data += [("z", None, None, None, None), ("y", [], None, None, None), ("x", [None], [None], None, [])]
+    names = ["t", "d", "i", "s"]
+    df = spark.createDataFrame(data, "k string, t array<string>, d array<double>, i array<int>, s array<struct<v: double>>").repartition(5)
+    for keep in (False, True):
+        got = {r["k"]: [r[c] for c in names] for r in A.merged_lists(df, "k", names, keep).collect()}
+        want = {}
+        for k in sorted({r[0] for r in data} - {"z"}):
+            want[k] = []
+            for c in range(1, 5):
+                lists = [r[c] for r in data if r[0] == k and r[c] is not None]
+                seen = {str(v).replace("-0.0", "0.0") for items in lists for v in items if v is not None}
+                want[k].append((keep and any(None in items for items in lists), seen) if lists else None)
+        plain = lambda v: str(tuple(v)) if isinstance(v, tuple) else str(v)
+        for k, lists in got.items():
+            for found, expected in zip(lists, want[k], strict=True):
+                values = None if found is None else [v for v in found if v is not None]
+                assert (found is None) == (expected is None)
+                if found is not None:
+                    assert (None in found) == expected[0] and {plain(v) for v in values} == expected[1] and len(values) == len(expected[1])
+                    numbers = [v for v in values if not isinstance(v, tuple) and v == v]
+                    assert numbers == sorted(numbers) and found[:1] == [None][:expected[0]] + values[:1 - expected[0]]
+        assert set(got) == set(want)
+    plan = A.merged_lists(df, "k", names[:3])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1 + 1  # the other is the repartition above
