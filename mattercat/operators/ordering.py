@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from ..session import staged
 
 BINS = 1024  # of a histogram, counted in one pass
 CHUNK = 6    # bytes of a text that are one number
+SHRUNK = 4   # times fewer rows are worth writing
 
 
 def order_by(df: DataFrame, col: str, desc: bool = False) -> DataFrame:
@@ -24,17 +25,17 @@ def order_by(df: DataFrame, col: str, desc: bool = False) -> DataFrame:
     return df.orderBy(F.col(col).desc() if desc else F.col(col).asc(), F.xxhash64(*df.columns))
 
 
-def _codes(df: DataFrame, order: Sequence[str]) -> Iterator[tuple[Column, bool]]:
+def _codes(df: DataFrame, order: Sequence[str], begin: Callable[[str | None], int]) -> Iterator[tuple[Column, bool]]:
     """Numbers that order rows like ``order`` and a hash of the row, most significant first, each with whether it is whole.
 
     Nulls come first. A text is cut in groups of six bytes, a floating-point number comes as its class
     and its value. A type that has no such numbers ends the list: what is open then has to be sorted.
+    ``begin`` is called before each column, and before the hash with none; of a text it gives the most bytes.
     """
     for name in order:
-        kind, col = df.schema[name].dataType, F.col(name)
+        kind, col, longest = df.schema[name].dataType, F.col(name), begin(name)
         yield F.when(col.isNull(), 0).otherwise(1).cast("bigint"), True
         if isinstance(kind, T.StringType):
-            longest = df.agg(F.max(F.octet_length(name))).first()[0] or 0
             for at in range(1, longest + 1, CHUNK):
                 part = F.substring(col.cast("binary"), at, CHUNK)
                 # One digit in front, so that the end of a text comes before a zero byte.
@@ -53,24 +54,50 @@ def _codes(df: DataFrame, order: Sequence[str]) -> Iterator[tuple[Column, bool]]
             yield F.coalesce(F.when(finite, value), F.lit(0.0)), False
         else:
             return
+    begin(None)
     yield F.xxhash64(*df.columns), True
 
 
-def _below(df: DataFrame, n: int, order: Sequence[str], gather: int) -> tuple[Column, Column, int]:
-    """What of ``df`` is surely among the first ``n`` rows, what is still open, and how many of the open rows are.
+def _text_ends(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """From one pass over a text column: its first and last value and null, as rows, and the most bytes.
+
+    All texts share the bytes these two share, so a number of ``_codes`` is least and largest here, if those before it are constant.
+    """
+    data = F.col(name).cast("binary")
+    count, there, low, high, longest = df.agg(
+        F.count("*"), F.count(name), F.min(data), F.max(data), F.max(F.octet_length(name))).first()
+    known = ([low, high] if there else []) + ([None] if there < count else [])
+    text = F.explode(F.array(*[F.lit(v if v is None else bytes(v)).cast("binary") for v in known]))
+    ends = df.sparkSession.range(0, 1, 1, 1).select(text.alias("text"))
+    return ends.select(F.col("text").cast(df.schema[name].dataType).alias(name)), longest or 0
+
+
+def _below(df: DataFrame, n: int, order: Sequence[str], gather: int) -> tuple[DataFrame, Column, Column, int]:
+    """Rows that hold the first ``n``, which of them are surely among these, which are still open, and how many of the open rows are.
 
     Counts rows by bins of one number after the other. Only the bin that row ``n`` falls into is
     open afterwards and is counted by finer bins, until it holds ``gather`` rows or none are left to tell apart.
+    Once the rows up to the end of that bin are ``SHRUNK`` times fewer than those read, they are written and all else is done on them.
     """
-    taken, open_ = F.lit(False), F.lit(True)
-    for code, whole in _codes(df, order):
+    wanted, taken, open_ = n, F.lit(False), F.lit(True)
+    ends: DataFrame | None = None
+    count = held = df.count()
+    storable = "void" not in df.schema.simpleString()  # a column of nulls alone has no type to write
+
+    def begin(name: str | None) -> int:
+        nonlocal ends
+        ends, longest = None, 0
+        if name is not None and isinstance(df.schema[name].dataType, T.StringType):
+            ends, longest = _text_ends(df.filter(open_), name)
+        return longest
+
+    if count <= n:
+        return df, F.lit(True), F.lit(False), 0
+    for code, whole in _codes(df, order, begin):
         while True:
-            rows = df.filter(open_).select(code.alias("c"))
-            low, high, count = rows.agg(F.min("c"), F.max("c"), F.count("*")).first()
-            if count <= n:
-                return taken | open_, F.lit(False), 0
             if count <= gather:
-                return taken, open_, n
+                return df, taken, open_, n
+            low, high = (df.filter(open_) if ends is None else ends).select(code.alias("c")).agg(F.min("c"), F.max("c")).first()
             if low == high:
                 break
             if whole:
@@ -88,15 +115,19 @@ def _below(df: DataFrame, n: int, order: Sequence[str], gather: int) -> tuple[Co
                     break
                 n -= found["n"]
             else:
-                return taken | open_, F.lit(False), 0
+                return df, taken | open_, F.lit(False), 0
             if n == 0 and found["bin"] == bins[0]["bin"]:
-                return taken, F.lit(False), 0
+                return df, taken, F.lit(False), 0
+            upto = taken | (open_ & (number <= found["bin"]))
             taken, open_ = taken | (open_ & (number < found["bin"])), open_ & (number == found["bin"])
+            ends, count = None, found["n"]
+            if storable and (wanted - n + count) * SHRUNK <= held:
+                df, held = staged(df.filter(upto), "nearest"), wanted - n + count
             if n == 0:
-                return taken, F.lit(False), 0
+                return df, taken, F.lit(False), 0
             if len(bins) == 1:
                 break
-    return taken, open_, n
+    return df, taken, open_, n
 
 
 def limit_rows(df: DataFrame, n: int, order: Sequence[str], gather: int = 1000) -> DataFrame:
@@ -105,13 +136,14 @@ def limit_rows(df: DataFrame, n: int, order: Sequence[str], gather: int = 1000)
     Nulls come first. Ties are ordered by a hash of the row, so the choice repeats. Up to ``gather`` rows are
     a top-k, of which each task sends as many to one. For more, row ``n`` is found by counting:
     a histogram of the order, then one of the bin that holds it, and so on, over the columns
-    of the order alone. All rows below are then taken where they are, and of the last ``gather`` or fewer
-    the first ones. Only rows that no number tells apart, such as equal ones, are sorted. All ways give the same rows.
+    of the order alone; once few rows are left of the table, they are written and only they are read.
+    All rows below are then taken, and of the last ``gather`` or fewer the first ones. Only rows that no number
+    tells apart, such as equal ones, are sorted. All ways give the same rows.
     """
     ordering = [*order, F.xxhash64(*df.columns)]
     if n <= gather:
         return df.orderBy(*ordering).limit(n)
-    taken, open_, rest = _below(df, n, order, gather)
+    df, taken, open_, rest = _below(df, n, order, gather)
     chosen = df.filter(taken)
     if not rest:
         return chosen

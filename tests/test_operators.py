@@ -462,6 +462,28 @@ def test_purge(spark):
         ("co", 3, 2, 1), ("cs", 2, 1, 1), ("cs_co_map", 2, 1, 1), ("ds", 2, 1, 1), ("po", 3, 2, 1)]
 
 
+def test_large_limit_reads_a_long_table_a_few_times(spark, monkeypatch):
+    reads = []
+    of_table = lambda df: "Range (0, 20000" in df._jdf.queryExecution().optimizedPlan().toString()
+
+    def counted(f):
+        def call(self, *args):
+            reads.append(of_table(self))
+            return f(self, *args)
+        return call
+
+    kind = type(spark.range(1))
+    for name in ("agg", "count", "groupBy"):
+        monkeypatch.setattr(kind, name, counted(getattr(kind, name)))
+    key = F.concat(F.lit("PO_"), F.lpad(((F.col("id") * 7919) % 20000).cast("string"), 8, "0"), F.lit("_1"))
+    df = spark.range(20000).select(key.alias("k"), F.lit("x").alias("l"), F.col("id").cast("int").alias("i"))
+    found = O.limit_rows(df, 60, ["l", "k", "i"], gather=10)
+    monkeypatch.undo()
+    assert "Range (0, 20000" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(reads) <= 8 and len(reads) > 8
+    assert sorted(r["k"] for r in found.collect()) == [f"PO_{i:08d}_1" for i in range(60)]
+
+
 def test_lists_of_all_kinds_are_merged_in_one_aggregate(spark):
     rng, nan = random.Random(3), float("nan")
     texts, doubles = ["a", "b", "", None], [nan, 0.0, -0.0, 1.5, float("-inf"), None]
