@@ -122,3 +122,10 @@ def test_large_sides_are_not_broadcast(spark):
             assert "Broadcast" not in plan(QUERIES[key](spark, FOLDER))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pairs_of_rehashed_properties_are_counted_where_they_meet(spark):
+    # Counted per input split, nearly all pairs of a split would lie in one task's memory.
+    tree = plan(QUERIES["fix_pbc_and_rehash"](spark, FOLDER)).split("(1) Scan")[0]
+    below = tree[tree.index("Exchange", tree.index("Exchange") + 1):]
+    assert "Aggregate" in tree and "Aggregate" not in below
