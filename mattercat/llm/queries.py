@@ -74,10 +74,13 @@ def op6_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"), depth=400)
+    # Strings of 400 bytes go; repeated passages of more than 50 words, which may be shorter, are told beside them.
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"), depth=400, words=51, cut_words=False)
     return found.select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
         F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        F.size("passages").cast("bigint").alias("n_passages"),
+        F.aggregate("passages", F.lit(0).cast("bigint"), lambda n, p: n + p["last"] - p["first"]).alias("passage_bytes"),
     )
 
 

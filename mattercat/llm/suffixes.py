@@ -266,11 +266,24 @@ def repeated_windows(pieces: DataFrame, depth: int, words: bool) -> DataFrame:
     return each.join(twice, ["a", "b"], "left_semi").select("key", "first", "stop")
 
 
+def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
+    """Spans in order, those that touch as one."""
+    runs: list[list[int]] = []
+    for first, stop in sorted(spans):
+        if runs and first <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], stop)
+        else:
+            runs.append([first, stop])
+    return runs
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = 400, gram: int = 100,
-                   carry: str | None = None, words: int | None = None) -> DataFrame:
+                   carry: str | None = None, words: int | None = None, cut_words: bool = True) -> DataFrame:
     """Every document without the bytes covered by a ``depth``-byte string that occurs twice.
 
-    With ``words`` the strings of that many words that occur twice go too, however short they are.
+    With ``words`` the strings of that many words that occur twice go too, however short they are; with
+    ``cut_words=False`` they stay and come in one more column, ``passages``: runs of them as structs like those of
+    ``removed``, judged on the input too, so that a passage also shows where its bytes are removed.
 
     Returns ``(doc_id, n_bytes, removed, kept)``: the UTF-8 length of the text, the removed
     runs as structs ``(first, last)`` of byte places (last exclusive, in order, apart by
@@ -293,32 +306,35 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         spans = keep(repeated_spans(source, depth, gram), "spans")
     if words:
         with scratch(docs.sparkSession) as keep:
-            spans = spans.union(keep(repeated_spans(source, words, max(1, words // 4), words=True), "spans"))
-    spans = staged(spans.groupBy("key").agg(F.collect_list(F.struct("first", "stop")).alias("spans")), "spans")
+            found = keep(repeated_spans(source, words, max(1, words // 4), words=True), "spans")
+            spans = spans.withColumn("cut", F.lit(True)).union(found.withColumn("cut", F.lit(cut_words)))
+    else:
+        spans = spans.withColumn("cut", F.lit(True))
+    spans = staged(spans.groupBy("key").agg(F.collect_list(F.struct("first", "stop", "cut")).alias("spans")), "spans")
+    told = bool(words) and not cut_words
     through = ["doc_id", "carry"] if carry else ["doc_id"]
     kinds = "".join(f"{n} {keyed.schema[n].dataType.simpleString()}, " for n in through)
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_slices(batches, "text"):
-            removed, kept, sizes, texts = [], [], [], []
+            removed, kept, sizes, texts, passages = [], [], [], [], []
             for given, text, spans in zip(
                     batch.column("text").to_pylist(), byte_texts(batch.column("text")), batch.column("spans").to_pylist()):
-                runs = []
-                for s in sorted((s["first"], s["stop"]) for s in spans or ()):
-                    if runs and s[0] <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], s[1])
-                    else:
-                        runs.append([*s])
+                runs = merged([(s["first"], s["stop"]) for s in spans or () if s["cut"]])
                 edges = [0, *(x for r in runs for x in r), len(text)]
                 kept.append(b"".join(text[i:j] for i, j in zip(edges[::2], edges[1::2])) if runs else text)
                 removed.append([{"first": i, "last": j} for i, j in runs])
                 sizes.append(len(text))
                 texts.append(given if not runs else kept[-1].decode("utf-8", "ignore"))
-            spans = pa.array(removed, pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])))
-            found = {"n_bytes": pa.array(sizes, "int64"), "removed": spans, "kept": pa.array(kept, pa.binary())}
+                passages.append([{"first": i, "last": j} for i, j in merged([(s["first"], s["stop"]) for s in spans or () if not s["cut"]])])
+            places = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+            found = {"n_bytes": pa.array(sizes, "int64"), "removed": pa.array(removed, places), "kept": pa.array(kept, pa.binary())}
             if carry:
                 found["text"] = pa.array(texts, pa.string())
+            if told:
+                found["passages"] = pa.array(passages, places)
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in through], *found.values()], [*through, *found])
 
     return keyed.join(spans, "key", "left").select(*through, "text", "spans").mapInArrow(
-        strip, f"{kinds}n_bytes bigint, removed array<struct<first: bigint, last: bigint>>, kept binary" + (", text string" if carry else ""))
+        strip, f"{kinds}n_bytes bigint, removed array<struct<first: bigint, last: bigint>>, kept binary" + (", text string" if carry else "")
+        + (", passages array<struct<first: bigint, last: bigint>>" if told else ""))

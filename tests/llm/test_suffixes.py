@@ -6,6 +6,9 @@ import numpy as np
 import pytest
 
 from mattercat.llm import suffixes
+from mattercat.llm.queries import QUERIES
+
+op7_suffix_repeats = QUERIES["op7_suffix_repeats"]
 
 
 def brute(texts, depth):
@@ -69,6 +72,24 @@ def test_words_against_brute_force(spark, monkeypatch, group):
         assert got[k] == np.frombuffer(b, "u1")[~covered].tobytes()
 
 
+def test_short_repeated_passages_are_told_and_only_long_strings_go(spark, tmp_path):
+    """Passages of 51 to 70 short words in two documents each; below 400 bytes they stay, and each is named."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 8)))
+    some = lambda n: " ".join(word() for _ in range(n))
+    shared = [some(n) for n in range(51, 71)]
+    planted = [f"{some(80)} {p} {some(80)}" for p in shared for _ in range(2)]
+    clean = [some(240) for _ in range(40)] + [f"{some(80)} {p} {some(80)}" for p in [some(50)] * 2]
+    rows = [(i, t) for i, t in enumerate([None, "", *planted, *clean])]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in op7_suffix_repeats(spark, str(tmp_path)).collect()}
+    assert [(r.n_bytes, r.n_removed, r.n_spans) for r in (got[i] for i, _ in rows)] == [x[:3] for x in brute([t for _, t in rows], 400)]
+    first = 2 + len(planted)
+    assert [got[i].n_passages for i, _ in rows] == [0, 0] + [1] * len(planted) + [0] * len(clean)
+    assert [got[i].passage_bytes for i in range(2, first)] == [len(p) for p in shared for _ in range(2)]
+    assert any(got[i].n_removed == 0 for i in range(2, first)) and any(got[i].n_removed for i in range(2, first))
+
+
 def test_null_ids_repeated_rows_carried_columns_and_empty_tables(spark):
     rows = spark.createDataFrame([(None, "x" * 30, 1), (None, "x" * 30, 2), (7, "short", 3)], "doc_id bigint, text string, extra int")
     got = sorted((r.carry, len(r.kept)) for r in suffixes.remove_repeats(rows, depth=20, gram=5, carry="extra").collect())
