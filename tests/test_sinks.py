@@ -11,6 +11,8 @@ from mattercat.plans.standardize import Layout, standardize_properties
 from mattercat.session import STAGED, drop_staged, scratch, shuffle_settings, staged
 from mattercat.sinks import cards, exports as X, tables as W
 from mattercat.streaming.incremental import incremental_copy
+from workload import sinks
+from workload.registry import Tables
 
 
 def test_size_partitions():
@@ -400,3 +402,15 @@ def test_text_frames_are_packed_and_read_back_whole(spark, tmp_path):
         sizes[kind] = sum(map(os.path.getsize, files))
         assert sorted(r["value"] for r in spark.read.text(path).select("value").collect()) == want
     assert sizes["gzip"] * 3 < sizes["none"]
+
+
+def test_folders_are_read_without_making_their_names_a_column(spark, tmp_path):
+    # Discovered names cost the driver the square of their number, and turned 007 into 7.
+    ids = ["DS_1", "007", "a b", "x+y%2F", "p=q/r", "é#?:", "100%", None]
+    rows = spark.createDataFrame([(i, f"PO_{n}") for n, i in enumerate(ids)], "dataset_id string, id string")
+    path = str(tmp_path / "out +%20")
+    X.export_all_datasets(rows, path, level=1)
+    back = sinks.read_folders(Tables(spark, ""), path)
+    assert back.columns == ["dataset_id", "id"]
+    found = back.select("dataset_id", sinks.folder_value("dataset").alias("folder"), "id").collect()
+    assert len(found) == len(ids) and all(r["dataset_id"] == r["folder"] == ids[int(r["id"][3:])] for r in found)
