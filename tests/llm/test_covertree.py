@@ -57,3 +57,32 @@ def test_query_against_its_sql(spark):
 
     folder = "/root/testdata/sf0.001"
     assert differences(QUERIES["op10_cover_tree"](spark, folder), duck(folder), ORACLES["op10_cover_tree"]) == []
+
+
+def test_vectors_at_right_angles_are_dropped_before_they_are_opened(monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(2000, 64))
+    near = [x[:40] * 3] + [x[:40] + rng.normal(size=(40, 64)) * s for s in (0.1, 0.2, 0.3)] + [x[:500] + rng.normal(size=(500, 64)) * 0.8]
+    x = np.concatenate([x, *near, np.repeat(x[:1], 30, axis=0) + rng.normal(size=(30, 64)) * 0.05])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    opened, real = [], covertree.crossed
+
+    def counted(a0, a1, b0, b1):
+        opened.append(((a1 - a0) * (b1 - b0)).sum())
+        return real(a0, a1, b0, b1)
+
+    monkeypatch.setattr(covertree, "crossed", counted)
+    one, two = (covertree.Tree(part, covertree.levels(part)) for part in (x, x[::2]))
+    blocks = list(covertree.dual(one, two, 0.95))
+    found = sorted((int(one.order[i]), int(two.order[j])) for a, b in blocks for i, j in zip(a, b))
+    assert found == [(int(i), int(j)) for i, j in zip(*np.nonzero(np.einsum("id,jd->ij", x, x[::2]) >= 0.95))]
+    assert sum(opened) < 10 * len(x)
+
+
+def test_pairs_of_chunks_are_tasks_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(covertree, "CHUNK", 16)
+    rng = np.random.default_rng(4)
+    raw = [(i, 1, v.tobytes()) for i, v in enumerate(rng.normal(size=(200, 8)))]
+    leaves = spark.createDataFrame(raw, "leaf bigint, copies bigint, x binary")
+    # 16 vectors a chunk are at least 13 chunks and so 91 pairs.
+    assert covertree.search(leaves, -1.0).rdd.getNumPartitions() >= 91
