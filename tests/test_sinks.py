@@ -438,3 +438,18 @@ def test_rows_are_in_the_order_of_folders_before_wide_columns_are_attached(spark
     rows = rows.sortWithinPartitions(*["dataset", "kind"][: 2 if kind else 1])
     rows.collect()
     assert rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Sort [") == 1
+
+
+def test_resumable_export_bounds_its_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(X, "MOST_GROUPS", 3, raising=False)
+    df = spark.range(120).select("id", F.format_string("DS_%02d", F.col("id") % 40).alias("dataset_id"))
+    calls, real = [], X.spread_by
+    monkeypatch.setattr(X, "spread_by", lambda rows, col: calls.append(1) or real(rows, col))
+    X.export_resumable(df.filter("dataset_id < 'DS_05'"), str(tmp_path / "out"), level=1, group_rows=6)
+    X.export_resumable(df, str(tmp_path / "out"), level=1, group_rows=6)
+    assert len(calls) == 6  # 15 rows in groups of 6, then 105 in 3 groups of 35
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r["id"] for r in back.collect()) == list(range(120))
+    assert spark.read.parquet(str(tmp_path / "out_done")).distinct().count() == 40
+    X.export_resumable(df, str(tmp_path / "out"), level=1, group_rows=6)
+    assert len(calls) == 6
