@@ -453,3 +453,20 @@ def test_resumable_export_bounds_its_groups(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(str(tmp_path / "out_done")).distinct().count() == 40
     X.export_resumable(df, str(tmp_path / "out"), level=1, group_rows=6)
     assert len(calls) == 6
+
+
+def test_cards_are_listed_by_few_tasks(spark, tmp_path, monkeypatch):
+    from workload import plans, registry
+
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", "10000")
+    read, widths = type(spark).read, []
+    try:
+        ds = spark.range(40).select(F.concat(F.lit("DS_"), "id").alias("id"), F.lit("n").alias("name"))
+        X.export_bundle({"ds": ds}, str(tmp_path / "out"), level=1)
+        cards.write_cards(ds.select("id", F.lit('  data_files: "kind=ds/*.parquet"\n').alias("card")), str(tmp_path / "out"))
+        seen = lambda self: widths.append(self.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) or read.fget(self)
+        monkeypatch.setattr(type(spark), "read", property(seen))
+        found = plans.named_in_cards(registry.Tables(spark, ""), str(tmp_path / "out"), {})
+        assert found.count() == 40 and widths == ["64", "64"]
+    finally:
+        spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", "4")
